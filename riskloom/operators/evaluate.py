@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import MIN_PR_AUC, MIN_RECALL_AT_5PCT_FPR
 from riskloom.functions.columns import half_up, ratio_or_zero
-from riskloom.operators.ordering import ranked, rows_at, running_totals
+from riskloom.operators.ordering import key_of, ranked, rows_at, running_totals
 
 BIG = "decimal(38,0)"
 
@@ -205,8 +205,8 @@ def lift(scored: DataFrame, share: float = 0.10) -> DataFrame:
     last = rows_at(rows, ["below", "transaction_id"], [top - 1])
     if not last:
         return rows.agg(F.lit(0).cast("bigint").alias("top_rows"), F.lit(0.0).alias("lift"))
-    edge = F.struct(F.lit(last[0]["below"]), F.lit(last[0]["transaction_id"]))
-    inside = F.struct("below", "transaction_id") <= edge
+    here, edge = key_of(rows, last[0], ["below", "transaction_id"])
+    inside = here <= edge
     return rows.agg(
         F.count_if(inside).alias("top_rows"),
         ratio_or_zero(F.avg(F.when(inside, F.col("hit"))), F.avg("hit")).alias("lift"),

@@ -156,3 +156,9 @@ def rows_at(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> li
     keys = ranked(df.select(*order), order)
     found = keys.where(F.col("_rank").isin(*positions)).select("_rank", *order).collect()
     return sorted(found, key=lambda r: r["_rank"])
+
+
+def key_of(df: DataFrame, row, names: Sequence[str]) -> tuple[Column, Column]:
+    """The order key of every row, and that of one found row, as comparable structs."""
+    literals = [F.lit(row[n]).cast(df.schema[n].dataType).alias(n) for n in names]
+    return F.struct(*names), F.struct(*literals)

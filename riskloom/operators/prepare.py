@@ -21,7 +21,7 @@ from riskloom.functions.columns import (
     number_or_zero,
     ratio_or_zero,
 )
-from riskloom.operators.ordering import exact_quantiles, rows_at
+from riskloom.operators.ordering import exact_quantiles, key_of, rows_at
 
 TRAINING_COLUMNS = [
     "transaction_id", "user_id", "event_time",
@@ -164,15 +164,12 @@ def time_split(
     rows = df.count()
     cuts = [int(rows * ratios[0]), int(rows * (ratios[0] + ratios[1]))]
     found = {r["_rank"]: r for r in rows_at(df, [time, tie], cuts)}
-    here = F.struct(F.col(time), F.col(tie))
 
     def from_cut(position: int) -> Column:
-        row = found.get(position)
-        if row is None:
+        if position not in found:
             return F.lit(False)
-        return here >= F.struct(
-            F.lit(row[time]).cast(df.schema[time].dataType), F.lit(row[tie]).cast(df.schema[tie].dataType)
-        )
+        here, cut = key_of(df, found[position], [time, tie])
+        return here >= cut
 
     return df.withColumn(
         "split",

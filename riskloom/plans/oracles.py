@@ -304,7 +304,7 @@ def _tests(reference_rows: int = 5000) -> str:
 , zed AS (SELECT *, CASE WHEN pool > 0 AND pool < 1 THEN (pr-pc)/sqrt(pool*(1-pool)*(1e0/n+1e0/m)) END AS z FROM agg)
 , tests AS (SELECT *,
    CASE WHEN {ks} < 0.2e0 THEN 1e0 ELSE greatest(0e0, least(1e0, list_sum(list_transform(range(1,101),
-      i -> (CASE WHEN i % 2 = 1 THEN 2e0 ELSE -2e0 END)*exp(-2e0*i*i*({ks})*({ks})))))) END AS ks_p,
+      lambda i: (CASE WHEN i % 2 = 1 THEN 2e0 ELSE -2e0 END)*exp(-2e0*i*i*({ks})*({ks})))))) END AS ks_p,
    CASE WHEN distinct_values < 2 THEN 1e0 WHEN chi2 IS NULL THEN 0e0 WHEN chi2 <= 0 THEN 1e0
      WHEN distinct_values = 2 THEN {_erfc(f'sqrt({half})')}
      WHEN distinct_values = 3 THEN exp(-{half})
@@ -394,7 +394,7 @@ SELECT transaction_id, CAST(position AS INT) AS position, factor FROM (
         CASE WHEN device_change_flag = 1 THEN 'New device detected' END,
         CASE WHEN user_merchant_first_time = 1 THEN 'First transaction at this merchant' END,
         CASE WHEN channel_encoded = 1 THEN 'Online transaction (card-not-present)' END,
-        CASE WHEN is_night = 1 THEN 'Transaction during night hours (midnight-6am)' END], x -> x IS NOT NULL) AS f FROM inp)))
+        CASE WHEN is_night = 1 THEN 'Transaction during night hours (midnight-6am)' END], lambda x: x IS NOT NULL) AS f FROM inp)))
 """
 
 
@@ -479,7 +479,7 @@ def all_oracles() -> dict[str, str]:
       SELECT user_id, last_us, transactions, last_us >= (SELECT max(last_us) FROM us_) - 604800000000 AS tracked,
         row_number() OVER (ORDER BY last_us, user_id) <= 5 AND (SELECT count(*) FROM us_) >= 10 AS evicted FROM us_""")
     o["rolling_scores"] = _with(TXN, """
-      SELECT transaction_id, floor(avg(score) OVER w*1e6+0.5e0)/1e6 AS score_mean, max(score) OVER w AS score_max FROM txn
+      SELECT transaction_id, floor(avg(score) OVER w*1e9+0.5e0)/1e9 AS score_mean, max(score) OVER w AS score_max FROM txn
       WINDOW w AS (ORDER BY us, transaction_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""")
 
     # training frames

@@ -17,6 +17,7 @@ from riskloom.operators import models as mo
 from riskloom.operators import monitor as mn
 from riskloom.operators import prepare as pr
 from riskloom.operators import quality as qu
+from riskloom.session import checkpoint
 from riskloom.sources import messages as ms
 from riskloom.sources import sinks
 from riskloom.sources.tables import event_transactions, order_transactions
@@ -267,7 +268,7 @@ def active_users(spark, folder):
 @query
 def rolling_scores(spark, folder):
     rolled = mn.rolling_scores(_txn(spark, folder).select("transaction_id", "event_time", "score"))
-    return rolled.select("transaction_id", cx.half_up(F.col("score_mean"), 6).alias("score_mean"), "score_max")
+    return rolled.select("transaction_id", cx.half_up(F.col("score_mean"), 9).alias("score_mean"), "score_max")
 
 
 # --- training frames ----------------------------------------------------------------
@@ -511,22 +512,24 @@ def orphan_features(spark, folder):
 # --- drift -----------------------------------------------------------------------------------
 
 
-def _scan(spark, folder, which, rows=None):
-    return pr.drift_scan(_features(spark, folder), which, rows)
-
-
 @query
 def drift_reference(spark, folder):
-    return _scan(spark, folder, "reference").drop("event_time")
+    return pr.drift_scan(_features(spark, folder), "reference").drop("event_time")
 
 
 @query
 def drift_current(spark, folder):
-    return _scan(spark, folder, "current").drop("event_time")
+    return pr.drift_scan(_features(spark, folder), "current").drop("event_time")
 
 
 def _halves(spark, folder, reference: int | None = None) -> tuple[DataFrame, DataFrame]:
-    return _scan(spark, folder, "reference", reference), _scan(spark, folder, "current")
+    """Both scans of one stored feature table; it is computed once."""
+    features = _stored(spark, folder)
+    return pr.drift_scan(features, "reference", reference), pr.drift_scan(features, "current")
+
+
+def _stored(spark, folder) -> DataFrame:
+    return checkpoint(pr.drift_columns(_features(spark, folder)))
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -540,6 +543,8 @@ def _tested(column: str) -> Query:
         columns |= {"drift_chi2": ["chi2", "chi2_p"], "drift_ztest": ["z", "z_p"]}
         names = columns[column]
         finite = {n: F.when(F.col(n) < float("inf"), F.col(n)) for n in names}
+        if "chi2_p" in finite:  # the test is chosen for few values only
+            finite["chi2_p"] = F.when(F.col("distinct_values") <= dr.FEW_VALUES, F.col("chi2_p"))
         return _rounded(tests.withColumns(finite), 6, *names).select("feature", "distinct_values", *names)
 
     return run
@@ -578,9 +583,9 @@ def drift_dataset(spark, folder):
 
 
 def _by_window(spark, folder):
-    features = _features(spark, folder)
-    reference = pr.drift_scan(features, "reference")
-    return dr.drift_by_window(reference, pr.drift_columns(features), features=DRIFT_FEATURES)
+    features = _stored(spark, folder)
+    reference = checkpoint(pr.drift_scan(features, "reference"))
+    return dr.drift_by_window(reference, features, features=DRIFT_FEATURES)
 
 
 @query

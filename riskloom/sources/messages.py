@@ -50,9 +50,10 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
     The result has all columns of the raw event table plus ``reasons``; an empty array
     means the row is good. The untouched message stays in ``payload``."""
-    parsed = messages.withColumn(
-        "m", F.from_json("value", MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    )
+    # a generator keeps the parsed message as one column: as a plain expression it would
+    # be copied into each of the many columns below and parsed again for each
+    message = F.from_json("value", MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = messages.withColumn("m", F.explode(F.array(message)))
     broken = F.col("m").isNull() | F.col("m._corrupt_record").isNotNull()
     typed = parsed.select(
         F.col("topic").alias("kafka_topic"),
