@@ -164,8 +164,10 @@ def _fixed_columns(home_country: str | None) -> dict[str, Column]:
         "device_change_flag": F.coalesce(
             F.col("_last.device_id") != F.col("device_id"), F.lit(False)
         ),
-        "minutes_since_last_txn": F.least(
-            ((us - F.col("_last._us")) / 60_000_000).cast("bigint"), F.lit(MINUTES_CAP)
+        # least() passes over NULL, but a user's first row has no last one to measure from
+        "minutes_since_last_txn": F.when(
+            F.col("_last").isNotNull(),
+            F.least(((us - F.col("_last._us")) / 60_000_000).cast("bigint"), F.lit(MINUTES_CAP)),
         ),
         "is_foreign_txn": foreign,
     }

@@ -58,7 +58,7 @@ SELECT transaction_id, user_id, event_time, us, amount, channel, country, label,
        THEN floor((n*cents-sm)/sqrt(CAST(n*sq-sm*sm AS DOUBLE))*10000+0.5e0)/10000e0 END AS amount_zscore,
   coalesce(lc<>country, false) AS country_change_flag, coalesce(ld<>device_id, false) AS device_change_flag,
   CAST(uc AS INT) AS unique_countries_24h, CAST(um AS INT) AS unique_merchants_24h, CAST(ud AS INT) AS unique_devices_24h,
-  rn=1 AS user_merchant_first_time, least((us-lus) // 60000000, 10080) AS minutes_since_last_txn,
+  rn=1 AS user_merchant_first_time, CASE WHEN lus IS NOT NULL THEN least((us-lus) // 60000000, 10080) END AS minutes_since_last_txn,
   country <> home_country AS is_foreign_txn,
   CAST(hour(event_time) AS INT) AS hour_of_day, CAST(isodow(event_time)-1 AS INT) AS day_of_week,
   isodow(event_time) >= 6 AS is_weekend, hour(event_time) < 6 AS is_night,
@@ -469,7 +469,7 @@ def all_oracles() -> dict[str, str]:
       SELECT id AS transaction_id, CAST(c24 AS INT) AS user_txn_count_24h, CAST(c7 AS INT) AS user_txn_count_7d, CAST(s24 AS DOUBLE)/100 AS user_amount_sum_24h,
         CASE WHEN n>=2 AND sm<>0 THEN CAST((2*sm+n) // (2*n) AS DOUBLE)/100 END AS user_avg_amount_30d,
         CASE WHEN n>=2 AND n*sq>sm*sm THEN floor(sqrt(CAST(n*sq-sm*sm AS DOUBLE))/n+0.5e0)/100e0 END AS user_std_amount_30d,
-        CAST(um AS INT) AS unique_merchants_24h, fst AS user_merchant_first_time, least((us-lus)//60000000, 10080) AS minutes_since_last_txn FROM s""")
+        CAST(um AS INT) AS unique_merchants_24h, fst AS user_merchant_first_time, CASE WHEN lus IS NOT NULL THEN least((us-lus)//60000000, 10080) END AS minutes_since_last_txn FROM s""")
     o["idle_reset"] = _with(ORDERS + """
       , l AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 604800000000 THEN 0 ELSE 1 END AS st FROM ord WINDOW w AS (PARTITION BY u ORDER BY us, id))
       , h AS (SELECT *, sum(st) OVER (PARTITION BY u ORDER BY us, id) AS hn FROM l)""", """

@@ -181,11 +181,12 @@ def without_repeats(rows: DataFrame, delay: str = "1 hour") -> DataFrame:
     return rows.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["transaction_id"])
 
 
-def live_counts(rows: DataFrame, width: str = "1 minute", delay: str = "10 minutes", labels: Sequence[str] = (), slide: str | None = None) -> DataFrame:
-    """Events per (tumbling or sliding) window of a stream; windows close after the delay."""
+def live_counts(rows: DataFrame, width: str = "1 minute", delay: str | None = "10 minutes", labels: Sequence[str] = (), slide: str | None = None) -> DataFrame:
+    """Events per (tumbling or sliding) window of a stream; windows close after the delay.
+    ``delay=None`` keeps a watermark the rows already carry."""
     window = F.window("event_time", width, slide) if slide else F.window("event_time", width)
     return (
-        rows.withWatermark("event_time", delay)
+        (rows.withWatermark("event_time", delay) if delay else rows)
         .groupBy(window.alias("w"), *labels)
         .agg(F.count(F.lit(1)).alias("events"))
         .select(F.col("w.start").alias("window_start"), *labels, "events")

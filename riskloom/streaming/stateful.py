@@ -57,7 +57,10 @@ def _row(past: dict[str, list], merchants: set, countries: dict, us: int, cents:
 
 
 def stateful_features(rows: DataFrame, idle_days: int | None = 7, cap: int = HISTORY_CAP) -> DataFrame:
-    """Features of a stream of ``INPUT`` columns, one output row per input row."""
+    """Features of a stream of ``INPUT`` columns, one output row per input row.
+
+    With ``idle_days`` Spark keeps running empty batches to look for idle users, so use a
+    processing-time trigger; a run-once trigger needs ``idle_days=None``."""
     idle_ms = idle_days * 86_400_000 if idle_days else None
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

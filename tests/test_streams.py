@@ -72,7 +72,7 @@ def test_keyed_state_equals_batch(spark, landed, tables, tmp_path):
         F.col("kafka_offset").alias("arrival_order"),
     )
     query = (
-        stateful.stateful_features(rows)
+        stateful.stateful_features(rows, idle_days=None)
         .writeStream.format("memory").queryName("keyed").outputMode("append")
         .option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start()
     )
@@ -85,7 +85,7 @@ def test_keyed_state_equals_batch(spark, landed, tables, tmp_path):
 def test_live_counts_close_windows(spark, landed, tmp_path):
     source, _ = landed
     rows = ms.good_rows(ms.parse_messages(ms.file_messages(spark, source)))
-    counts = jobs.live_counts(jobs.without_repeats(rows).select("event_time", "channel"), "1 day", "1 hour", ["channel"])
+    counts = jobs.live_counts(jobs.without_repeats(rows).select("event_time", "channel"), "1 day", None, ["channel"])
     query = (
         counts.writeStream.format("memory").queryName("live").outputMode("append")
         .option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start()
