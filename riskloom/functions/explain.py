@@ -94,8 +94,9 @@ def contributions(
     A contribution is importance times the value's size over 100, at most 1; equal ones
     keep the column order. ``boolean_full_weight`` gives a set flag its whole importance.
     """
+    names = [n for n in columns if n in importances]
     parts = []
-    for position, name in enumerate(n for n in columns if n in importances):
+    for position, name in enumerate(names):
         value = F.col(name).cast("double")
         weight = F.least(F.abs(value) / 100.0, F.lit(1.0))
         if boolean_full_weight and name in FLAGS:
@@ -108,21 +109,25 @@ def contributions(
                 F.lit(name).alias("feature"),
                 value.alias("value"),
                 contribution.alias("contribution"),
-                describe(name, value).alias("description"),
             )
         )
     ordered = F.array_sort(F.array(*parts))
     if top_k is not None:
         ordered = F.slice(ordered, 1, top_k)
-    return F.transform(
-        ordered,
-        lambda p: F.struct(
+
+    def finished(p: Column) -> Column:
+        # texts are written for the rows that stay, not for every column
+        text = F.lit(None).cast("string")
+        for position, name in reversed(list(enumerate(names))):
+            text = F.when(p["position"] == position, describe(name, p["value"])).otherwise(text)
+        return F.struct(
             p["feature"].alias("feature"),
             p["value"].alias("value"),
             p["contribution"].alias("contribution"),
-            p["description"].alias("description"),
-        ),
-    )
+            text.alias("description"),
+        )
+
+    return F.transform(ordered, finished)
 
 
 def risk_factors(score: Column, review_at: float = REVIEW_AT) -> Column:

@@ -267,6 +267,6 @@ def promotion_gate(
 
 def normalised(scored: DataFrame, score: str = "score", out: str = "score_norm") -> DataFrame:
     """Scores stretched to 0..1 over the table; NULL when all scores are equal."""
-    ends = scored.agg(F.min(score).alias("lo"), F.max(score).alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    ends = scored.agg(F.struct(F.min(score).alias("lo"), F.max(score).alias("hi"))).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     return scored.withColumn(out, F.try_divide(F.col(score) - lo, F.nullif(hi - lo, F.lit(0.0))))

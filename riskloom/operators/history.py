@@ -34,11 +34,10 @@ from riskloom.constants import (
 )
 from riskloom.functions.columns import calendar_columns, cents, channel_code, half_up, micros
 from riskloom.operators.ordering import before_part, place_in_order, rank_blocks
-from riskloom.session import checkpoint
+from riskloom.session import broadcast_if_small, checkpoint
 
 LONG_USER_ROWS = 200_000
 BLOCK_ROWS = 50_000
-BROADCAST_USERS = 500_000  # ids only, a few tens of MB at most
 
 FEATURE_COLUMNS = [
     "amount_zscore",
@@ -89,11 +88,9 @@ def in_blocks(
         return txn.withColumns(whole), False
     rows = txn.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows"))
     long_users = checkpoint(rows.where(F.col("_rows") > long_user_rows).select("user_id"))
-    found = long_users.count()
-    if not found:
+    if long_users.isEmpty():
         return txn.withColumns(whole), False
-    if found <= BROADCAST_USERS:
-        long_users = F.broadcast(long_users)
+    long_users = broadcast_if_small(long_users)
     short = txn.join(long_users, "user_id", "left_anti").withColumns(whole)
     described = _describe_long(txn.join(long_users, "user_id", "left_semi"), order)
     cut = rank_blocks(described, block_rows, overlap).withColumn("_long", F.lit(True))
@@ -154,11 +151,8 @@ def _stats(n: Column, total: Column, squares: Column, amount_cents: Column, min_
     }
 
 
-def _fixed_columns(home_country: str | None) -> dict[str, Column]:
-    us = F.col("_us")
-    foreign = (
-        F.col("country") != F.col("_home") if home_country else F.lit(None).cast("boolean")
-    )
+def _since_last() -> dict[str, Column]:
+    """What compares a row with the one before it."""
     return {
         "country_change_flag": F.coalesce(F.col("_last.country") != F.col("country"), F.lit(False)),
         "device_change_flag": F.coalesce(
@@ -167,9 +161,8 @@ def _fixed_columns(home_country: str | None) -> dict[str, Column]:
         # least() passes over NULL, but a user's first row has no last one to measure from
         "minutes_since_last_txn": F.when(
             F.col("_last").isNotNull(),
-            F.least(((us - F.col("_last._us")) / 60_000_000).cast("bigint"), F.lit(MINUTES_CAP)),
+            F.least(((F.col("_us") - F.col("_last._us")) / 60_000_000).cast("bigint"), F.lit(MINUTES_CAP)),
         ),
-        "is_foreign_txn": foreign,
     }
 
 
@@ -181,14 +174,24 @@ def _with_visits_and_home(df: DataFrame, home_country: str | None) -> DataFrame:
         F.when(F.col("_long"), F.col("_first_visit")).otherwise(F.col("_nth_visit") == 1),
     )
     if not home_country:
-        return out
+        return out.withColumn("is_foreign_txn", F.lit(None).cast("boolean"))
     earlier = (
         Window.partitionBy("user_id", "_block")
         .orderBy("_row")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     lead = F.max(F.struct("_nth", (-F.col("_row")).alias("_ago"), "country")).over(earlier)
-    return out.withColumn("_home", F.when(F.col("_long"), F.col("_home")).otherwise(lead["country"]))
+    home = F.when(F.col("_long"), F.col("_home")).otherwise(lead["country"])
+    return out.withColumn("_home", home).withColumn("is_foreign_txn", F.col("country") != F.col("_home"))
+
+
+_DONE = [
+    "country_change_flag",
+    "device_change_flag",
+    "minutes_since_last_txn",
+    "user_merchant_first_time",
+    "is_foreign_txn",
+]
 
 
 def _prepared(txn: DataFrame, arrival: str) -> DataFrame:
@@ -197,6 +200,15 @@ def _prepared(txn: DataFrame, arrival: str) -> DataFrame:
     )
 
 
+def _packed(txn: DataFrame, arrival: str) -> DataFrame:
+    """The columns the windows work on, with the whole row as one struct beside them:
+    sorts and windows then move one value instead of every column."""
+    return _prepared(txn, arrival).select(
+        "user_id", "country", "merchant_id", "device_id", "_us", "_cents", "_arrival",
+        F.struct(*txn.columns).alias("_txn"),
+    )
+
+
 # --- time order: sweep --------------------------------------------------------
 
 _WINDOWS = {"1h": HOUR_US, "24h": DAY_US, "7d": 7 * DAY_US}
@@ -204,7 +216,7 @@ _WINDOWS = {"1h": HOUR_US, "24h": DAY_US, "7d": 7 * DAY_US}
 
 def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home: str | None, cut: dict) -> DataFrame:
     keep = txn.columns
-    rows, _ = in_blocks(_prepared(txn, cut.pop("arrival")), ["_us", "_arrival"], overlap=cap, **cut)
+    rows, _ = in_blocks(_packed(txn, cut.pop("arrival")), ["_us", "_arrival"], overlap=cap, **cut)
     user = Window.partitionBy("user_id", "_block").orderBy("_us", "_arrival")
     rows = rows.withColumns(
         {
@@ -213,6 +225,7 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
             "_last": F.lag(F.struct("_us", "country", "device_id")).over(user),
         }
     )
+    rows = rows.withColumns(_since_last()).drop("_last")
     # for each 24-hour distinct count: does this row bring its value into the window,
     # and does the value go when the row goes
     for value, short in (("country", "c"), ("merchant_id", "m"), ("device_id", "d")):
@@ -238,10 +251,9 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
             rows = rows.withColumn("_nth_visit", F.row_number().over(same))
     rows = _with_visits_and_home(rows.drop("_prev", "_next"), home)
 
-    payload = F.struct(
-        *keep, "_us", "_cents", "_last", "_own", "_home", "user_merchant_first_time"
-    )
+    payload = F.struct("_txn", "_cents", "_own", *_DONE)
     none = F.lit(None).cast("int")
+    nothing = F.lit(None).cast(rows.select(payload.alias("p")).schema["p"].dataType)
 
     def step(kind: int, at: Column, late: Column, row: Column, side: int, **other: Column) -> Column:
         return F.struct(
@@ -254,7 +266,7 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
             other.get("c", none).alias("_c"),
             other.get("m", none).alias("_m"),
             other.get("d", none).alias("_d"),
-            (payload if kind == 0 else F.when(F.lit(False), payload)).alias("_txn"),
+            (payload if kind == 0 else nothing).alias("_row_out"),
         )
 
     steps = [
@@ -292,7 +304,7 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
     square = amount.cast("decimal(13,0)") * amount.cast("decimal(13,0)")
     measured = swept.select(
         "_kind",
-        "_txn",
+        "_row_out",
         live(1, F.lit(1)).alias("_n1"),
         live(2, F.lit(1)).alias("_n24"),
         live(3, F.lit(1)).alias("_n7"),
@@ -303,10 +315,10 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
         live(4, square).alias("_q30"),
         *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(x) for x in ("_c", "_m", "_d")],
     )
-    measured = measured.where((F.col("_kind") == 0) & F.col("_txn._own"))
-    flat = measured.select("_txn.*", *[c for c in measured.columns if c != "_txn"])
+    measured = measured.where((F.col("_kind") == 0) & F.col("_row_out._own"))
+    flat = measured.select("_row_out.*", *[c for c in measured.columns if c != "_row_out"])
     return flat.select(
-        *keep,
+        *[F.col(f"_txn.{c}").alias(c) for c in keep],
         F.col("_n1").cast("int").alias("user_txn_count_1h"),
         F.col("_n24").cast("int").alias("user_txn_count_24h"),
         F.col("_n7").cast("int").alias("user_txn_count_7d"),
@@ -321,8 +333,7 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
         F.col("_c").cast("int").alias("unique_countries_24h"),
         F.col("_m").cast("int").alias("unique_merchants_24h"),
         F.col("_d").cast("int").alias("unique_devices_24h"),
-        "user_merchant_first_time",
-        *[c.alias(n) for n, c in _fixed_columns(home).items()],
+        *_DONE,
     )
 
 
@@ -331,7 +342,7 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
 
 def _arrival_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home: str | None, cut: dict) -> DataFrame:
     keep = txn.columns
-    rows, _ = in_blocks(_prepared(txn, cut.pop("arrival")), ["_arrival"], overlap=cap, **cut)
+    rows, _ = in_blocks(_packed(txn, cut.pop("arrival")), ["_arrival"], overlap=cap, **cut)
     user = Window.partitionBy("user_id", "_block").orderBy("_arrival")
     rows = rows.withColumns(
         {
@@ -352,7 +363,7 @@ def _arrival_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, hom
                 Window.partitionBy("user_id", "_block", "country").orderBy("_arrival")
             ),
         )
-    rows = _with_visits_and_home(rows, home).where("_own")
+    rows = _with_visits_and_home(rows.withColumns(_since_last()), home).where("_own")
 
     def since(span: int) -> Column:
         return F.filter("_past", lambda p: p["_us"] >= F.col("_us") - span)
@@ -380,7 +391,7 @@ def _arrival_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, hom
     )
     rows = rows.withColumns({"_n30": F.size("_in30").cast("bigint"), "_s30": total(F.col("_in30")), "_q30": squares})
     return rows.select(
-        *keep,
+        *[F.col(f"_txn.{c}").alias(c) for c in keep],
         F.size("_in1").alias("user_txn_count_1h"),
         F.size("_in24").alias("user_txn_count_24h"),
         F.size("_in7").alias("user_txn_count_7d"),
@@ -395,8 +406,7 @@ def _arrival_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, hom
         distinct(F.col("_in24"), "country").alias("unique_countries_24h"),
         distinct(F.col("_in24"), "merchant_id").alias("unique_merchants_24h"),
         distinct(F.col("_in24"), "device_id").alias("unique_devices_24h"),
-        "user_merchant_first_time",
-        *[c.alias(n) for n, c in _fixed_columns(home).items()],
+        *_DONE,
     )
 
 

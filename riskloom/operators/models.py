@@ -10,12 +10,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.constants import CLASSIFIER_PARAMS, FOREST_PARAMS, MODEL_FEATURES, TOP_K
 from riskloom.operators.alerts import decide, explain
 from riskloom.operators.prepare import class_balance
+from riskloom.session import checkpoint
 
 # --- classifier --------------------------------------------------------------------
 
@@ -30,10 +31,14 @@ def train_classifier(
     Positives are weighted by negatives per positive of the train split. Columns are
     sampled per node, not per tree, and stopping watches the loss, so scores differ from
     other boosted-tree libraries."""
-    train = prepared.where(F.col("split") == "train")
-    weight = class_balance(train.select((F.col("label") == 1).alias("label"))).first()["positive_weight"]
+    # stored once: the weight and every tree read these rows again
     present = [c for c in columns if c in prepared.columns]
-    rows = prepared.where(F.col("split").isin("train", "val")).withColumns(
+    rows = checkpoint(
+        prepared.where(F.col("split").isin("train", "val")).select("split", "label", *present)
+    )
+    train = rows.where(F.col("split") == "train").select((F.col("label") == 1).alias("label"))
+    weight = class_balance(train).first()["positive_weight"]
+    rows = rows.withColumns(
         {
             "weight": F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)),
             "is_validation": F.col("split") == "val",
@@ -70,8 +75,6 @@ def importances(model: PipelineModel) -> dict[str, float]:
 
 def feature_importance(model: PipelineModel) -> DataFrame:
     """Feature names with their importance, highest first; one row per model column."""
-    from pyspark.sql import SparkSession
-
     rows = sorted(importances(model).items(), key=lambda r: (-r[1], r[0]))
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
 
@@ -175,8 +178,6 @@ def train_isolation_forest(
         .select("tree", "s.draw", "s.x")
     )
     nodes = drawn.groupBy("tree").applyInPandas(lambda sample: _grow(sample, seed), NODE)
-    from riskloom.session import checkpoint
-
     return IsolationForest(checkpoint(nodes), present, min(sample_rows, total))
 
 

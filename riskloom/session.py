@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "riskloom", cores: str = "8") -> SparkSession:
@@ -41,3 +42,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a narrow frame of at most ``limit`` rows, else the frame as
+    it is. Counting stops at the limit; give it a materialised frame."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

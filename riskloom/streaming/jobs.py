@@ -20,7 +20,7 @@ from riskloom.operators.history import feature_rows
 from riskloom.operators.models import score_and_explain
 from riskloom.operators.prepare import drift_columns, drift_scan, enough_for_drift, scoring_input
 from riskloom.operators.quality import split_requests, within_error_budget
-from riskloom.session import checkpoint
+from riskloom.session import broadcast_if_small, checkpoint
 from riskloom.sources.messages import accept_new, feature_input, good_rows, parse_messages, quarantined
 from riskloom.sources.sinks import (
     append_batch,
@@ -115,7 +115,7 @@ def features_batch(
         if lookback_days is not None:
             first = new.agg(F.min(F.to_date("event_time"))).first()[0]
             history = history.where(F.col("event_date") >= F.date_sub(F.lit(first), lookback_days))
-        users = new.select("user_id").distinct()
+        users = broadcast_if_small(checkpoint(new.select("user_id").distinct()))
         past = history.join(users, "user_id", "left_semi").select(*HISTORY_COLUMNS)
         both = past.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
     else:
