@@ -202,10 +202,10 @@ def lift(scored: DataFrame, share: float = 0.10) -> DataFrame:
     )
     total = rows.count()
     top = int(total * share) or total
-    last = rows_at(rows, ["below", "transaction_id"], [top - 1])
+    last = rows_at(rows, ["below", "transaction_id"], [top - 1], total)
     if not last:
         return rows.agg(F.lit(0).cast("bigint").alias("top_rows"), F.lit(0.0).alias("lift"))
-    here, edge = key_of(rows, last[0], ["below", "transaction_id"])
+    here, edge = key_of(rows, last[top - 1], ["below", "transaction_id"])
     inside = here <= edge
     return rows.agg(
         F.count_if(inside).alias("top_rows"),

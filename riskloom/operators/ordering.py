@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import checkpoint
@@ -151,11 +151,57 @@ def exact_quantiles(df: DataFrame, fractions: Sequence[float], group: Sequence[s
     )
 
 
-def rows_at(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> list:
-    """The order keys found at the given 0-based positions of the whole order."""
-    keys = ranked(df.select(*order), order)
-    found = keys.where(F.col("_rank").isin(*positions)).select("_rank", *order).collect()
-    return sorted(found, key=lambda r: r["_rank"])
+SAMPLE_ROWS = 1_000_000
+
+
+def rows_at(
+    df: DataFrame, order: Sequence[str], positions: Sequence[int], rows: int, sample_rows: int = SAMPLE_ROWS
+) -> dict[int, Row]:
+    """The order keys at the given 0-based positions of the whole order of ``rows`` rows.
+
+    On a large frame a hash sample first brackets each position by values of the leading
+    order column; exact counts below the bracket then say where in it the position lies,
+    and only the bracket (about one percent of the rows) is sorted. A position outside
+    its bracket is looked up by sorting everything."""
+    positions = [p for p in dict.fromkeys(positions) if 0 <= p < rows]
+    keys = df.select(*order)
+    found: dict[int, Row] = {}
+    if rows > 2 * sample_rows:
+        found = _rows_by_bracket(keys, order, positions, rows, sample_rows)
+    missing = [p for p in positions if p not in found]
+    return found | _rows_by_sort(keys, order, missing)
+
+
+def _rows_by_sort(keys: DataFrame, order: Sequence[str], positions: Sequence[int]) -> dict[int, Row]:
+    if not positions:
+        return {}
+    hits = ranked(keys, order).where(F.col("_rank").isin(*positions)).select("_rank", *order)
+    return {r["_rank"]: r for r in hits.collect()}
+
+
+def _rows_by_bracket(
+    keys: DataFrame, order: Sequence[str], positions: Sequence[int], rows: int, sample_rows: int
+) -> dict[int, Row]:
+    lead = F.col(order[0])
+    sampled = keys.where(F.pmod(F.xxhash64(*order), F.lit(rows)) < sample_rows)
+    # five standard errors of a sampled rank on either side
+    margin = 2.5 / sample_rows**0.5
+    ends = [min(max(p / rows + side, 0.0), 1.0) for p in positions for side in (-margin, margin)]
+    values = sampled.agg(F.percentile_approx(lead, F.array(*[F.lit(e) for e in ends]), 100_000)).first()[0]
+    if values is None:
+        return {}
+    kind = keys.schema[order[0]].dataType
+    brackets = [
+        (p, F.lit(values[2 * i]).cast(kind), F.lit(values[2 * i + 1]).cast(kind)) for i, p in enumerate(positions)
+    ]
+    below = keys.agg(*[F.count_if(lead < low).alias(f"b{i}") for i, (_, low, _) in enumerate(brackets)]).first()
+    found = {}
+    for i, (position, low, high) in enumerate(brackets):
+        inside = position - below[f"b{i}"]
+        if inside >= 0:
+            hit = _rows_by_sort(keys.where((lead >= low) & (lead <= high)), order, [inside])
+            found |= {position: row for row in hit.values()}
+    return found
 
 
 def key_of(df: DataFrame, row, names: Sequence[str]) -> tuple[Column, Column]:

@@ -157,13 +157,13 @@ def time_split(
 ) -> DataFrame:
     """Add ``split`` (train / val / test) by position in (time, id) order.
 
-    Only the two keys at the cut positions are looked up, in a sort of those two
-    columns; the frame itself is then labelled by comparison, without a shuffle."""
+    Only the two keys at the cut positions are looked up; the frame itself is then
+    labelled by comparison, without a shuffle."""
     if abs(sum(ratios) - 1.0) >= 0.01:
         raise ValueError("ratios must sum to 1")
     rows = df.count()
     cuts = [int(rows * ratios[0]), int(rows * (ratios[0] + ratios[1]))]
-    found = {r["_rank"]: r for r in rows_at(df, [time, tie], cuts)}
+    found = rows_at(df, [time, tie], cuts, rows)
 
     def from_cut(position: int) -> Column:
         if position not in found:

@@ -61,6 +61,17 @@ def test_ranks_follow_the_whole_order(spark):
     assert totals.where("cum_n <> v + 1 or total_n <> 5000 or next_v <> v + 1").count() == 0
 
 
+def test_positions_from_a_sampled_bracket(spark):
+    # a third of all rows share one leading value
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 1000).otherwise(F.col("id") * 7919 % 6000).alias("v"), "id")
+    want = {r["_rank"]: (r["v"], r["id"]) for r in od.ranked(df, ["v", "id"]).where("_rank in (0, 1500, 4200, 5999)").collect()}
+    for sample in (200, 1000, 10_000):
+        got = od.rows_at(df, ["v", "id"], [0, 1500, 4200, 5999, 6000], 6000, sample)
+        assert {p: (r["v"], r["id"]) for p, r in got.items()} == want
+    only = od._rows_by_bracket(df, ["v", "id"], [1500, 4200], 6000, 1000)
+    assert {p: (r["v"], r["id"]) for p, r in only.items()} == {p: want[p] for p in (1500, 4200)}
+
+
 def test_exact_quantiles_interpolate(spark):
     df = spark.createDataFrame([("a", float(v)) for v in (1, 2, 2, 10)] + [("b", 5.0)], "g string, v double")
     got = {(r.g, r.fraction): r.quantile for r in od.exact_quantiles(df, [0.5, 0.9], ["g"], "v").collect()}
