@@ -284,8 +284,8 @@ def data_fingerprint(df: DataFrame) -> DataFrame:
     row = F.xxhash64(F.col("transaction_id").cast("string"), F.col("label").cast("string"))
     return df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(row.cast("decimal(20,0)")).alias("h"),
-        F.sum((row % 1_000_003 * (row % 998_244_353)).cast("decimal(20,0)")).alias("g"),
+        F.sum(row.cast("decimal(28,0)")).alias("h"),
+        F.sum((row % 1_000_003 * (row % 998_244_353)).cast("decimal(28,0)")).alias("g"),
     ).select(
         F.col("n").alias("total_rows"),
         F.substring(F.sha2(F.concat_ws("|", "n", "h", "g"), 256), 1, 16).alias("fingerprint"),

@@ -91,7 +91,7 @@ def raw_dedup(spark, folder):
     n = F.col("offset")
     again = sent.where(n % 10 == 0)
     resent = sent.where(n % 17 == 0).withColumn("offset", n + 1_000_000_000)
-    rows = ms.good_rows(ms.parse_messages(sent.unionAll(again).unionAll(resent)))
+    rows = checkpoint(ms.good_rows(ms.parse_messages(sent.unionAll(again).unionAll(resent))).drop("payload"))
     accepted, rejected = ms.accept_new(rows)
     keep = ["transaction_id", "kafka_partition", "kafka_offset"]
     return accepted.select(*keep, F.lit("stored").alias("outcome")).unionAll(
@@ -102,8 +102,10 @@ def raw_dedup(spark, folder):
 @query
 def feature_upsert(spark, folder):
     """A second version of every third row, and every fifth row only in the second."""
-    f = _features(spark, folder).select(
-        "transaction_id", "amount", "label", "user_txn_count_24h", "amount_zscore", "country_change_flag"
+    f = checkpoint(
+        _features(spark, folder).select(
+            "transaction_id", "amount", "label", "user_txn_count_24h", "amount_zscore", "country_change_flag"
+        )
     )
     n = F.col("transaction_id")
     old = f.where(n % 5 != 1).withColumn("version", F.lit(1))
@@ -430,10 +432,14 @@ def _explained(spark: SparkSession, folder: str) -> DataFrame:
     return al.explain(al.decide(rows), IMPORTANCES)
 
 
+# outer explodes below: a plain one makes Spark test the array for rows first, which
+# evaluates the whole explanation twice
+
+
 @query
 def top_features(spark, folder):
     rows = _explained(spark, folder)
-    return rows.select("transaction_id", F.posexplode("top_features").alias("rank", "f")).select(
+    return rows.select("transaction_id", F.posexplode_outer("top_features").alias("rank", "f")).select(
         "transaction_id", "rank", "f.feature", "f.value", "f.contribution"
     )
 
@@ -445,7 +451,7 @@ def explanations(spark, folder):
 
     rows = pr.scoring_input(_features(spark, folder))
     every = contributions(IMPORTANCES, top_k=None)
-    return rows.select("transaction_id", F.explode(every).alias("f")).select(
+    return rows.select("transaction_id", F.explode_outer(every).alias("f")).select(
         "transaction_id", "f.feature", "f.description"
     )
 
@@ -453,7 +459,8 @@ def explanations(spark, folder):
 @query
 def risk_factors(spark, folder):
     rows = _explained(spark, folder)
-    return rows.select("transaction_id", F.posexplode("risk_factors").alias("position", "factor"))
+    listed = rows.select("transaction_id", F.posexplode_outer("risk_factors").alias("position", "factor"))
+    return listed.where(F.col("factor").isNotNull())
 
 
 @query
