@@ -2,7 +2,9 @@
 
 Each user's state holds what a row may look back at: the newest 500 arrivals, the
 merchants seen and the rows per country. A micro-batch touches only the users in it,
-whatever the age of the stream. Idle users are forgotten after the timeout."""
+whatever the age of the stream. Idle users are forgotten after the timeout. One user's
+rows of a micro-batch meet in one task, so limit the rows per trigger at the source;
+the foreachBatch job cuts long users into blocks instead."""
 
 from __future__ import annotations
 
