@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import pieces
+from riskloom.llm import pieces, tokens
 from riskloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def llm_oracles() -> dict[str, str]:
     return {}
 
 
+@query
+def op9_token_counts(spark, folder):
+    return tokens.token_counts(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op10_sentencepiece(spark, folder):
     model = public_tokenizers.path("piece_bpe_32k.model")
