@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import pieces, tokens
-from riskloom.llm.common import read_table
+from riskloom.llm import language, pieces, quality, tokens
+from riskloom.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,24 @@ def llm_oracles() -> dict[str, str]:
     return {}
 
 
+@query
+def op1_language_id(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    model = language.fit_languages(docs, fold(3) != 1)
+    return language.predict_languages(docs, model).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score", "distance", "rejected"
+    )
+
+
+@query
+def op4_quality(spark, folder):
+    shares = quality.stored_shares(read_table(spark, folder, "documents"))
+    model = quality.fit_quality(shares, read_table(spark, folder, "labels"), fold(4) != 2)
+    return quality.score_quality(shares, model).select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "score", "predicted"
+    )
+
+
 @query
 def op9_token_counts(spark, folder):
     return tokens.token_counts(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
