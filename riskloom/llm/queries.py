@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.llm import language, pieces, quality, tokens
+from riskloom.llm import language, lines, pieces, quality, sharding, tokens
 from riskloom.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +26,7 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": lines.cleaned_sql(extra=", coalesce(n_dropped, 0) AS n_dropped")}
 
 
 @query
@@ -37,6 +38,13 @@ def op1_language_id(spark, folder):
     )
 
 
+@query
+def op2_line_dedup(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    cleaned = lines.drop_boilerplate(docs, host="source", text="text", dropped="n_dropped")
+    return cleaned.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query
 def op4_quality(spark, folder):
     shares = quality.stored_shares(read_table(spark, folder, "documents"))
@@ -46,6 +54,20 @@ def op4_quality(spark, folder):
     )
 
 
+@query
+def op6_sharding(spark, folder):
+    text = F.coalesce("text", F.lit(""))
+    rows = read_table(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.md5(text.cast("binary")).alias("group"),
+    )
+    law = {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
+    placed = sharding.shard_rows(rows, F.col("group"), shards=8).withColumns(law)
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "home_shard")
+
+
 @query
 def op9_token_counts(spark, folder):
     return tokens.token_counts(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
