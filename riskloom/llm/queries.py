@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import language, lines, pieces, quality, sharding, tokens
+from riskloom.llm import language, lines, pieces, quality, sharding, substrings, tokens
 from riskloom.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op4_quality(spark, folder):
     )
 
 
+@query
+def op5_substring_dedup(spark, folder):
+    return substrings.remove_repeats(read_table(spark, folder, "documents"), window=13, keep_text=False)
+
+
 @query
 def op6_sharding(spark, folder):
     text = F.coalesce("text", F.lit(""))
