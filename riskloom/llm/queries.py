@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import language, lines, pieces, quality, sharding, substrings, tokens
+from riskloom.llm import jaccard, language, lines, pieces, quality, sharding, substrings, tokens
 from riskloom.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,11 @@ def op6_sharding(spark, folder):
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "home_shard")
 
 
+@query
+def op7_jaccard_join(spark, folder):
+    return jaccard.jaccard_components(read_table(spark, folder, "documents"), size=5, percent=80)
+
+
 @query
 def op9_token_counts(spark, folder):
     return tokens.token_counts(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
