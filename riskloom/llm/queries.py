@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, language, lines, pieces, quality, sharding, substrings, tokens
+from riskloom.llm import jaccard, language, lines, neighbours, pieces, quality, sharding, substrings, tokens
 from riskloom.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op2_line_dedup(spark, folder):
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@query
+def op3_neighbours(spark, folder):
+    return neighbours.nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query
 def op4_quality(spark, folder):
     shares = quality.stored_shares(read_table(spark, folder, "documents"))
