@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, language, lines, neighbours, pieces, quality, sharding, substrings, tokens
+from riskloom.llm import jaccard, language, leaks, lines, neighbours, pieces, quality, sharding, substrings, tokens
 from riskloom.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,11 @@ def op7_jaccard_join(spark, folder):
     return jaccard.jaccard_components(read_table(spark, folder, "documents"), size=5, percent=80)
 
 
+@query
+def op8_decontamination(spark, folder):
+    return leaks.leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 @query
 def op9_token_counts(spark, folder):
     return tokens.token_counts(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
