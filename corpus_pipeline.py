@@ -1,21 +1,60 @@
-"""The corpus pipeline: stages over ``documents``, each one operator of ``riskloom.llm``."""
+"""The corpus pipeline: stages over ``documents``, each one operator of ``riskloom.llm``.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the one before kept; all but
+the last return the columns they were given. Rows with a null id cannot be named in a
+decision and pass every filter. Documents are dropped by id, so all rows of an id go together.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskloom.llm import jaccard, language, leaks, lines, pieces
+from riskloom.llm.common import fold, read_table, stored
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the ids in ``gone`` (``doc_id``)."""
+    ids = stored(gone.select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(ids, docs["doc_id"].cast("long") == ids["_gone"], "left_anti")
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that lie too far from every language."""
+    model = language.fit_languages(docs, fold(3) != 1)
+    return _without(docs, language.predict_languages(docs, model).where("rejected"))
 
-from riskloom.llm import pieces
-from riskloom.llm.common import read_table, stored
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take each source's boilerplate lines out of its texts."""
+    cleaned = lines.drop_boilerplate(docs, host="source", text="text")
+    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each group of near duplicates."""
+    return _without(docs, jaccard.jaccard_components(docs).where("component_id <> doc_id"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that leak a benchmark item."""
+    return _without(docs, leaks.leaks(docs, read_table(spark, sf_dir, "benchmark")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids and decoded text of every document, as digests."""
-    import public_tokenizers
-
     return pieces.piece_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [("sentencepiece", encode)]
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("jaccard_join", dedup_documents),
+    ("decontamination", decontaminate),
+    ("sentencepiece", encode),
+]
 
 ORACLE_SQL = None
 

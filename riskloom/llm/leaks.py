@@ -29,14 +29,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices, small_batches, stored, text_rows
+from riskloom.llm.common import slices, small_batches, text_rows
 from riskloom.llm.packed import BASE, mix
 
 SEED_WORDS = 3
 KEPT = 0.5
 LEAST_SEEDS = 6
 PENALTY = 0.5
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 ITEMS_PER_BLOCK = 2_000
 
 find_words = regex.compile(rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+").findall
@@ -225,9 +225,3 @@ def _search(block: Block, threshold: float):
             )
 
     return search
-
-
-def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that leak no item; rows with a null id stay."""
-    hit = stored(leaks(docs, items, threshold).select(F.col("doc_id").alias("_leaked")).distinct())
-    return docs.join(hit, docs["doc_id"].cast("long") == hit["_leaked"], "left_anti")
