@@ -5,7 +5,8 @@ log counts times inverse document frequency, unit length, hashed to ``DIMENSIONS
 Document frequencies come from all training rows. Each language's vectors, a bounded sample
 of its labelled rows, are clustered by cosine (spherical k-means) into a few centroids. A
 text takes the language of the nearest centroid; it is rejected if it lies farther away
-than any training text of about its length, by more than a margin.
+than any training text of about its length by more than a margin, and at least
+``LEAST_REJECTED`` away.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0 and rejected;
 rows with a null language are predicted but teach nothing; ties go to the language that
@@ -32,6 +33,7 @@ DIMENSIONS = 1 << 13
 ROWS_PER_LANGUAGE = 2_000  # labelled rows that the clusters of one language are fitted on
 CENTROIDS = 4
 MARGIN = 0.1
+LEAST_REJECTED = 0.9  # texts nearer than this are never rejected, however few were learned from
 LENGTH_CLASSES = 32
 
 has_letter = regex.compile(r"\p{L}").search
@@ -185,7 +187,7 @@ def fit_languages(
     for r in found_rows:
         farthest = np.maximum(farthest, r["farthest"])
     # a shorter text is never held to a stricter limit than a longer one
-    farthest = np.maximum.accumulate(farthest[::-1])[::-1] + MARGIN
+    farthest = np.maximum(np.maximum.accumulate(farthest[::-1])[::-1] + MARGIN, LEAST_REJECTED)
     centres = np.array([r["centre"] for r in found_rows], np.float32).reshape(-1, DIMENSIONS)
     return LanguageModel(idf, [r["lang"] for r in found_rows], centres, farthest)
 
@@ -218,7 +220,7 @@ def _predicted(batch: pa.RecordBatch, model: LanguageModel) -> pa.RecordBatch:
         pick = near.argmax(axis=1)
         names = np.where(letters, np.array(model.languages, object)[pick], "und")
         best = np.where(letters, np.clip(near[np.arange(len(texts)), pick].astype(np.float64), 0, 1), 0.0)
-        rejected = rejected | (1 - best > np.minimum(model.farthest[classes], 1.0))
+        rejected = rejected | (1 - best > np.minimum(model.farthest[classes], 1 - 1e-3))
     return pa.RecordBatch.from_arrays(
         [
             batch.column("doc_id"),

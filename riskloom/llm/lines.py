@@ -19,9 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import stored
+
 BOILERPLATE_RATIO = 0.1
 MIN_PAGES = 3
 WHITE = " \t\r\n\v\f"
+BROADCAST_KEYS = 100_000  # of 16 bytes
 
 
 def line_key(line: Column) -> Column:
@@ -58,15 +61,20 @@ def drop_boilerplate(
     """``pages`` with the boilerplate lines taken out of ``text``; ``dropped`` names a column
     for the number of lines that went."""
     found = boilerplate_lines(pages, F.col(host), F.col(text), ratio, min_pages)
-    sites = found.groupBy(F.col("host").alias("_site")).agg(F.collect_list("key").alias("_keys"))
-    joined = pages.join(sites, pages[host] == sites["_site"], "left")
-    lines = F.split(F.col(text).cast("string"), "\n")
-    kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains("_keys", line_key(x)), F.lit(False)))
-    cleaned = joined.withColumn("_kept", F.when(F.col("_keys").isNotNull(), kept))
+    sites = stored(found.groupBy(F.col("host").alias("site")).agg(F.collect_list("key").alias("keys")))
+    if (sites.agg(F.sum(F.size("keys"))).first()[0] or 0) <= BROADCAST_KEYS:
+        sites = F.broadcast(sites)  # else the join splits a large host's pages
+    packed = pages.select(F.struct("*").alias("row"))
+    rows = packed.join(sites, F.col("row").getField(host) == F.col("site"), "left")
+    old = F.col("row").getField(text).cast("string")
+    lines = F.split(old, "\n")
+    kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains("keys", line_key(x)), F.lit(False)))
+    cleaned = rows.withColumn("kept", F.when(F.col("keys").isNotNull(), kept))
+    new = F.coalesce(F.array_join("kept", "\n"), old)
+    out = [new.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in pages.columns]
     if dropped is not None:
-        cleaned = cleaned.withColumn(dropped, F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)))
-    result = F.coalesce(F.array_join("_kept", "\n"), F.col(text).cast("string"))
-    return cleaned.withColumn(text, result).drop("_site", "_keys", "_kept")
+        out.append(F.coalesce(F.size(lines) - F.size("kept"), F.lit(0)).alias(dropped))
+    return cleaned.select(*out)
 
 
 def cleaned_sql(columns: str = "doc_id, lang, source", ratio: float = BOILERPLATE_RATIO, min_pages: int = MIN_PAGES,

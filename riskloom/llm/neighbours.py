@@ -86,6 +86,10 @@ def _matrix(batch: pa.RecordBatch, name: str = "v") -> np.ndarray:
     return flat.reshape(batch.num_rows, -1) if batch.num_rows else np.empty((0, 1))
 
 
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``vec_id, v array<double>`` of the vectors that take part."""
     v = F.col("v")
@@ -181,10 +185,10 @@ def nearest(
     ranged = order(range(curves)).repartitionByRange(parts, "curve", "key", "class")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
-        batch = table.combine_chunks().to_batches()[0]
+        batch = _joined(held)
         x, number = _matrix(batch), batch.column("class").to_numpy()
         curve, asked = batch.column("curve").to_numpy(), batch.column("asked").to_numpy(zero_copy_only=False)
         for c in np.unique(curve):
@@ -202,7 +206,9 @@ def nearest(
     shape = "query long, class long, score double"
     met = ranged.sortWithinPartitions("curve", "key", "class").mapInArrow(compare, shape)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "class")
-    first = stored(met.distinct().withColumn("n", F.row_number().over(best)).where(F.col("n") <= k))
+    # products of one pair may differ in the last place from curve to curve
+    met = met.groupBy("query", "class").agg(F.max("score").alias("score"))
+    first = stored(met.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k))
     if complete:
         first = _completed(classes, order(range(1)), first, total, k)
     return _expanded(rows, classes, first, is_query, k)
@@ -238,7 +244,7 @@ def _balls(rows: DataFrame, total: int, parts_of: int) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def block() -> pa.RecordBatch:
-            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            batch = _joined(held)
             x, limit = _matrix(batch), batch.column("bound").to_numpy()
             centre = x.mean(axis=0)
             values = [

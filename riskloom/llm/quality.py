@@ -201,7 +201,8 @@ def score_quality(shares: DataFrame, model: QualityModel, threshold: float = 0.7
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = basis(np.array(batch.column("shares").to_pylist(), float).reshape(-1, SHARES))
-            value = squashed((x @ model.weights + 1) / 2)
+            # products of equal rows may differ in the last place
+            value = np.round(squashed((x @ model.weights + 1) / 2), 12)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(value)], names=["doc_id", "score"])
 
     scored = shares.mapInArrow(score, "doc_id long, score double")

@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 from riskloom.llm.common import stored
 
 VIRTUAL_NODES = 64
-CELL_ROWS = 20_000
+CELL_ROWS = 1_000
 RING = 1 << 60
 
 
@@ -85,7 +85,7 @@ def _arc_table(spark: SparkSession, nodes: list[tuple[int, int]]) -> tuple[DataF
         (low * sectors // RING, low, high - 1, bisect_left(places, low) % len(nodes))
         for low, high in zip(cuts, cuts[1:], strict=False)
     ]
-    return spark.createDataFrame(rows, "sector long, low long, high long, _arc int"), sectors
+    return spark.createDataFrame(rows, "sector long, low long, high long, arc int"), sectors
 
 
 def shard_rows(
@@ -97,34 +97,29 @@ def shard_rows(
     nodes = ring_nodes(shards, virtual_nodes)
     owners = [s for _, s in nodes]
     table, sectors = _arc_table(spark, nodes)
-    names = rows.columns
-    hashed = stored(rows.withColumns({"_place": ring_place(key), "_order": F.xxhash64(*names)}))
-    sector = F.shiftright("_place", 60 - (sectors.bit_length() - 1))
-    placed = hashed.join(
-        F.broadcast(table),
-        (sector == F.col("sector")) & F.col("_place").between(F.col("low"), F.col("high")),
-    ).drop("sector", "low", "high", "_place")
-
-    arcs = {r["_arc"]: r["n"] for r in placed.groupBy("_arc").agg(F.count("*").alias("n")).collect()}
+    row = rows.select(F.struct("*").alias("row"), ring_place(key).alias("place"), F.xxhash64(*rows.columns).alias("order"))
+    sector = F.shiftright("place", 60 - (sectors.bit_length() - 1))
+    near = (sector == F.col("sector")) & F.col("place").between(F.col("low"), F.col("high"))
+    placed = stored(row).join(F.broadcast(table), near).select("row", "order", "arc")
+
+    arcs = {r["arc"]: r["n"] for r in placed.groupBy("arc").agg(F.count("*").alias("n")).collect()}
     plan = overflow_plan(arcs, owners, bounds(sum(arcs.values()), shards))
     homes = spark.createDataFrame(
-        [(a, owners[a], max(1, -(-n // cell_rows))) for a, n in arcs.items()], "_arc int, home_shard int, _cells int"
+        [(a, owners[a], max(1, -(-n // cell_rows))) for a, n in arcs.items()], "arc int, home_shard int, cells int"
     )
-    goes = spark.createDataFrame(plan, "_arc int, _first long, _end long, shard int, _slot long")
+    goes = spark.createDataFrame(plan, "start int, first long, end long, shard int, first_slot long")
 
-    celled = placed.join(F.broadcast(homes), "_arc").withColumn("_cell", F.pmod("_order", "_cells")).drop("_cells")
-    by_cell = Window.partitionBy("_arc", "_cell").orderBy("_order", *names)
-    before = Window.partitionBy("_arc").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    celled = placed.join(F.broadcast(homes), "arc").withColumn("cell", F.pmod("order", "cells"))
+    by_cell = Window.partitionBy("arc", "cell").orderBy("order", "row")
+    before = Window.partitionBy("arc").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        celled.groupBy("_arc", "_cell")
-        .agg(F.count("*").alias("_n"))
-        .select("_arc", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    ranked = celled.withColumn("_number", F.row_number().over(by_cell) - 1).join(offsets, ["_arc", "_cell"])
-    rank = F.col("_offset") + F.col("_number")
-    found = ranked.withColumn("_rank", rank).join(
-        F.broadcast(goes.withColumnRenamed("_arc", "_from")),
-        (F.col("_arc") == F.col("_from")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end")),
+        celled.groupBy("arc", "cell")
+        .agg(F.count("*").alias("n"))
+        .select("arc", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     )
-    slot = (F.col("_slot") + F.col("_rank") - F.col("_first")).alias("slot")
-    return found.select(*names, "shard", slot, "home_shard")
+    ranked = celled.withColumn("number", F.row_number().over(by_cell) - 1).join(offsets, ["arc", "cell"])
+    ranked = ranked.withColumn("rank", F.col("offset") + F.col("number"))
+    here = (F.col("arc") == F.col("start")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))
+    slot = F.col("first_slot") + F.col("rank") - F.col("first")
+    fields = [F.col("row").getField(c).alias(c) for c in rows.columns]
+    return ranked.join(F.broadcast(goes), here).select(*fields, "shard", slot.alias("slot"), "home_shard")

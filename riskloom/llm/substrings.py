@@ -1,7 +1,7 @@
 """Removal of word runs that repeat an earlier document, by fixed-block anchors.
 
 A run of ``window`` words (13) that two documents share covers, in either, one whole block
-of ``window // 2 + 1`` words (7) among the blocks that do not overlap and start at word 0
+of ``(window + 1) // 2`` words (7) among the blocks that do not overlap and start at word 0
 of a document. So these blocks are the index, and every rolling block of every document
 probes it. Only where a probe hits are windows looked at: hits grow to the exact windows
 around them, each distinct window of a chunk is sent once, with the smallest document that
@@ -97,7 +97,7 @@ def remove_repeats(
     docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True
 ) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` and, if wanted, ``kept``: the words left, joined by spaces."""
-    block = window // 2 + 1
+    block = (window + 1) // 2
     packed = chunks(docs, id_col, text_col)
     buckets = bucket_count(packed)
 
