@@ -33,7 +33,7 @@ from riskloom.constants import (
     STATS_DAYS,
 )
 from riskloom.functions.columns import calendar_columns, cents, channel_code, half_up, micros
-from riskloom.operators.ordering import before_part, place_in_order, rank_blocks
+from riskloom.operators.ordering import before_part, join_same, place_in_order, rank_blocks
 from riskloom.session import broadcast_if_small, checkpoint
 
 LONG_USER_ROWS = 200_000
@@ -91,8 +91,10 @@ def in_blocks(
     if long_users.isEmpty():
         return txn.withColumns(whole), False
     long_users = broadcast_if_small(long_users)
-    short = txn.join(long_users, "user_id", "left_anti").withColumns(whole)
-    described = _describe_long(txn.join(long_users, "user_id", "left_semi"), order)
+    named = long_users.withColumnRenamed("user_id", "_long_user")
+    is_long = F.col("user_id").eqNullSafe(F.col("_long_user"))  # rows without a user may be many
+    short = txn.join(named, is_long, "left_anti").withColumns(whole)
+    described = _describe_long(txn.join(named, is_long, "left_semi"), order)
     cut = rank_blocks(described, block_rows, overlap).withColumn("_long", F.lit(True))
     return short.unionByName(cut.select(*short.columns)), True
 
@@ -109,10 +111,10 @@ def _describe_long(txn: DataFrame, order: Sequence[str]) -> DataFrame:
     rows_before = before_part(placed, ["user_id"], {"rows": F.lit(1)})
     of_country = before_part(placed, ["user_id", "country"], {"seen": F.lit(1)})
     of_merchant = before_part(placed, ["user_id", "merchant_id"], {"visits": F.lit(1)})
+    by_user = join_same(placed, rows_before, ["user_id", "_part"])
+    by_country = join_same(by_user, of_country, ["user_id", "country", "_part"])
     counted = (
-        placed.join(rows_before, ["user_id", "_part"])
-        .join(of_country, ["user_id", "country", "_part"])
-        .join(of_merchant, ["user_id", "merchant_id", "_part"])
+        join_same(by_country, of_merchant, ["user_id", "merchant_id", "_part"])
         .withColumn("_rank", F.col("_before_rows") + F.row_number().over(here) - 1)
         .withColumn("_nth", F.col("_before_seen") + F.row_number().over(country_here))
         .withColumn(
@@ -125,7 +127,7 @@ def _describe_long(txn: DataFrame, order: Sequence[str]) -> DataFrame:
     lead_before = before_part(counted, ["user_id"], maxima={"lead": F.col("_lead")})
     earlier = here.rowsBetween(Window.unboundedPreceding, -1)
     home = F.greatest(F.col("_before_lead"), F.max("_lead").over(earlier))
-    return counted.join(lead_before, ["user_id", "_part"]).withColumn("_home", home["country"])
+    return join_same(counted, lead_before, ["user_id", "_part"]).withColumn("_home", home["country"])
 
 
 # --- parts shared by both orders ---------------------------------------------

@@ -152,26 +152,23 @@ def train_isolation_forest(
     trees: int = FOREST_PARAMS["trees"],
     sample_rows: int = FOREST_PARAMS["sample_rows"],
     seed: int = FOREST_PARAMS["seed"],
-    pool_rows: int = 200_000,
     key: str = "transaction_id",
 ) -> IsolationForest:
     """Grow trees on random samples of 256 rows each, one task per tree.
 
-    Each row gets a hash per tree and the smallest 256 form that tree's sample. On large
-    tables a hash first thins the table to a pool of about ``pool_rows``; per tree a
-    second threshold leaves a few times 256 rows before ranking, so groups stay small."""
+    Each row gets a hash per tree and the smallest 256 form that tree's sample. A threshold
+    on the hash leaves a few times 256 rows of all rows for each tree before anything is
+    copied or ranked, so groups stay small whatever the table's size."""
     present = [c for c in columns if c in rows.columns]
     total = rows.count()
-    unit = lambda *parts: (F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) / float(1 << 30))
-    pool = rows.select(key, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in present]).alias("x"))
-    if total > pool_rows:
-        pool = pool.where(unit(F.col(key), F.lit(seed)) < pool_rows / total)
-        total = pool_rows
+    unit = lambda *parts: (F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / float(1 << 40))
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in present])
     keep = min(1.0, 4.0 * sample_rows / max(total, 1))
+    draw = lambda tree: unit(F.col(key), F.lit(seed), tree)
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) <= keep)
     drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", unit(F.col(key), F.lit(seed), F.col("tree")))
-        .where(F.col("draw") <= keep)
+        rows.select(key, values.alias("x"), F.explode(chosen).alias("tree"))
+        .select("tree", draw(F.col("tree")).alias("draw"), "x")
         .groupBy("tree")
         .agg(F.slice(F.sort_array(F.collect_list(F.struct("draw", "x"))), 1, sample_rows).alias("s"))
         .select("tree", F.explode("s").alias("s"))

@@ -8,6 +8,7 @@ table with one row per (group, part), so only that small table is scanned in ord
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -34,6 +35,13 @@ def place_in_order(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     )
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where NULL equals NULL; the left side's keys are kept."""
+    named = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys])
+    return left.join(named, same, how).drop(*[f"_same_{k}" for k in keys])
+
+
 def before_part(
     placed: DataFrame,
     group: Sequence[str],
@@ -75,8 +83,8 @@ def running_totals(
     placed = place_in_order(df, [*group, *order])
     per_part = before_part(placed, group, sums, with_total=True)
     if following:
-        per_part = per_part.join(_next_part_head(placed, group, following), [*group, "_part"])
-    carried = placed.join(per_part, [*group, "_part"])
+        per_part = join_same(per_part, _next_part_head(placed, group, following), [*group, "_part"])
+    carried = join_same(placed, per_part, [*group, "_part"])
     place = Window.partitionBy(*group, "_part").orderBy("_place")
     here = place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     in_part = F.lead(F.struct(*following)).over(place) if following else None
@@ -108,10 +116,9 @@ def ranked(df: DataFrame, order: Sequence[Column | str], group: Sequence[str] =
             (F.col("_before_rows") + F.col("_place")).alias("_rank"),
         )
     # first place of the group inside each part, and its rows in earlier parts
-    starts = before_part(placed, group, {"rows": F.lit(1)}).join(
-        placed.groupBy(*group, "_part").agg(F.min("_place").alias("_first")), [*group, "_part"]
-    )
-    return placed.join(starts, [*group, "_part"]).select(
+    firsts = placed.groupBy(*group, "_part").agg(F.min("_place").alias("_first"))
+    starts = join_same(before_part(placed, group, {"rows": F.lit(1)}), firsts, [*group, "_part"])
+    return join_same(placed, starts, [*group, "_part"]).select(
         *df.columns, "_part", "_place",
         (F.col("_before_rows") + F.col("_place") - F.col("_first")).alias("_rank"),
     )
@@ -183,19 +190,29 @@ def _rows_by_bracket(
     keys: DataFrame, order: Sequence[str], positions: Sequence[int], rows: int, sample_rows: int
 ) -> dict[int, Row]:
     lead = F.col(order[0])
-    sampled = keys.where(F.pmod(F.xxhash64(*order), F.lit(rows)) < sample_rows)
-    # five standard errors of a sampled rank on either side
-    margin = 2.5 / sample_rows**0.5
-    ends = [min(max(p / rows + side, 0.0), 1.0) for p in positions for side in (-margin, margin)]
+    nulls = keys.where(lead.isNull()).count()  # they come first
+    found = {}
+    for position in [p for p in positions if p < nulls]:
+        hit = _rows_by_sort(keys.where(lead.isNull()), order, [position])
+        found |= {position: row for row in hit.values()}
+    later = [p for p in positions if p >= nulls]
+    sampled = keys.where(lead.isNotNull() & (F.pmod(F.xxhash64(*order), F.lit(rows)) < sample_rows))
+    # five standard errors of a sampled rank on either side, were all rows with a value
+    margin = 2.5 / (sample_rows * max(rows - nulls, 1) / rows) ** 0.5
+    shares = [(p - nulls) / max(rows - nulls, 1) for p in later]
+    ends = [min(max(share + side, 0.0), 1.0) for share in shares for side in (-margin, margin)]
+    if not ends:
+        return found
     values = sampled.agg(F.percentile_approx(lead, F.array(*[F.lit(e) for e in ends]), 100_000)).first()[0]
     if values is None:
-        return {}
+        return found
     kind = keys.schema[order[0]].dataType
     brackets = [
-        (p, F.lit(values[2 * i]).cast(kind), F.lit(values[2 * i + 1]).cast(kind)) for i, p in enumerate(positions)
+        (p, F.lit(values[2 * i]).cast(kind), F.lit(values[2 * i + 1]).cast(kind)) for i, p in enumerate(later)
     ]
-    below = keys.agg(*[F.count_if(lead < low).alias(f"b{i}") for i, (_, low, _) in enumerate(brackets)]).first()
-    found = {}
+    below = keys.agg(
+        *[F.count_if(lead.isNull() | (lead < low)).alias(f"b{i}") for i, (_, low, _) in enumerate(brackets)]
+    ).first()
     for i, (position, low, high) in enumerate(brackets):
         inside = position - below[f"b{i}"]
         if inside >= 0:

@@ -118,6 +118,8 @@ def drift_columns(features: DataFrame) -> DataFrame:
         default = F.lit(_DRIFT_DEFAULTS.get(name, 0))
         if kinds[name] == "boolean":
             return F.coalesce(F.col(name).cast("int"), default.cast("int"))
+        if kinds[name] == "string":  # text that is no number counts as 0, a missing one as the default
+            return F.when(F.col(name).isNull(), default.cast("double")).otherwise(number_or_zero(F.col(name)))
         return F.coalesce(F.col(name).cast("double"), default.cast("double"))
 
     present = [n for n in DRIFT_COLUMNS if n in kinds]
@@ -137,6 +139,16 @@ def drift_scan(features: DataFrame, which: str, rows: int | None = None, order_b
     return drift_columns(features).orderBy(*order).limit(rows)
 
 
+def drift_period(
+    features: DataFrame, since: Column | None = None, before: Column | None = None, time: str = "event_time"
+) -> DataFrame:
+    """All rows of a period, from ``since`` on and ``before`` a moment."""
+    frame = drift_columns(features)
+    if since is not None:
+        frame = frame.where(F.col(time) >= since)
+    return frame if before is None else frame.where(F.col(time) < before)
+
+
 def enough_for_drift(rows: DataFrame, minimum: int = DRIFT_MIN_ROWS) -> bool:
     return rows.limit(minimum).count() >= minimum
 
@@ -281,13 +293,11 @@ def class_balance(df: DataFrame) -> DataFrame:
 def data_fingerprint(df: DataFrame) -> DataFrame:
     """A fingerprint of ids and labels that does not depend on row order: changes when a
     row is added, dropped, repeated or relabelled. 16 hex digits."""
-    row = F.xxhash64(F.col("transaction_id").cast("string"), F.col("label").cast("string"))
+    row = F.md5(F.concat_ws("|", F.col("transaction_id").cast("string"), F.col("label").cast("string")))
+    part = lambda start: F.conv(F.substring(row, start, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(row.cast("decimal(28,0)")).alias("h"),
-        F.sum((row % 1_000_003 * (row % 998_244_353)).cast("decimal(28,0)")).alias("g"),
+        F.count(F.lit(1)).alias("n"), F.sum(part(1)).alias("h"), F.sum(part(16)).alias("g")
     ).select(
         F.col("n").alias("total_rows"),
-        F.substring(F.sha2(F.concat_ws("|", "n", "h", "g"), 256), 1, 16).alias("fingerprint"),
+        F.substring(F.md5(F.concat_ws("|", "n", "h", "g")), 1, 16).alias("fingerprint"),
     )
-

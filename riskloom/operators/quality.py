@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 from riskloom.constants import DECISIONS, ERROR_BUDGET, RESOLUTIONS
 
 REQUEST_FIELDS = ["transaction_id", "user_id", "amount", "channel", "country", "merchant_id"]
+FEATURE_ROW_FIELDS = [f for f in REQUEST_FIELDS if f != "merchant_id"]  # stored features name no merchant
 
 
-def request_reasons() -> Column:
+def request_reasons(fields: Sequence[str] = REQUEST_FIELDS) -> Column:
     """What makes a row unfit for scoring, as an array (empty when fit)."""
-    missing = [F.when(F.col(n).isNull(), F.lit(f"missing_{n}")) for n in REQUEST_FIELDS]
+    missing = [F.when(F.col(n).isNull(), F.lit(f"missing_{n}")) for n in fields]
     return F.array_compact(
         F.array(*missing, F.when(F.col("amount") <= 0, F.lit("amount_not_positive")))
     )
 
 
-def split_requests(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    checked = rows.withColumn("reasons", request_reasons())
+def split_requests(rows: DataFrame, fields: Sequence[str] = REQUEST_FIELDS) -> tuple[DataFrame, DataFrame]:
+    checked = rows.withColumn("reasons", request_reasons(fields))
     return checked.where(F.size("reasons") == 0).drop("reasons"), checked.where(F.size("reasons") > 0)
 
 

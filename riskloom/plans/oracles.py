@@ -9,7 +9,7 @@ from riskloom.constants import (
     SCORING_BUCKETS,
 )
 from riskloom.functions.statistics import ERFC
-from riskloom.plans.queries import IMPORTANCES
+from riskloom.plans.queries import DRIFT_MOMENT, IMPORTANCES
 
 TXN = """
 a AS (
@@ -237,13 +237,23 @@ def _drift_frame() -> str:
 _NAMES = ", ".join(DRIFT_FEATURES)
 
 
-def _sets(reference_rows: int = 5000) -> str:
+_MOMENT = f"epoch_us(TIMESTAMP '{DRIFT_MOMENT}')"
+
+
+def _sets(reference_rows: int | None = None) -> str:
+    if reference_rows is None:
+        ends = f"""
+, refr AS (SELECT * FROM fr WHERE us < {_MOMENT})
+, curr AS (SELECT * FROM fr WHERE us >= {_MOMENT})"""
+    else:
+        ends = f"""
+, refr AS (SELECT * FROM fr ORDER BY us, transaction_id LIMIT {reference_rows})
+, curr AS (SELECT * FROM fr ORDER BY us DESC, transaction_id DESC LIMIT 1000)"""
     return (
         FEATURES
         + _drift_frame()
+        + ends
         + f"""
-, refr AS (SELECT * FROM fr ORDER BY us, transaction_id LIMIT {reference_rows})
-, curr AS (SELECT * FROM fr ORDER BY us DESC, transaction_id DESC LIMIT 1000)
 , long AS (
   SELECT feature, value, false AS is_current FROM (UNPIVOT (SELECT {_NAMES} FROM refr) ON {_NAMES} INTO NAME feature VALUE value)
   UNION ALL
@@ -283,7 +293,7 @@ def _erfc(x: str) -> str:
     return f"({t}*exp(-({x})*({x}) + {poly}))"
 
 
-def _tests(reference_rows: int = 5000) -> str:
+def _tests(reference_rows: int | None = None) -> str:
     half = "(chi2/2)"
     ks = "sqrt(CAST(n AS DOUBLE)*m/(n+m))*ks_d"
     return (
@@ -319,7 +329,7 @@ def _half(e: str, digits: int) -> str:
     return f"floor(({e})*1e{digits}+0.5e0)/1e{digits}"
 
 
-def _report(reference_rows: int = 5000) -> str:
+def _report(reference_rows: int | None = None) -> str:
     return (
         _tests(reference_rows)
         + f"""
@@ -342,7 +352,7 @@ BY_WINDOW = (
     FEATURES
     + _drift_frame()
     + f"""
-, refr AS (SELECT * FROM fr ORDER BY us, transaction_id LIMIT 5000)
+, refr AS (SELECT * FROM fr WHERE us < {_MOMENT})
 , rl AS (SELECT feature, value FROM (UNPIVOT (SELECT {_NAMES} FROM refr) ON {_NAMES} INTO NAME feature VALUE value))
 , edges AS (SELECT feature, n, rm, CASE WHEN lo=hi THEN lo-0.5e0 ELSE lo END AS lo, CASE WHEN lo=hi THEN hi+0.5e0 ELSE hi END AS hi
   FROM (SELECT feature, count(*) AS n, avg(value) AS rm, min(value) AS lo, max(value) AS hi FROM rl GROUP BY feature))
@@ -498,6 +508,10 @@ def all_oracles() -> dict[str, str]:
     o["split_stats"] = _with(SPLIT, f"SELECT split, {stats} FROM split GROUP BY split")
     o["dataset_stats"] = _with(TXN, f"SELECT {stats}, count(DISTINCT user_id) AS unique_users FROM txn WHERE label IS NOT NULL")
     o["data_stats"] = _with(TXN, "SELECT count(*) AS total_rows, min(transaction_id) AS oldest_transaction, max(transaction_id) AS newest_transaction FROM txn")
+    o["data_fingerprint"] = _with(TXN, """
+      , h AS (SELECT md5(concat_ws('|', CAST(transaction_id AS VARCHAR), CAST(label AS VARCHAR))) AS h FROM txn WHERE label IS NOT NULL)
+      , s AS (SELECT count(*) AS n, sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS a, sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS b FROM h)""",
+      "SELECT n AS total_rows, substr(md5(concat_ws('|', CAST(n AS VARCHAR), CAST(a AS VARCHAR), CAST(b AS VARCHAR))), 1, 16) AS fingerprint FROM s")
     o["class_balance"] = _with(TXN, """SELECT count(*) FILTER (NOT label) AS negatives, count(*) FILTER (label) AS positives,
         CASE WHEN count(*) FILTER (label) > 0 THEN CAST(count(*) FILTER (NOT label) AS DOUBLE)/count(*) FILTER (label) ELSE 1e0 END AS positive_weight FROM txn""")
     gaps = ["amount_zscore", "user_avg_amount_30d", "minutes_since_last_txn"]
@@ -584,8 +598,8 @@ def all_oracles() -> dict[str, str]:
 
     # drift
     drift_names = ", ".join([*MODEL_FEATURES, "label"])
-    o["drift_reference"] = _with(_sets(), f"SELECT transaction_id, {drift_names} FROM refr")
-    o["drift_current"] = _with(_sets(), f"SELECT transaction_id, {drift_names} FROM curr")
+    o["drift_reference"] = _with(_sets(5000), f"SELECT transaction_id, {drift_names} FROM refr")
+    o["drift_current"] = _with(_sets(5000), f"SELECT transaction_id, {drift_names} FROM curr")
     o["drift_wasserstein"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('wasserstein', 6)} AS wasserstein FROM tests")
     o["drift_ks"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('ks_d', 6)} AS ks_d, {_half('ks_p', 6)} AS ks_p FROM tests")
     o["drift_js"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('js_distance', 6)} AS js_distance FROM tests")
@@ -600,6 +614,7 @@ def all_oracles() -> dict[str, str]:
         {_half('cs', 6)} AS current_std, {_half('psi', 6)} AS psi, psi > 0.1e0 AS drift_detected FROM mom JOIN psi USING (feature)""")
     o["drift_report"] = _with(_report(), "SELECT * FROM report")
     o["drift_report_small"] = _with(_report(1000), "SELECT * FROM report")
+    o["drift_report_n"] = _with(_report(5000), "SELECT * FROM report")
     o["drift_dataset"] = _with(_report(), """
       SELECT count(*) AS features_checked, count(*) FILTER (drift_detected) AS features_drifted, CAST(count(*) FILTER (drift_detected) AS DOUBLE)/count(*) AS share_drifted,
         0.5e0 AS drift_share_threshold, CAST(count(*) FILTER (drift_detected) AS DOUBLE)/count(*) >= 0.5e0 AS dataset_drift,

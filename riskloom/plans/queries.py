@@ -341,8 +341,12 @@ def data_fingerprint(spark, folder):
 
 def _split_features(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled feature rows, stored once, with their split."""
-    rows = _features(spark, folder).where(F.col("label").isNotNull())
-    return pr.time_split(checkpoint(rows.drop("score", "latency_ms", "merchant_id", "device_id")))
+    return _with_split(checkpoint(_features(spark, folder).where(F.col("label").isNotNull())))
+
+
+def _with_split(features: DataFrame) -> DataFrame:
+    rows = features.where(F.col("label").isNotNull())
+    return pr.time_split(rows.drop("score", "latency_ms", "merchant_id", "device_id"))
 
 
 @query
@@ -531,8 +535,18 @@ def drift_current(spark, folder):
     return pr.drift_scan(_features(spark, folder), "current").drop("event_time")
 
 
-def _halves(spark, folder, reference: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both scans of one stored feature table; it is computed once."""
+# the moment that parts the drift queries' reference period from the current one
+DRIFT_MOMENT = "2024-01-21 00:00:00"
+
+
+def _halves(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """All rows before and from a moment, of one stored feature table; it is computed once."""
+    features, moment = _stored(spark, folder), F.lit(DRIFT_MOMENT).cast("timestamp")
+    return pr.drift_period(features, before=moment), pr.drift_period(features, since=moment)
+
+
+def _ends(spark, folder, reference: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The first and the last rows, by number."""
     features = _stored(spark, folder)
     return pr.drift_scan(features, "reference", reference), pr.drift_scan(features, "current")
 
@@ -583,7 +597,13 @@ def drift_report(spark, folder):
 @query
 def drift_report_small(spark, folder):
     """A reference of 1,000 rows or fewer, so p-value tests are chosen."""
-    return dr.drift_report(*_halves(spark, folder, 1_000))
+    return dr.drift_report(*_ends(spark, folder, 1_000))
+
+
+@query
+def drift_report_n(spark, folder):
+    """The first rows against the last, as many as the scheduled check takes."""
+    return dr.drift_report(*_ends(spark, folder))
 
 
 @query
@@ -593,7 +613,7 @@ def drift_dataset(spark, folder):
 
 def _by_window(spark, folder):
     features = _stored(spark, folder)
-    reference = checkpoint(pr.drift_scan(features, "reference"))
+    reference = checkpoint(pr.drift_period(features, before=F.lit(DRIFT_MOMENT).cast("timestamp")))
     return dr.drift_by_window(reference, features, features=DRIFT_FEATURES)
 
 
@@ -668,26 +688,27 @@ def train_classifier(spark, folder):
     return ev.evaluation_report(scored.select("transaction_id", "split", "label", "score"))
 
 
-def _trained(spark: SparkSession, folder: str):
-    """A smaller model where the model itself is not the point."""
-    return mo.train_classifier(pr.prepared_features(_split_features(spark, folder)), params={"maxIter": 10})
+def _trained(spark: SparkSession, folder: str) -> tuple:
+    """The documented model, and the feature rows, which are computed once for both."""
+    features = checkpoint(_features(spark, folder))
+    return mo.train_classifier(pr.prepared_features(_with_split(features))), features
 
 
 @query
 def feature_importance(spark, folder):
-    return mo.feature_importance(_trained(spark, folder))
+    return mo.feature_importance(_trained(spark, folder)[0])
 
 
 @query
 def score_batch(spark, folder):
-    model = _trained(spark, folder)
-    return mo.score(model, pr.scoring_input(_features(spark, folder))).select("transaction_id", "score")
+    model, features = _trained(spark, folder)
+    return mo.score(model, pr.scoring_input(features)).select("transaction_id", "score")
 
 
 @query
 def score_pipeline(spark, folder):
-    model = _trained(spark, folder)
-    done = mo.score_and_explain(model, pr.scoring_input(_features(spark, folder)))
+    model, features = _trained(spark, folder)
+    done = mo.score_and_explain(model, pr.scoring_input(features))
     return done.select("transaction_id", "score", "decision", F.to_json("top_features").alias("top_features"), "risk_factors")
 
 
@@ -695,5 +716,5 @@ def score_pipeline(spark, folder):
 def anomaly_scores(spark, folder):
     rows = pr.prepared_features(_split_features(spark, folder))
     forest = mo.train_isolation_forest(rows.where("split = 'train'"))
-    test = checkpoint(mo.anomaly_scores(forest, rows.where("split = 'test'")))
-    return ev.normalised(test, "anomaly_score", "anomaly_norm").select("transaction_id", "label", "anomaly_score", "anomaly_norm")
+    scored = checkpoint(mo.anomaly_scores(forest, rows))
+    return ev.normalised(scored, "anomaly_score", "anomaly_norm").select("transaction_id", "label", "anomaly_score", "anomaly_norm")

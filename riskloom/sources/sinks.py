@@ -6,12 +6,15 @@ table is merged when read and can be compacted into a new folder."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.schemas import RECOMPUTED, TRANSACTION_FEATURES, columns_of
+from riskloom.sources.messages import OFFSET
 
 BATCH = "batch_id"
+ID_BUCKETS = 256
 
 
 def append_batch(df: DataFrame, table: str, batch_id: int) -> None:
@@ -28,18 +31,36 @@ def append_dated_batch(df: DataFrame, table: str, batch_id: int, time: str = "ev
     )
 
 
-def table_exists(spark: SparkSession, table: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+def read_batches(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
+    """All batches of a table, or those before one batch; None when none holds a row yet."""
+    try:
+        df = spark.read.option("basePath", table).parquet(f"{table}/{BATCH}=*")
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return df if before is None else df.where(F.col(BATCH) < before)
 
 
-def read_batches(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
-    """All batches of a table, or those before one batch; None when there is none yet."""
-    if not table_exists(spark, table):
+def id_bucket() -> Column:
+    return F.pmod(F.xxhash64("transaction_id"), F.lit(ID_BUCKETS)).cast("int")
+
+
+def append_ids(rows: DataFrame, table: str, batch_id: int) -> None:
+    """The ids and message offsets of a batch, in folders by a hash of the id."""
+    ids = rows.select("transaction_id", *OFFSET).withColumn("bucket", id_bucket())
+    # at most one task, so one file, for each bucket
+    ids.repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/{BATCH}={batch_id}")
+
+
+def known_ids(spark: SparkSession, table: str, rows: DataFrame, before: int) -> DataFrame | None:
+    """Ids and offsets of earlier batches, whatever their dates, from the buckets that
+    the ids in ``rows`` fall in; a repeated message falls in the bucket of its first copy."""
+    stored = read_batches(spark, table, before)
+    if stored is None:
         return None
-    df = spark.read.option("basePath", table).parquet(f"{table}/{BATCH}=*")
-    return df if before is None else df.where(F.col(BATCH) < before)
+    touched = [r[0] for r in rows.select(id_bucket().alias("b")).distinct().collect()]  # ID_BUCKETS at most
+    return stored.where(F.col("bucket").isin(touched)).select("transaction_id", *OFFSET)
 
 
 def merge_rows(rows: DataFrame, version: str, key: str = "transaction_id") -> DataFrame:

@@ -19,19 +19,19 @@ from riskloom.operators.drift import drift_dataset, drift_report
 from riskloom.operators.history import feature_rows
 from riskloom.operators.models import score_and_explain
 from riskloom.operators.prepare import drift_columns, drift_scan, enough_for_drift, scoring_input
-from riskloom.operators.quality import split_requests, within_error_budget
+from riskloom.operators.quality import FEATURE_ROW_FIELDS, REQUEST_FIELDS, split_requests, within_error_budget
 from riskloom.session import broadcast_if_small, checkpoint
 from riskloom.sources.messages import accept_new, feature_input, good_rows, parse_messages, quarantined
 from riskloom.sources.sinks import (
     append_batch,
     append_dated_batch,
+    append_ids,
     current_features,
+    known_ids,
     read_batches,
     stored_features,
 )
 
-MAX_DATES = 400
-
 
 class ErrorBudgetSpent(RuntimeError):
     pass
@@ -42,42 +42,39 @@ def _start(stream: DataFrame, work, progress: str, trigger: dict | None) -> Stre
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _on_dates_of(stored: DataFrame | None, rows: DataFrame) -> DataFrame | None:
-    """The part of a dated table on the event dates of a batch. A repeated message has
-    the same event time, so this is where its first copy lies; other days are not read."""
-    if stored is None:
-        return None
-    dates = [
-        r[0] for r in rows.select(F.to_date("event_time").alias("d")).distinct().limit(MAX_DATES + 1).collect()
-    ]
-    return stored if len(dates) > MAX_DATES else stored.where(F.col("event_date").isin(dates))
-
-
 # --- raw events ------------------------------------------------------------------
 
 
-def ingest_batch(messages: DataFrame, batch_id: int, folder: str, error_budget: int | None = ERROR_BUDGET) -> None:
-    """Store new messages, rejects and quarantined rows of one micro-batch."""
+def ingest_batch(
+    messages: DataFrame, batch_id: int, folder: str, error_budget: int | None = ERROR_BUDGET, since: int | None = None
+) -> None:
+    """Store new messages, rejects and quarantined rows of one micro-batch.
+
+    ``since`` is the first batch of this run. Once the run's batches before this one have
+    quarantined more than ``error_budget`` rows, it stops before touching anything: the
+    batch that spent the budget is committed, and a new run goes on behind it."""
     spark = messages.sparkSession
+    if error_budget is not None and since is not None:
+        spent = read_batches(spark, f"{folder}/quarantine", before=batch_id)
+        if spent is not None and not within_error_budget(spent.where(F.col("batch_id") >= since), error_budget):
+            raise ErrorBudgetSpent(f"more than {error_budget} bad messages since batch {since}")
     parsed = parse_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = good_rows(parsed)
-        stored = _on_dates_of(read_batches(spark, f"{folder}/raw_events", before=batch_id), good)
-        accepted, rejected = accept_new(good, stored)
+        accepted, rejected = accept_new(good, known_ids(spark, f"{folder}/raw_ids", good, batch_id))
         append_dated_batch(accepted, f"{folder}/raw_events", batch_id)
         append_batch(rejected, f"{folder}/rejects", batch_id)
-        bad = quarantined(parsed)
-        append_batch(bad, f"{folder}/quarantine", batch_id)
-        if error_budget is not None and not within_error_budget(bad, error_budget):
-            raise ErrorBudgetSpent(f"more than {error_budget} bad messages in batch {batch_id}")
+        append_batch(quarantined(parsed), f"{folder}/quarantine", batch_id)
+        append_ids(accepted, f"{folder}/raw_ids", batch_id)
     finally:
         parsed.unpersist()
 
 
 def start_ingest(messages: DataFrame, folder: str, trigger: dict | None = None, error_budget: int | None = ERROR_BUDGET) -> StreamingQuery:
+    run: dict[str, int] = {}
     return _start(
         messages,
-        lambda df, i: ingest_batch(df, i, folder, error_budget),
+        lambda df, i: ingest_batch(df, i, folder, error_budget, run.setdefault("since", i)),
         f"{folder}/_progress/ingest",
         trigger,
     )
@@ -91,30 +88,16 @@ HISTORY_COLUMNS = [
 ]
 
 
-def features_batch(
-    messages: DataFrame,
-    batch_id: int,
-    folder: str,
-    lookback_days: int | None = None,
-    order: str = "arrival",
-) -> None:
+def features_batch(messages: DataFrame, batch_id: int, folder: str, order: str = "arrival") -> None:
     """Features of one micro-batch: new rows join the earlier rows of the same users, the
-    batch operator runs over both, and the new rows are kept.
-
-    ``lookback_days`` limits the history that is read to that many days before the batch
-    (whole days are skipped on disk); first visits and home country then look back no
-    further. Without it the result equals the batch job over all rows."""
+    batch operator runs over both, and the new rows are kept. Equals the batch job."""
     spark = messages.sparkSession
     good = good_rows(parse_messages(messages))
-    rows, _ = accept_new(good)
-    new = checkpoint(feature_input(rows).select(*HISTORY_COLUMNS))
+    rows, _ = accept_new(good, known_ids(spark, f"{folder}/feature_ids", good, batch_id))
+    rows = checkpoint(rows)
+    new = feature_input(rows).select(*HISTORY_COLUMNS)
     history = read_batches(spark, f"{folder}/history", before=batch_id)
     if history is not None:
-        seen = _on_dates_of(history, new).select("transaction_id")
-        new = checkpoint(new.join(seen, "transaction_id", "left_anti").select(*HISTORY_COLUMNS))
-        if lookback_days is not None:
-            first = new.agg(F.min(F.to_date("event_time"))).first()[0]
-            history = history.where(F.col("event_date") >= F.date_sub(F.lit(first), lookback_days))
         users = broadcast_if_small(checkpoint(new.select("user_id").distinct()))
         past = history.join(users, "user_id", "left_semi").select(*HISTORY_COLUMNS)
         both = past.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
@@ -124,18 +107,15 @@ def features_batch(
     features = feature_rows(both, order=order, arrival="arrival").where("_new")
     append_dated_batch(stored_features(features), f"{folder}/transaction_features", batch_id)
     append_dated_batch(new, f"{folder}/history", batch_id)
+    append_ids(rows, f"{folder}/feature_ids", batch_id)
 
 
 def start_features(
-    messages: DataFrame,
-    folder: str,
-    trigger: dict | None = None,
-    lookback_days: int | None = None,
-    order: str = "arrival",
+    messages: DataFrame, folder: str, trigger: dict | None = None, order: str = "arrival"
 ) -> StreamingQuery:
     return _start(
         messages,
-        lambda df, i: features_batch(df, i, folder, lookback_days, order),
+        lambda df, i: features_batch(df, i, folder, order),
         f"{folder}/_progress/features",
         trigger,
     )
@@ -148,7 +128,8 @@ def score_batch(
     rows: DataFrame, batch_id: int, folder: str, model: PipelineModel, name: str, version: str, clock: str = "event"
 ) -> None:
     """Score one micro-batch of feature rows, keep the decisions, append the alerts."""
-    fit, unfit = split_requests(rows.withColumn("merchant_id", F.lit("known")) if "merchant_id" not in rows.columns else rows)
+    fields = REQUEST_FIELDS if "merchant_id" in rows.columns else FEATURE_ROW_FIELDS
+    fit, unfit = split_requests(rows, fields)
     scored = score_and_explain(model, scoring_input(fit, clock=clock)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         append_batch(

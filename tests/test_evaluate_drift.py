@@ -72,6 +72,25 @@ def test_positions_from_a_sampled_bracket(spark):
     assert {p: (r["v"], r["id"]) for p, r in only.items()} == {p: want[p] for p in (1500, 4200)}
 
 
+def test_positions_with_null_keys(spark):
+    v = F.when(F.col("id") % 100 < 2, F.lit(None)).otherwise(F.col("id") * 7919 % 6000)
+    df = spark.range(6000).select(v.alias("v"), "id")
+    places = [0, 60, 119, 120, 121, 3000, 5999]
+    want = {r["_rank"]: (r["v"], r["id"]) for r in od.ranked(df, ["v", "id"]).where(F.col("_rank").isin(places)).collect()}
+    for sample in (300, 1000, 10_000):
+        got = od.rows_at(df, ["v", "id"], places, 6000, sample)
+        assert {p: (r["v"], r["id"]) for p, r in got.items()} == want
+    bracket = od._rows_by_bracket(df, ["v", "id"], places, 6000, 1000)
+    assert {p: (r["v"], r["id"]) for p, r in bracket.items()} == {p: want[p] for p in bracket} and 3000 in bracket
+
+
+def test_text_in_a_drift_column_counts_as_zero(spark):
+    df = spark.createDataFrame([(1, "12.5"), (2, "n/a"), (3, None)], "transaction_id long, hour_of_day string")
+    df = df.withColumn("event_time", F.lit("2024-01-01").cast("timestamp"))
+    rows = pr.drift_columns(df).orderBy("transaction_id").collect()
+    assert [r["hour_of_day"] for r in rows] == [12.5, 0.0, 12.0]
+
+
 def test_exact_quantiles_interpolate(spark):
     df = spark.createDataFrame([("a", float(v)) for v in (1, 2, 2, 10)] + [("b", 5.0)], "g string, v double")
     got = {(r.g, r.fraction): r.quantile for r in od.exact_quantiles(df, [0.5, 0.9], ["g"], "v").collect()}

@@ -112,6 +112,25 @@ def test_cutting_long_users_keeps_other_operators(spark, tables):
         assert out(operator(t, **options), "transaction_id", *names) == whole
 
 
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_cutting_keeps_rows_without_user_country_or_merchant(spark, order):
+    data = [
+        (i, None if i % 3 == 0 else "u", T0 + i * H, float(i % 9), "POS", None if i % 4 == 0 else f"c{i % 3}",
+         None if i % 5 == 0 else f"m{i % 4}", None, False)
+        for i in range(150)
+    ]
+    t = spark.createDataFrame(data, SCHEMA)
+    names = ["transaction_id", *hi.FEATURE_COLUMNS]
+    run = lambda limit: out(hi.history_features(t, order=order, cap=20, long_user_rows=limit, block_rows=25), *names)
+    whole = run(None)
+    assert len(whole) == 150 and run(30) == whole
+    homes = [
+        out(hi.home_countries(t, long_user_rows=limit, block_rows=25 if limit is None else 500), "transaction_id", "home_country")
+        for limit in (None, 30)
+    ]
+    assert len(homes[0]) == 150 and homes[0] == homes[1]
+
+
 def brute_force(rows: pd.DataFrame, cap: int) -> dict:
     """Counts, sums and distincts by scanning each row's earlier rows."""
     found = {}

@@ -44,8 +44,25 @@ def test_bad_messages_are_quarantined(spark, landed, tmp_path):
     bad = sent.limit(3).withColumn("value", F.lit('{"transaction_id": "x"'))
     jobs.ingest_batch(sent.limit(10).unionAll(bad), 0, str(tmp_path))
     assert sinks.read_batches(spark, f"{tmp_path}/quarantine").count() == 3
+    # the batch that spends the budget is stored; the next one of the run stops, a new run goes on
     with pytest.raises(jobs.ErrorBudgetSpent):
-        jobs.ingest_batch(bad, 1, str(tmp_path), error_budget=2)
+        jobs.ingest_batch(bad, 1, str(tmp_path), error_budget=2, since=0)
+    assert sinks.read_batches(spark, f"{tmp_path}/quarantine").count() == 3
+    jobs.ingest_batch(bad, 1, str(tmp_path), error_budget=2, since=1)
+    assert sinks.read_batches(spark, f"{tmp_path}/quarantine").count() == 6
+
+
+def test_ids_are_unique_over_dates(spark, landed, tmp_path):
+    _, sent = landed
+    out = str(tmp_path)
+    jobs.ingest_batch(sent.limit(0), 0, out)  # an empty first batch leaves tables that can be read
+    jobs.ingest_batch(sent.where("offset < 50"), 1, out)
+    later = F.regexp_replace("value", '"timestamp":"2024-01', '"timestamp":"2024-03')
+    moved = sent.where("offset = 7").withColumn("value", later).withColumn("offset", F.lit(10**9))
+    jobs.ingest_batch(moved, 2, out)
+    assert sinks.read_batches(spark, f"{out}/raw_events").count() == 50
+    assert sinks.read_batches(spark, f"{out}/rejects").count() == 1
+    assert sinks.read_batches(spark, f"{out}/nothing") is None
 
 
 def test_stream_features_equal_batch(spark, landed, tables, tmp_path):
