@@ -508,7 +508,7 @@ def all_oracles() -> dict[str, str]:
     o["split_stats"] = _with(SPLIT, f"SELECT split, {stats} FROM split GROUP BY split")
     o["dataset_stats"] = _with(TXN, f"SELECT {stats}, count(DISTINCT user_id) AS unique_users FROM txn WHERE label IS NOT NULL")
     o["data_stats"] = _with(TXN, "SELECT count(*) AS total_rows, min(transaction_id) AS oldest_transaction, max(transaction_id) AS newest_transaction FROM txn")
-    o["data_fingerprint"] = _with(TXN, """
+    o["data_fingerprint"] = _with(TXN + """
       , h AS (SELECT md5(concat_ws('|', CAST(transaction_id AS VARCHAR), CAST(label AS VARCHAR))) AS h FROM txn WHERE label IS NOT NULL)
       , s AS (SELECT count(*) AS n, sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS a, sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS b FROM h)""",
       "SELECT n AS total_rows, substr(md5(concat_ws('|', CAST(n AS VARCHAR), CAST(a AS VARCHAR), CAST(b AS VARCHAR))), 1, 16) AS fingerprint FROM s")
