@@ -310,7 +310,8 @@ def jaccard_components(
     buckets = bucket_count(packed)
     keys = stored(set_keys(packed, size))
     key = ["n_shingles", "key_a", "key_b"]
-    classes = keys.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("set_id"))
+    # stored, so that the join below can split the rows of a set with very many copies
+    classes = stored(keys.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("set_id")))
     known = stored(keys.join(classes, key, "left").withColumn("set_id", F.coalesce("set_id", "doc_id")))
     copies = _copies(packed, known)
 
