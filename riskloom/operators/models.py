@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import CLASSIFIER_PARAMS, FOREST_PARAMS, MODEL_FEATURES, TOP_K
 from riskloom.operators.alerts import decide, explain
+from riskloom.operators.ordering import exact_quantiles
 from riskloom.operators.prepare import class_balance
 from riskloom.session import checkpoint
 
@@ -217,6 +218,7 @@ def anomaly_scores(forest: IsolationForest, rows: DataFrame, out: str = "anomaly
 
 
 def is_anomaly(scored: DataFrame, contamination: float = FOREST_PARAMS["contamination"], score_column: str = "anomaly_score") -> DataFrame:
-    """Flag the expected share of most unusual rows; the cut is a bounded-memory sketch."""
-    cut = scored.agg(F.percentile_approx(score_column, 1.0 - contamination, 100_000)).scalar()
+    """Flag the expected share of most unusual rows, by the exact quantile of the scores."""
+    one = scored.select(F.lit(1).alias("all"), score_column)
+    cut = exact_quantiles(one, [1.0 - contamination], ["all"], score_column).select("quantile").scalar()
     return scored.withColumn("is_anomaly", F.col(score_column) > cut)

@@ -135,3 +135,14 @@ def rolling_scores(
         .where("_own")
         .select(*scored.columns, "score_mean", "score_max")
     )
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", by: Sequence[str] = ("user_id",), time: str = "event_time") -> DataFrame:
+    """Events per session: a session ends when none of its key's events follows within the
+    gap. The same on a stream that carries a watermark."""
+    session = F.session_window(time, gap)
+    return (
+        events.groupBy(*by, session.alias("w"))
+        .agg(F.count(F.lit(1)).alias("events"))
+        .select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events")
+    )

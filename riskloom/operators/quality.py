@@ -47,6 +47,18 @@ def alert_rules() -> dict[str, Column]:
     }
 
 
+# fixed values: columns that may not be NULL in the stored tables
+RAW_REQUIRED = [
+    "kafka_topic", "kafka_partition", "kafka_offset", "transaction_id", "user_id", "card_id",
+    "merchant_id", "amount", "currency", "event_time", "ingestion_time", "channel", "country", "payload",
+]
+FEATURE_REQUIRED = ["transaction_id", "user_id", "event_time", "amount"]
+
+
+def required_rules(columns: Sequence[str]) -> dict[str, Column]:
+    return {f"{c}_set": F.col(c).isNotNull() for c in columns}
+
+
 def violations(table: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows breaking each rule, one line per rule, in one pass over the table."""
     counts = table.agg(

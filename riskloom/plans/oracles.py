@@ -9,6 +9,7 @@ from riskloom.constants import (
     SCORING_BUCKETS,
 )
 from riskloom.functions.statistics import ERFC
+from riskloom.operators.quality import FEATURE_REQUIRED, RAW_REQUIRED
 from riskloom.plans.queries import DRIFT_MOMENT, IMPORTANCES
 
 TXN = """
@@ -447,6 +448,22 @@ def all_oracles() -> dict[str, str]:
       UNION ALL SELECT 'score_set', count(*) FILTER (score IS NULL) FROM alerts
       UNION ALL SELECT 'amount_set', count(*) FILTER (amount IS NULL) FROM alerts""")
 
+    # what each column of the raw table is made from
+    made_from = {"kafka_topic": "''", "kafka_partition": "user_id", "kafka_offset": "transaction_id", "card_id": "user_id",
+                 "currency": "''", "ingestion_time": "event_time", "payload": "transaction_id"}
+    checks = [("raw_events", "txn", c) for c in [*RAW_REQUIRED, "device_id"]]
+    checks += [("transaction_features", "feat", c) for c in [*FEATURE_REQUIRED, "amount_zscore"]]
+    o["required_violations"] = _with(FEATURES, " UNION ALL ".join(
+        f"SELECT '{c}_set' AS rule, count(*) FILTER ({made_from.get(c, c)} IS NULL) AS violations, '{t}' AS table_name FROM {source}"
+        for t, source, c in checks
+    ))
+    o["user_sessions"] = _with(TXN + """
+      , marked AS (SELECT user_id, us, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY us) < 21600000000 THEN 0 ELSE 1 END AS starts FROM txn)
+      , numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS s FROM marked)""", """
+      SELECT user_id, strftime(make_timestamp(min(us)), '%Y-%m-%d %H:%M:%S') AS window_start,
+        strftime(make_timestamp(max(us) + 21600000000), '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS events
+      FROM numbered GROUP BY user_id, s""")
+
     # columns
     o["time_channel"] = _with(TXN, """
       SELECT transaction_id, CAST(hour(event_time) AS INT) AS hour_of_day, CAST(isodow(event_time)-1 AS INT) AS day_of_week,

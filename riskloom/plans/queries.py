@@ -170,6 +170,21 @@ def constraint_violations(spark, folder):
     return qu.violations(_alert_table(spark, folder), qu.alert_rules())
 
 
+@query
+def required_violations(spark, folder):
+    """NULLs in required columns of the raw and the feature table (some events carry no device)."""
+    raw = ms.good_rows(_parsed(spark, folder))
+    features = sinks.stored_features(_features(spark, folder))
+    found = [
+        qu.violations(t, qu.required_rules(c)).withColumn("table_name", F.lit(n))
+        for n, t, c in (
+            ("raw_events", raw, [*qu.RAW_REQUIRED, "device_id"]),
+            ("transaction_features", features, [*qu.FEATURE_REQUIRED, "amount_zscore"]),
+        )
+    ]
+    return found[0].unionByName(found[1])
+
+
 # --- columns ---------------------------------------------------------------------
 
 
@@ -640,6 +655,12 @@ def increase_1h(spark, folder):
     return _at(mn.increase(_txn(spark, folder)))
 
 
+@query
+def user_sessions(spark, folder):
+    found = mn.sessions(_txn(spark, folder), "6 hours")
+    return _at(_at(found), "window_end")
+
+
 @query
 def consumer_lag(spark, folder):
     """Messages of the last day are not committed yet."""

@@ -133,6 +133,22 @@ def test_tails(spark):
     assert math.isclose(row.k, 0.26999967, rel_tol=1e-6)
 
 
+def gamma_tail(a, x):
+    """Regularised upper incomplete gamma function by its series."""
+    term = total = 1 / a
+    for n in range(1, 20_000):
+        term *= x / (a + n)
+        total += term
+    return 1 - total * math.exp(a * math.log(x) - x - math.lgamma(a))
+
+
+def test_tail_of_many_degrees(spark):
+    cases = [(x, df) for df in (6, 99, 100, 101, 500, 3001) for x in (0.8 * df, float(df), df + 2.5 * math.sqrt(2 * df))]
+    rows = spark.createDataFrame(cases, "x double, df int").select("x", "df", chi2_tail(F.col("x"), F.col("df")).alias("p")).collect()
+    assert all(math.isclose(r["p"], gamma_tail(r["df"] / 2, r["x"] / 2), abs_tol=1e-4) for r in rows)
+    assert spark.range(1).select(chi2_tail(F.lit(1e6), F.lit(3001))).first()[0] == 0
+
+
 def frame(spark, values, name="amount"):
     return spark.createDataFrame([(float(v),) for v in values], f"{name} double")
 
