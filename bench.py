@@ -17,7 +17,7 @@ HEADLINE = [
     "top_features", "risk_factors", "alerts", "alert_stats", "alert_outcomes",
     "psi", "drift_report", "drift_by_window",
     "throughput", "increase_1h", "latency_quantiles",
-    "score_batch", "anomaly_scores",
+    "train_classifier", "score_batch", "anomaly_scores",
 ]
 
 
