@@ -168,15 +168,17 @@ def _since_last() -> dict[str, Column]:
     }
 
 
-def _with_visits_and_home(df: DataFrame, home_country: str | None) -> DataFrame:
-    """First visit per merchant and, if wanted, the most frequent earlier country (the
-    country that reached the leading count first); expects ``_nth_visit`` and ``_nth``."""
-    out = df.withColumn(
-        "user_merchant_first_time",
-        F.when(F.col("_long"), F.col("_first_visit")).otherwise(F.col("_nth_visit") == 1),
-    )
+def _with_visits(df: DataFrame) -> DataFrame:
+    """First visit per merchant; expects ``_nth_visit``."""
+    first = F.when(F.col("_long"), F.col("_first_visit")).otherwise(F.col("_nth_visit") == 1)
+    return df.withColumn("user_merchant_first_time", first)
+
+
+def _with_home(df: DataFrame, home_country: str | None) -> DataFrame:
+    """If wanted, the most frequent earlier country (the country that reached the leading
+    count first); expects ``_nth``."""
     if not home_country:
-        return out.withColumn("is_foreign_txn", F.lit(None).cast("boolean"))
+        return df.withColumn("is_foreign_txn", F.lit(None).cast("boolean"))
     earlier = (
         Window.partitionBy("user_id", "_block")
         .orderBy("_row")
@@ -184,7 +186,11 @@ def _with_visits_and_home(df: DataFrame, home_country: str | None) -> DataFrame:
     )
     lead = F.max(F.struct("_nth", (-F.col("_row")).alias("_ago"), "country")).over(earlier)
     home = F.when(F.col("_long"), F.col("_home")).otherwise(lead["country"])
-    return out.withColumn("_home", home).withColumn("is_foreign_txn", F.col("country") != F.col("_home"))
+    return df.withColumn("_home", home).withColumn("is_foreign_txn", F.col("country") != F.col("_home"))
+
+
+def _with_visits_and_home(df: DataFrame, home_country: str | None) -> DataFrame:
+    return _with_home(_with_visits(df), home_country)
 
 
 _DONE = [
@@ -216,44 +222,71 @@ def _packed(txn: DataFrame, arrival: str) -> DataFrame:
 _WINDOWS = {"1h": HOUR_US, "24h": DAY_US, "7d": 7 * DAY_US}
 
 
-def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home: str | None, cut: dict) -> DataFrame:
+# the features that need a look-back window, in the order of the sweep's kinds
+_SWEPT = [
+    {"user_txn_count_1h", "user_amount_sum_1h"},
+    {
+        "user_txn_count_24h", "user_amount_sum_24h",
+        "unique_countries_24h", "unique_merchants_24h", "unique_devices_24h",
+    },
+    {"user_txn_count_7d"},
+    {"user_avg_amount_30d", "user_std_amount_30d", "amount_zscore"},
+]
+_UNIQUE = {
+    "country": ("c", "unique_countries_24h"),
+    "merchant_id": ("m", "unique_merchants_24h"),
+    "device_id": ("d", "unique_devices_24h"),
+}
+
+
+def _time_order(
+    txn: DataFrame, cap: int, stats_days: int, min_rows: int, home: str | None, cut: dict, wanted: set[str]
+) -> DataFrame:
     keep = txn.columns
+    done = [c for c in _DONE if c in wanted]
+    kinds = [k for k, names in enumerate(_SWEPT, start=1) if names & wanted]
     rows, _ = in_blocks(_packed(txn, cut.pop("arrival")), ["_us", "_arrival"], overlap=cap, **cut)
     user = Window.partitionBy("user_id", "_block").orderBy("_us", "_arrival")
-    rows = rows.withColumns(
-        {
-            "_row": F.row_number().over(user),
-            "_cap_us": F.lead("_us", cap + 1).over(user),
-            "_last": F.lag(F.struct("_us", "country", "device_id")).over(user),
-        }
-    )
-    rows = rows.withColumns(_since_last()).drop("_last")
+    compared = {n: c for n, c in _since_last().items() if n in wanted}
+    places = {"_row": F.row_number().over(user)}
+    if kinds:
+        places["_cap_us"] = F.lead("_us", cap + 1).over(user)
+    if compared:
+        places["_last"] = F.lag(F.struct("_us", "country", "device_id")).over(user)
+    rows = rows.withColumns(places).withColumns(compared).drop("_last")
     # for each 24-hour distinct count: does this row bring its value into the window,
     # and does the value go when the row goes
-    for value, short in (("country", "c"), ("merchant_id", "m"), ("device_id", "d")):
+    for value, (short, name) in _UNIQUE.items():
         same = Window.partitionBy("user_id", "_block", value).orderBy("_row")
-        here = F.struct("_us", "_row")
-        rows = rows.withColumns({"_prev": F.lag(here).over(same), "_next": F.lead(here).over(same)})
-        near = lambda old, new: (
-            (new["_row"] - old["_row"] <= cap) & (new["_us"] - old["_us"] <= DAY_US)
-        )
-        this = {"_row": F.col("_row"), "_us": F.col("_us")}
-        alone_in = ~F.coalesce(near(F.col("_prev"), this), F.lit(False))
-        alone_out = ~F.coalesce(near(this, F.col("_next")), F.lit(False))
-        known = F.col(value).isNotNull()
-        rows = rows.withColumns(
-            {
-                f"_{short}_in": (known & alone_in).cast("int"),
-                f"_{short}_out": (known & alone_out).cast("int"),
-            }
-        )
-        if value == "country" and home:
+        if name in wanted:
+            here = F.struct("_us", "_row")
+            rows = rows.withColumns({"_prev": F.lag(here).over(same), "_next": F.lead(here).over(same)})
+            near = lambda old, new: (
+                (new["_row"] - old["_row"] <= cap) & (new["_us"] - old["_us"] <= DAY_US)
+            )
+            this = {"_row": F.col("_row"), "_us": F.col("_us")}
+            alone_in = ~F.coalesce(near(F.col("_prev"), this), F.lit(False))
+            alone_out = ~F.coalesce(near(this, F.col("_next")), F.lit(False))
+            known = F.col(value).isNotNull()
+            rows = rows.withColumns(
+                {
+                    f"_{short}_in": (known & alone_in).cast("int"),
+                    f"_{short}_out": (known & alone_out).cast("int"),
+                }
+            ).drop("_prev", "_next")
+        if value == "country" and home and "is_foreign_txn" in wanted:
             rows = rows.withColumn("_nth", F.row_number().over(same))
-        if value == "merchant_id":
+        if value == "merchant_id" and "user_merchant_first_time" in wanted:
             rows = rows.withColumn("_nth_visit", F.row_number().over(same))
-    rows = _with_visits_and_home(rows.drop("_prev", "_next"), home)
-
-    payload = F.struct("_txn", "_cents", "_own", *_DONE)
+    if "user_merchant_first_time" in wanted:
+        rows = _with_visits(rows)
+    if "is_foreign_txn" in wanted:
+        rows = _with_home(rows, home)
+    own = [F.col(f"_txn.{c}").alias(c) for c in keep]
+    if not kinds:  # nothing looks back further than one row or value
+        return rows.where("_own").select(*own, *done)
+
+    payload = F.struct("_txn", "_cents", "_own", *done)
     none = F.lit(None).cast("int")
     nothing = F.lit(None).cast(rows.select(payload.alias("p")).schema["p"].dataType)
 
@@ -271,16 +304,17 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
             (payload if kind == 0 else nothing).alias("_row_out"),
         )
 
+    shorts = [short for short, name in _UNIQUE.values() if name in wanted]
     steps = [
-        step(0, F.col("_us"), F.lit(0), F.col("_row"), 1,
-             c=F.col("_c_in"), m=F.col("_m_in"), d=F.col("_d_in"))
+        step(0, F.col("_us"), F.lit(0), F.col("_row"), 1, **{x: F.col(f"_{x}_in") for x in shorts})
     ]
     spans = [*_WINDOWS.values(), stats_days * DAY_US]
-    for kind, span in enumerate(spans, start=1):
+    for kind in kinds:
+        span = spans[kind - 1]
         # a row leaves after the last moment it is inside the window, or just before
         # the row that pushes it out of the newest `cap`
         pushed = F.coalesce(F.col("_cap_us") <= F.col("_us") + span, F.lit(False))
-        gone = dict(c=-F.col("_c_out"), m=-F.col("_m_out"), d=-F.col("_d_out")) if span == DAY_US else {}
+        gone = {x: -F.col(f"_{x}_out") for x in shorts} if kind == 2 else {}
         steps.append(
             step(
                 kind,
@@ -319,24 +353,18 @@ def _time_order(txn: DataFrame, cap: int, stats_days: int, min_rows: int, home:
     )
     measured = measured.where((F.col("_kind") == 0) & F.col("_row_out._own"))
     flat = measured.select("_row_out.*", *[c for c in measured.columns if c != "_row_out"])
-    return flat.select(
-        *[F.col(f"_txn.{c}").alias(c) for c in keep],
-        F.col("_n1").cast("int").alias("user_txn_count_1h"),
-        F.col("_n24").cast("int").alias("user_txn_count_24h"),
-        F.col("_n7").cast("int").alias("user_txn_count_7d"),
-        (F.col("_s1").cast("double") / 100).alias("user_amount_sum_1h"),
-        (F.col("_s24").cast("double") / 100).alias("user_amount_sum_24h"),
-        *[
-            c.alias(n)
-            for n, c in _stats(
-                F.col("_n30"), F.col("_s30"), F.col("_q30"), F.col("_cents"), min_rows
-            ).items()
-        ],
-        F.col("_c").cast("int").alias("unique_countries_24h"),
-        F.col("_m").cast("int").alias("unique_merchants_24h"),
-        F.col("_d").cast("int").alias("unique_devices_24h"),
-        *_DONE,
-    )
+    features = {
+        "user_txn_count_1h": F.col("_n1").cast("int"),
+        "user_txn_count_24h": F.col("_n24").cast("int"),
+        "user_txn_count_7d": F.col("_n7").cast("int"),
+        "user_amount_sum_1h": F.col("_s1").cast("double") / 100,
+        "user_amount_sum_24h": F.col("_s24").cast("double") / 100,
+        **_stats(F.col("_n30"), F.col("_s30"), F.col("_q30"), F.col("_cents"), min_rows),
+        "unique_countries_24h": F.col("_c").cast("int"),
+        "unique_merchants_24h": F.col("_m").cast("int"),
+        "unique_devices_24h": F.col("_d").cast("int"),
+    }
+    return flat.select(*own, *[c.alias(n) for n, c in features.items() if n in wanted], *done)
 
 
 # --- arrival order: bounded history arrays ------------------------------------
@@ -426,18 +454,24 @@ def history_features(
     home_country: str | None = "mode_of_history",
     long_user_rows: int | None = LONG_USER_ROWS,
     block_rows: int = BLOCK_ROWS,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All look-back features of every transaction, next to its own columns.
+    """All look-back features of every transaction, or those named in ``columns``, next to
+    its own columns. The plan sorts and sweeps for the named ones only.
 
     ``arrival`` is the column that orders a user's rows as they came in (unique per
     user). ``stats_days=7`` gives the form whose amount history is trimmed to a week;
     ``home_country=None`` leaves ``is_foreign_txn`` empty.
     """
     cut = dict(arrival=arrival, long_user_rows=long_user_rows, block_rows=block_rows)
+    wanted = set(FEATURE_COLUMNS if columns is None else columns)
+    if not wanted <= set(FEATURE_COLUMNS):
+        raise ValueError(f"unknown features {sorted(wanted - set(FEATURE_COLUMNS))}")
     if order == "time":
-        return _time_order(txn, cap, stats_days, min_rows, home_country, cut)
+        return _time_order(txn, cap, stats_days, min_rows, home_country, cut, wanted)
     if order == "arrival":
-        return _arrival_order(txn, cap, stats_days, min_rows, home_country, cut)
+        every = _arrival_order(txn, cap, stats_days, min_rows, home_country, cut)
+        return every.drop(*[c for c in FEATURE_COLUMNS if c not in wanted])
     raise ValueError(f"unknown order {order!r}")
 
 

@@ -225,7 +225,7 @@ def features_full(spark, folder):
 def _part(names: Sequence[str]) -> Query:
     def run(spark, folder):
         txn = _txn(spark, folder).select(*HISTORY_INPUT)
-        return hi.history_features(txn).select("transaction_id", *names)
+        return hi.history_features(txn, columns=names).select("transaction_id", *names)
 
     return run
 

@@ -131,6 +131,29 @@ def test_cutting_keeps_rows_without_user_country_or_merchant(spark, order):
     assert len(homes[0]) == 150 and homes[0] == homes[1]
 
 
+def test_named_columns_equal_the_whole_row(spark, tables):
+    t = event_transactions(spark, tables)
+    whole = out(hi.history_features(t), "transaction_id", *hi.FEATURE_COLUMNS)
+    for names in (["minutes_since_last_txn"], ["user_txn_count_1h", "unique_merchants_24h"], ["amount_zscore", "is_foreign_txn"]):
+        places = [hi.FEATURE_COLUMNS.index(n) + 1 for n in names]
+        part = hi.history_features(t, columns=names)
+        assert [c for c in part.columns if c in hi.FEATURE_COLUMNS] == [c for c in part.columns if c in names]
+        assert out(part, "transaction_id", *names) == [(r[0], *[r[i] for i in places]) for r in whole]
+
+
+def test_the_plan_follows_the_named_columns(spark, tables):
+    t = event_transactions(spark, tables)
+
+    def count(names, node):
+        plan = hi.history_features(t, columns=names, long_user_rows=None)._jdf.queryExecution().optimizedPlan().toString()
+        return sum(line.lstrip(" +-:").startswith(node) for line in plan.splitlines())
+
+    recency = ["minutes_since_last_txn", "country_change_flag"]
+    assert count(recency, "Window") == 1 and count(recency, "Generate") == 0
+    assert count(["user_txn_count_1h"], "Window") == 2
+    assert count(None, "Window") > 4
+
+
 def brute_force(rows: pd.DataFrame, cap: int) -> dict:
     """Counts, sums and distincts by scanning each row's earlier rows."""
     found = {}
