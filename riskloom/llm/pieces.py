@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from riskloom.llm.common import slices, small_batches, text_rows
 
 SPACE = "▁"
-CACHED = 250_000  # words, and pairs of pieces, remembered by a Python worker before it starts anew
+CACHED = 200_000  # words, and pairs of pieces, remembered during a task before it starts anew
 LONGEST_CACHED = 40
 
 
@@ -152,6 +152,11 @@ class PieceModel:
                 ids[k], shown[k] = self._add_word(words[k])
         return ",".join(ids), "".join(shown).replace(SPACE, " ").removeprefix(" ")
 
+    def forget(self) -> None:
+        """Drop what was remembered of words, so that an idle Python worker holds little."""
+        for cache in (self.ids_of, self.text_of, self.part_ids):
+            cache.clear()
+
     def encode(self, text: str) -> list[int]:
         ids = self.encode_text(text)[0]
         return list(map(int, ids.split(","))) if ids else []
@@ -193,6 +198,7 @@ def piece_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col
                 ],
                 names=["doc_id", "ids", "decoded"],
             )
+        model.forget()
 
     small_batches(docs.sparkSession)
     return text_rows(docs, id_col, text_col).mapInArrow(encode, "doc_id long, ids array<int>, decoded string")
@@ -219,6 +225,7 @@ def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        model.forget()
 
     small_batches(docs.sparkSession)
     return text_rows(docs, id_col, text_col).mapInArrow(

@@ -3,7 +3,7 @@
 The pre-tokens of a batch lie end to end in one symbol array. Each round looks up the rank
 of every neighbouring pair, takes the lowest rank within each pre-token and merges all its
 occurrences there at once; pre-tokens without a known pair leave the array. What is left of
-a pre-token are its tokens. Counts of words are remembered by the Python worker, so an
+a pre-token are its tokens. Counts of words are remembered during a task, so an
 array holds only words not seen lately.
 
 Edge cases: null and empty texts count 0 tokens; strings of added tokens inside a text
@@ -164,6 +164,7 @@ def token_counts(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
                 names=["doc_id", "n_bytes", "n_tokens"],
             )
+        counter.known = {}  # an idle Python worker holds little
 
     small_batches(docs.sparkSession)
     sized = text_rows(docs, id_col, text_col).withColumn("n_bytes", F.octet_length("text").cast("long"))
