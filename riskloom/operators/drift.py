@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.constants import DRIFT_FEATURES, DRIFT_THRESHOLD, PSI_ALARM, PSI_BINS, PSI_FLOOR
 from riskloom.functions.columns import half_up, ratio_or_zero
 from riskloom.functions.statistics import chi2_tail, kolmogorov_tail, normal_two_sided
 from riskloom.operators.ordering import running_totals
+from riskloom.session import checkpoint
 
 # fixed values: thresholds of the tests and of the dataset verdict
 DISTANCE_THRESHOLD = 0.1
@@ -55,13 +56,30 @@ def value_counts(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+SMALL_COUNTS = 200_000
+
+
 def _along_values(counts: DataFrame) -> DataFrame:
-    return running_totals(
-        counts,
-        ["value"],
-        {"ref": F.col("ref"), "cur": F.col("cur")},
-        group=["feature"],
-        following=["value"],
+    """Running and total rows of both sets along each feature's values. Up to
+    ``SMALL_COUNTS`` distinct values one window per feature does; beyond, ordered parts."""
+    counts = checkpoint(counts)
+    if counts.limit(SMALL_COUNTS + 1).count() > SMALL_COUNTS:
+        return running_totals(
+            counts,
+            ["value"],
+            {"ref": F.col("ref"), "cur": F.col("cur")},
+            group=["feature"],
+            following=["value"],
+        )
+    whole = Window.partitionBy("feature")
+    along = whole.orderBy("value")
+    here = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumns(
+        {
+            **{f"cum_{n}": F.sum(n).over(here) for n in ("ref", "cur")},
+            **{f"total_{n}": F.sum(n).over(whole) for n in ("ref", "cur")},
+            "next_value": F.lead("value").over(along),
+        }
     )
 
 
