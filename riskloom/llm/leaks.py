@@ -25,12 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import slices, small_batches, text_rows
-from riskloom.llm.packed import BASE, mix
+from riskloom.llm.packed import SLICE_BYTES, hash_words, windows
 
 SEED_WORDS = 3
 KEPT = 0.5
@@ -39,32 +38,14 @@ PENALTY = 0.5
 THRESHOLD = 0.4
 ITEMS_PER_BLOCK = 2_000
 
-find_words = regex.compile(rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+").findall
+# which bytes are part of a word: letters and digits, and all of other scripts
+LETTER_OR_DIGIT = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
-def word_codes(text: str) -> np.ndarray:
-    """Hashes of the words: runs of letters and digits, other signs aside, in lower case."""
-    words = find_words(text.lower().encode("utf-8"))
-    if not words:
-        return np.empty(0, np.uint64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    data = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
-    starts = np.r_[0, np.cumsum(lengths)[:-1]]
-    inside = np.arange(len(data)) - np.repeat(starts, lengths)
-    powers = np.cumprod(np.full(int(lengths.max()), BASE, np.uint64))
-    return mix(np.add.reduceat(data * powers[inside], starts) + lengths.astype(np.uint64))
-
-
-def seed_codes(words: np.ndarray, size: int = SEED_WORDS) -> np.ndarray:
-    """Hashes of the runs of ``size`` words; of all words where there are fewer."""
-    size = min(size, len(words))
-    if not size:
-        return np.empty(0, np.uint64)
-    n = len(words) - size + 1
-    total = np.full(n, size, np.uint64)
-    for k in range(size):
-        total = total * BASE + words[k : k + n]
-    return mix(total)
+def word_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text's place, hash) of all words: runs of letters and digits, in lower case."""
+    data = [t.lower().encode("utf-8") for t in texts]
+    return hash_words(b"".join(data), np.r_[0, np.cumsum([len(d) for d in data])], LETTER_OR_DIGIT)
 
 
 def align(item: np.ndarray, passage: np.ndarray, penalty: float = PENALTY) -> tuple[float, int]:
@@ -94,14 +75,20 @@ class Block:
     seeds: np.ndarray
     owner: np.ndarray  # an item's place, in the order of ``seeds``
 
+    def seed_sizes(self) -> list[int]:
+        return sorted({min(SEED_WORDS, len(w)) for w in self.words if len(w)})
+
 
 def _seed_block(ids: list[int], texts: list[str]) -> Block:
-    words = [word_codes(t) for t in texts]
-    seeds = [np.unique(seed_codes(w)) for w in words]
-    flat = np.concatenate([np.empty(0, np.uint64), *seeds])
-    owner = np.repeat(np.arange(len(words)), [len(s) for s in seeds])
+    owner, hashes = word_table(texts)
+    edges = np.searchsorted(owner, np.arange(len(texts) + 1))
+    words = [hashes[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    none = np.empty(0, np.uint64)
+    seeds = [np.unique(windows(np.zeros(len(w)), w, min(SEED_WORDS, len(w)))[1]) if len(w) else none for w in words]
+    flat = np.concatenate([none, *seeds])
+    place = np.repeat(np.arange(len(words)), [len(s) for s in seeds])
     order = np.argsort(flat, kind="stable")
-    return Block(np.array(ids, np.int64), words, flat[order], owner[order])
+    return Block(np.array(ids, np.int64), words, flat[order], place[order])
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[Block]:
@@ -119,18 +106,33 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[Block]
         yield _seed_block([r["item_id"] for r in held], [r["text"] for r in held])
 
 
+def _held(codes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``codes`` of codes that are in the ascending ``known``, and their first places there."""
+    if not len(known) or not len(codes):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    hit = np.flatnonzero(known[at] == codes)
+    return hit, at[hit]
+
+
 def _rare(docs: DataFrame, block: Block) -> Block:
     """The block with each item's rarer seeds only, by documents that hold them."""
-    known = np.unique(block.seeds)
+    known, sizes_of_seeds = np.unique(block.seeds), block.seed_sizes()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(known), np.int64)
-        for batch in slices(batches):
-            for text in batch.column("text").to_pylist():
-                total[_held(np.unique(seed_codes(word_codes(text))), known)[1]] += 1
+        for batch in slices(batches, SLICE_BYTES):
+            owner, hashes = word_table(batch.column("text").to_pylist())
+            for size in sizes_of_seeds:
+                start, code = windows(owner, hashes, size)
+                hit, place = _held(code, known)
+                pairs = np.unique(owner[start[hit]] * len(known) + place)  # a text counts once
+                total += np.bincount(pairs % len(known), minlength=len(known))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["place", "n"])
 
+    if not len(known):
+        return block
     counted = docs.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
     documents = np.zeros(len(known), np.int64)
     for r in counted.collect():  # one row for each seed of the block at most
@@ -144,36 +146,30 @@ def _rare(docs: DataFrame, block: Block) -> Block:
     return Block(block.ids, block.words, block.seeds[kept], block.owner[kept])
 
 
-def _held(codes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``codes`` of codes that are in the ascending ``known``, and their places there."""
-    if not len(known) or not len(codes):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
-    hit = np.flatnonzero(known[at] == codes)
-    return hit, at[hit]
-
-
-def _leaks_of(words: np.ndarray, block: Block, threshold: float) -> Iterator[tuple[int, float, int]]:
-    """(item's place, score, word where the copy ends) of the items that the text leaks."""
-    for size in {min(SEED_WORDS, len(w)) for w in block.words if len(w)}:
-        place, at = _held(seed_codes(words, size) if len(words) >= size else words[:0], block.seeds)
+def _leaks_of(texts: list[str], block: Block, threshold: float) -> Iterator[tuple[int, int, float, int]]:
+    """(text's place, item's place, score, word where the copy ends) of all leaks in the texts."""
+    owner, hashes = word_table(texts)
+    for size in block.seed_sizes():
+        start, code = windows(owner, hashes, size)
+        place, at = _held(code, block.seeds)
         if not len(place):
             continue
-        last = np.searchsorted(block.seeds, block.seeds[at], side="right")
-        counts = last - at
-        hit = np.repeat(place, counts)
+        counts = np.searchsorted(block.seeds, block.seeds[at], side="right") - at
+        hit = np.repeat(start[place], counts)
         step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         item = block.owner[np.repeat(at, counts) + step]
-        order = np.lexsort((hit, item))
-        hit, item = hit[order], item[order]
-        first = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
-        for low, high in zip(first, np.r_[first[1:], len(item)], strict=True):
+        text = owner[hit]
+        order = np.lexsort((hit, item, text))
+        hit, item, text = hit[order], item[order], text[order]
+        first = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | (text[1:] != text[:-1])])
+        for low, high in zip(first.tolist(), [*first[1:].tolist(), len(item)], strict=True):
             target = block.words[item[low]]
             if min(SEED_WORDS, len(target)) != size:
                 continue
-            best, end = _best_passage(words, target, hit[low:high])
+            begin, end = np.searchsorted(owner, [text[low], text[low] + 1])
+            best, last = _best_passage(hashes[begin:end], target, hit[low:high] - begin)
             if best >= threshold * len(target):
-                yield int(item[low]), best / len(target), end
+                yield int(text[low]), int(item[low]), best / len(target), last
 
 
 def _best_passage(words: np.ndarray, target: np.ndarray, hits: np.ndarray) -> tuple[float, int]:
@@ -211,11 +207,11 @@ def leaks(
 
 def _search(block: Block, threshold: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_BYTES):
+            ids = batch.column("doc_id").to_pylist()
             rows = [
-                (doc_id, int(block.ids[item]), score, len(block.words[item]), end)
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
-                for item, score, end in _leaks_of(word_codes(text), block, threshold)
+                (ids[text], int(block.ids[item]), score, len(block.words[item]), end)
+                for text, item, score, end in _leaks_of(batch.column("text").to_pylist(), block, threshold)
             ]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]

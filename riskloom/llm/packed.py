@@ -125,15 +125,19 @@ class Chunk:
             end = int(np.searchsorted(self.offsets, self.offsets[first] + SLICE_BYTES, side="right")) - 1
             end = max(end, first + 1)
             data = self.data[self.offsets[first] : self.offsets[end]]
-            owner, hashes = _hash_words(data.translate(TO_LOWER) if lower else data, self.offsets[first : end + 1])
+            owner, hashes = hash_words(data.translate(TO_LOWER) if lower else data, self.offsets[first : end + 1])
             yield owner + first, hashes
             first = end
 
 
-def _hash_words(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Owner and hash of each word; words end at white space and where a document ends."""
+# which bytes are part of a word: all but ASCII white space
+NOT_WHITE = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
+
+
+def hash_words(data: bytes, offsets: np.ndarray, inner: np.ndarray = NOT_WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and hash of each word, a run of ``inner`` bytes; words end where a document ends."""
     code = np.frombuffer(data, np.uint8)
-    solid = ~((code == 32) | ((code >= 9) & (code <= 13)))
+    solid = inner[code]
     if not solid.any():
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     begins = solid.copy()
