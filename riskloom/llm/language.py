@@ -138,7 +138,8 @@ def fit_languages(
     total, found = document_frequencies(rows.select("text"))
     idf = np.log((1 + total) / (1 + found)).astype(np.float32) + np.float32(1e-3)
 
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # stored, so that its size is known: a row for each language goes to the texts
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")))
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.ceil(
         F.lit(rows_per_language * float(1 << 20)) / F.col("n")
     )
