@@ -14,7 +14,7 @@ from riskloom.schemas import RECOMPUTED, TRANSACTION_FEATURES, columns_of
 from riskloom.sources.messages import OFFSET
 
 BATCH = "batch_id"
-ID_BUCKETS = 256
+BUCKETS = 256
 
 
 def append_batch(df: DataFrame, table: str, batch_id: int) -> None:
@@ -42,25 +42,40 @@ def read_batches(spark: SparkSession, table: str, before: int | None = None) ->
     return df if before is None else df.where(F.col(BATCH) < before)
 
 
-def id_bucket() -> Column:
-    return F.pmod(F.xxhash64("transaction_id"), F.lit(ID_BUCKETS)).cast("int")
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
-def append_ids(rows: DataFrame, table: str, batch_id: int) -> None:
-    """The ids and message offsets of a batch, in folders by a hash of the id."""
-    ids = rows.select("transaction_id", *OFFSET).withColumn("bucket", id_bucket())
-    # at most one task, so one file, for each bucket
-    ids.repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/{BATCH}={batch_id}")
+def append_bucketed(df: DataFrame, table: str, batch_id: int, key: str) -> None:
+    """Append in folders by a hash of ``key``, so that readers of some keys skip the rest;
+    one task writes a bucket, so a batch adds one file to each bucket it touches."""
+    (
+        df.withColumn("bucket", bucket_of(key))
+        .repartition(F.col("bucket"))
+        .write.mode("overwrite")
+        .partitionBy("bucket")
+        .parquet(f"{table}/{BATCH}={batch_id}")
+    )
 
 
-def known_ids(spark: SparkSession, table: str, rows: DataFrame, before: int) -> DataFrame | None:
-    """Ids and offsets of earlier batches, whatever their dates, from the buckets that
-    the ids in ``rows`` fall in; a repeated message falls in the bucket of its first copy."""
+def read_buckets(spark: SparkSession, table: str, rows: DataFrame, key: str, before: int) -> DataFrame | None:
+    """Earlier batches of a bucketed table, the buckets that the keys of ``rows`` fall in."""
     stored = read_batches(spark, table, before)
     if stored is None:
         return None
-    touched = [r[0] for r in rows.select(id_bucket().alias("b")).distinct().collect()]  # ID_BUCKETS at most
-    return stored.where(F.col("bucket").isin(touched)).select("transaction_id", *OFFSET)
+    touched = [r[0] for r in rows.select(bucket_of(key).alias("b")).distinct().collect()]  # BUCKETS at most
+    return stored.where(F.col("bucket").isin(touched)).drop("bucket", BATCH)
+
+
+def append_ids(rows: DataFrame, table: str, batch_id: int) -> None:
+    """The ids and message offsets of a batch."""
+    append_bucketed(rows.select("transaction_id", *OFFSET), table, batch_id, "transaction_id")
+
+
+def known_ids(spark: SparkSession, table: str, rows: DataFrame, before: int) -> DataFrame | None:
+    """Ids and offsets of earlier batches, whatever their dates, that may concern ``rows``:
+    a repeated message falls in the bucket of its first copy."""
+    return read_buckets(spark, table, rows, "transaction_id", before)
 
 
 def merge_rows(rows: DataFrame, version: str, key: str = "transaction_id") -> DataFrame:

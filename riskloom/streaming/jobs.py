@@ -24,11 +24,13 @@ from riskloom.session import broadcast_if_small, checkpoint
 from riskloom.sources.messages import accept_new, feature_input, good_rows, parse_messages, quarantined
 from riskloom.sources.sinks import (
     append_batch,
+    append_bucketed,
     append_dated_batch,
     append_ids,
     current_features,
     known_ids,
     read_batches,
+    read_buckets,
     stored_features,
 )
 
@@ -90,13 +92,14 @@ HISTORY_COLUMNS = [
 
 def features_batch(messages: DataFrame, batch_id: int, folder: str, order: str = "arrival") -> None:
     """Features of one micro-batch: new rows join the earlier rows of the same users, the
-    batch operator runs over both, and the new rows are kept. Equals the batch job."""
+    batch operator runs over both, and the new rows are kept. Equals the batch job. History
+    lies in folders by a hash of the user; only those of the batch's users are read."""
     spark = messages.sparkSession
     good = good_rows(parse_messages(messages))
     rows, _ = accept_new(good, known_ids(spark, f"{folder}/feature_ids", good, batch_id))
     rows = checkpoint(rows)
     new = feature_input(rows).select(*HISTORY_COLUMNS)
-    history = read_batches(spark, f"{folder}/history", before=batch_id)
+    history = read_buckets(spark, f"{folder}/history", new, "user_id", batch_id)
     if history is not None:
         users = broadcast_if_small(checkpoint(new.select("user_id").distinct()))
         past = history.join(users, "user_id", "left_semi").select(*HISTORY_COLUMNS)
@@ -106,7 +109,7 @@ def features_batch(messages: DataFrame, batch_id: int, folder: str, order: str =
     # an arrival is newer than every arrival of an earlier batch of the same user
     features = feature_rows(both, order=order, arrival="arrival").where("_new")
     append_dated_batch(stored_features(features), f"{folder}/transaction_features", batch_id)
-    append_dated_batch(new, f"{folder}/history", batch_id)
+    append_bucketed(new, f"{folder}/history", batch_id, "user_id")
     append_ids(rows, f"{folder}/feature_ids", batch_id)
 
 

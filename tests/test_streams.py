@@ -65,6 +65,19 @@ def test_ids_are_unique_over_dates(spark, landed, tmp_path):
     assert sinks.read_batches(spark, f"{out}/nothing") is None
 
 
+def test_only_touched_buckets_are_read(spark, landed, tmp_path):
+    _, sent = landed
+    good = ms.good_rows(ms.parse_messages(sent))
+    sinks.append_bucketed(good, f"{tmp_path}/t", 0, "user_id")
+    user = good.select("user_id").first()[0]
+    one = good.where(F.col("user_id") == user)
+    found = sinks.read_buckets(spark, f"{tmp_path}/t", one, "user_id", before=1)
+    assert found.where(F.col("user_id") == user).count() == one.count()
+    assert found.select(F.input_file_name()).distinct().count() == 1
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_stream_features_equal_batch(spark, landed, tables, tmp_path):
     source, _ = landed
     out = str(tmp_path)
