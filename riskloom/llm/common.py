@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +17,7 @@ from riskloom.sources.tables import read_table
 
 BATCH_ROWS = 1024
 
-__all__ = ["bucket", "fold", "read_table", "slices", "small_batches", "stored", "text_rows"]
+__all__ = ["fold", "give_back", "read_table", "slices", "small_batches", "stored", "text_rows", "tidy"]
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -46,8 +49,26 @@ def fold(parts: int, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts, F.lit(0))
 
 
-def bucket(column: str, count: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks, beside the
+    executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives its memory back at its end."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        give_back()
+
+    return run
 
 
 def slices(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored
+from riskloom.llm.common import give_back, stored, tidy
 from riskloom.llm.graph import components
 from riskloom.llm.packed import (
     BASE,
@@ -129,7 +129,7 @@ def set_keys(packed: DataFrame, size: int) -> DataFrame:
                     names=["chunk", "doc_id", "n_shingles", "key_a", "key_b"],
                 )
 
-    return packed.mapInArrow(keys, KEYS)
+    return packed.mapInArrow(tidy(keys), KEYS)
 
 
 def shared_shingles(packed: DataFrame, size: int, buckets: int) -> DataFrame:
@@ -147,6 +147,7 @@ def shared_shingles(packed: DataFrame, size: int, buckets: int) -> DataFrame:
                 yield from _table(found).to_batches()
 
     def count(table: pa.Table) -> pa.Table:
+        give_back()
         rows = table.to_pylist()
         codes = [unpack_sorted(r["a"], np.uint32) for r in rows]
         value, place = np.unique(np.concatenate(codes), return_inverse=True)
@@ -160,7 +161,7 @@ def shared_shingles(packed: DataFrame, size: int, buckets: int) -> DataFrame:
                 found.append((r["chunk"], r["bucket"], pack_sorted(code[own > 0]), pack(own[own > 0])))
         return _table(found)
 
-    return packed.mapInArrow(send, SENT).groupBy("bucket").applyInArrow(count, SENT)
+    return packed.mapInArrow(tidy(send), SENT).groupBy("bucket").applyInArrow(count, SENT)
 
 
 def indexed_sets(packed: DataFrame, shared: DataFrame, copies: DataFrame, size: int, buckets: int, percent: int) -> DataFrame:
@@ -169,6 +170,7 @@ def indexed_sets(packed: DataFrame, shared: DataFrame, copies: DataFrame, size:
     ``copies`` names per chunk the documents that another stands for."""
 
     def build(texts: pa.Table, found: pa.Table) -> pa.Table:
+        give_back()
         out: dict[str, list] = {k: [] for k in ("set_id", "n", "own", "prefix", "shared")}
         if texts.num_rows and found.num_rows:
             chunk = Chunk.of(texts.to_pylist()[0])
@@ -222,7 +224,7 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 names=["a", "b", "n_a", "n_b", "overlap"],
             )
 
-    counted = joined.mapInArrow(overlap, "a long, b long, n_a long, n_b long, overlap long")
+    counted = joined.mapInArrow(tidy(overlap), "a long, b long, n_a long, n_b long, overlap long")
     union = F.col("n_a") + F.col("n_b") - F.col("overlap")
     return counted.select("a", "b", "overlap", (F.col("overlap") * 100 >= union * percent).alias("linked"))
 

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices, small_batches, stored, text_rows
+from riskloom.llm.common import slices, small_batches, stored, text_rows, tidy
 
 DIMENSIONS = 1 << 13
 ROWS_PER_LANGUAGE = 2_000  # labelled rows that the clusters of one language are fitted on
@@ -90,7 +90,7 @@ def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
             names=["place", "n"],
         )
 
-    counted = rows.mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    counted = rows.mapInArrow(tidy(count), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
     by_place = {r["place"]: r["n"] for r in counted}
     found = np.zeros(DIMENSIONS, np.int64)
     for place, n in by_place.items():
@@ -161,7 +161,7 @@ def fit_languages(
                 )
 
     shape = "lang string, length int, places array<int>, weights array<float>"
-    sample = stored(sample.mapInPandas(vectors, shape))
+    sample = stored(sample.mapInPandas(tidy(vectors), shape))
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.assign(key=frame["weights"].map(lambda w: w.tobytes())).sort_values(["length", "key"])
@@ -205,7 +205,7 @@ def predict_languages(
 
     small_batches(docs.sparkSession)
     return text_rows(docs, id_col, text_col).mapInArrow(
-        predict, "doc_id long, lang_pred string, score double, distance double, rejected boolean"
+        tidy(predict), "doc_id long, lang_pred string, score double, distance double, rejected boolean"
     )
 
 

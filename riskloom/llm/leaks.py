@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices, small_batches, text_rows
+from riskloom.llm.common import slices, small_batches, text_rows, tidy
 from riskloom.llm.packed import SLICE_BYTES, hash_words, windows
 
 SEED_WORDS = 3
@@ -133,7 +133,7 @@ def _rare(docs: DataFrame, block: Block) -> Block:
 
     if not len(known):
         return block
-    counted = docs.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    counted = docs.mapInArrow(tidy(count), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
     documents = np.zeros(len(known), np.int64)
     for r in counted.collect():  # one row for each seed of the block at most
         documents[r["place"]] = r["n"]
@@ -200,7 +200,7 @@ def leaks(
     shape = "doc_id long, item_id long, score double, n_item_words long, end_word long"
     found = docs.sparkSession.createDataFrame([], shape)
     for block in item_blocks(items, item_id_col, item_text_col):
-        found = found.union(texts.mapInArrow(_search(_rare(texts, block), threshold), shape))
+        found = found.union(texts.mapInArrow(tidy(_search(_rare(texts, block), threshold)), shape))
     best = F.max_by(F.struct("score", "n_item_words", "end_word"), F.struct("score", -F.col("end_word")))
     return found.groupBy("doc_id", "item_id").agg(best.alias("l")).select("doc_id", "item_id", "l.*")
 

@@ -18,11 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices, small_batches, stored, text_rows
+from riskloom.llm.common import slices, small_batches, stored, text_rows, tidy
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 HASHES_PER_BUCKET = 1_500_000
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 MIX_A, MIX_B, BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 TO_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -102,7 +102,7 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     small_batches(docs.sparkSession)
     rows = text_rows(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    return stored(rows.mapInArrow(fill, "chunk long, n_words long, ids binary, sizes binary, texts binary"))
+    return stored(rows.mapInArrow(tidy(fill), "chunk long, n_words long, ids binary, sizes binary, texts binary"))
 
 
 @dataclass

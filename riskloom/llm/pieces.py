@@ -23,7 +23,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from riskloom.llm.common import slices, small_batches, text_rows
+from riskloom.llm.common import slices, small_batches, text_rows, tidy
 
 SPACE = "▁"
 CACHED = 200_000  # words, and pairs of pieces, remembered during a task before it starts anew
@@ -201,7 +201,7 @@ def piece_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col
         model.forget()
 
     small_batches(docs.sparkSession)
-    return text_rows(docs, id_col, text_col).mapInArrow(encode, "doc_id long, ids array<int>, decoded string")
+    return text_rows(docs, id_col, text_col).mapInArrow(tidy(encode), "doc_id long, ids array<int>, decoded string")
 
 
 def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,7 +229,7 @@ def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     small_batches(docs.sparkSession)
     return text_rows(docs, id_col, text_col).mapInArrow(
-        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        tidy(digest), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 

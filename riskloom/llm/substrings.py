@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from riskloom.llm.common import give_back, tidy
 from riskloom.llm.packed import (
     Chunk,
     bucket_count,
@@ -114,6 +115,7 @@ def remove_repeats(
 
     def match(table: pa.Table) -> pa.Table:
         """Blocks that some document has aligned and at least two documents have."""
+        give_back()
         rows = table.to_pylist()
         values = [unpack_sorted(r["a"], np.uint32) for r in rows]
         flags = np.concatenate([unpack(r["b"], np.uint8) for r in rows])
@@ -130,6 +132,7 @@ def remove_repeats(
 
     def extend(texts: pa.Table, found: pa.Table) -> pa.Table:
         """Each distinct window around a hit, with the chunk's smallest document that starts it."""
+        give_back()
         if not texts.num_rows or not found.num_rows:
             return _rows([])
         chunk = Chunk.of(texts.to_pylist()[0])
@@ -142,6 +145,7 @@ def remove_repeats(
 
     def resolve(table: pa.Table) -> pa.Table:
         """For each chunk its windows that a smaller document of another chunk starts."""
+        give_back()
         rows = table.to_pylist()
         values = [unpack_sorted(r["a"], np.uint64) for r in rows]
         ids = [unpack(r["b"], np.int64) for r in rows]
@@ -155,6 +159,7 @@ def remove_repeats(
         return _rows(found)
 
     def cut(texts: pa.Table, found: pa.Table) -> pa.Table:
+        give_back()
         chunk = Chunk.of(texts.to_pylist()[0])
         rows = found.to_pylist()
         hits = {r["bucket"]: unpack_sorted(r["a"], np.uint32) for r in rows if not r["b"]}
@@ -193,7 +198,7 @@ def remove_repeats(
             del out["kept"]
         return pa.table({k: pa.array(v, KINDS[k]) for k, v in out.items()})
 
-    probes = packed.mapInArrow(probe, SENT)
+    probes = packed.mapInArrow(tidy(probe), SENT)
     hits = probes.groupBy("bucket").applyInArrow(match, SENT)
     by_chunk = packed.groupBy("chunk")
     around = by_chunk.cogroup(hits.groupBy("chunk")).applyInArrow(extend, SENT)

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices, small_batches, text_rows
+from riskloom.llm.common import slices, small_batches, text_rows, tidy
 
 CACHED_WORDS = 500_000
 LONGEST_CACHED = 40
@@ -168,5 +168,5 @@ def token_counts(
 
     small_batches(docs.sparkSession)
     sized = text_rows(docs, id_col, text_col).withColumn("n_bytes", F.octet_length("text").cast("long"))
-    counted = sized.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
+    counted = sized.mapInArrow(tidy(count), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
