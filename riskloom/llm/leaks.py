@@ -1,13 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Every test item is a sequence of word hashes (letters and digits, lower case). Its seeds
-are the half of its word trigrams (``KEPT``, at least ``LEAST_SEEDS``) that the fewest
-documents hold, counted over all of them; an item so short that it has no trigram is its
-own seed. A document with a seed of an item is aligned with it: the passage around the hits, one
-item length to either side, against the whole item, by Smith-Waterman (a match scores 1, a
-mismatch and a gap -``PENALTY``). The best local score over the item's number of words is
-the leak's score, so that exact, edited and paraphrased copies pass ``threshold`` while
-single common phrases do not.
+are all its word trigrams, however many documents hold them; an item so short that it has
+no trigram is its own seed. A document with a seed of an item is aligned with it: the
+passage around the hits, as far to either side as a leak may reach, against the whole item,
+by Smith-Waterman (a match scores 1, a mismatch and a gap -``PENALTY``). The best local
+score over the item's number of words is the leak's score, so that exact, edited and
+paraphrased copies pass ``threshold`` while single common phrases do not. A passage that
+shares too few words with the item to score ``threshold`` is not aligned, which keeps
+common seeds cheap and loses nothing.
+
+A copy of which no three words in a row are left, such as one with every third word
+replaced (score 0.5), has no seed and is not found.
 
 The items travel to the documents in blocks of ``ITEMS_PER_BLOCK``, so what a task holds
 is bounded however long the benchmark is; documents are never shuffled.
@@ -32,8 +36,6 @@ from riskloom.llm.common import slices, small_batches, text_rows, tidy
 from riskloom.llm.packed import SLICE_BYTES, hash_words, windows
 
 SEED_WORDS = 3
-KEPT = 0.5
-LEAST_SEEDS = 6
 PENALTY = 0.5
 THRESHOLD = 0.4
 ITEMS_PER_BLOCK = 2_000
@@ -115,37 +117,6 @@ def _held(codes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return hit, at[hit]
 
 
-def _rare(docs: DataFrame, block: Block) -> Block:
-    """The block with each item's rarer seeds only, by documents that hold them."""
-    known, sizes_of_seeds = np.unique(block.seeds), block.seed_sizes()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(known), np.int64)
-        for batch in slices(batches, SLICE_BYTES):
-            owner, hashes = word_table(batch.column("text").to_pylist())
-            for size in sizes_of_seeds:
-                start, code = windows(owner, hashes, size)
-                hit, place = _held(code, known)
-                pairs = np.unique(owner[start[hit]] * len(known) + place)  # a text counts once
-                total += np.bincount(pairs % len(known), minlength=len(known))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["place", "n"])
-
-    if not len(known):
-        return block
-    counted = docs.mapInArrow(tidy(count), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    documents = np.zeros(len(known), np.int64)
-    for r in counted.collect():  # one row for each seed of the block at most
-        documents[r["place"]] = r["n"]
-    rarity = documents[np.searchsorted(known, block.seeds)]
-    order = np.lexsort((block.seeds, rarity, block.owner))
-    sizes = np.bincount(block.owner, minlength=len(block.words))
-    number = np.arange(len(order)) - np.repeat(np.r_[0, np.cumsum(sizes)[:-1]], sizes)
-    allowed = np.maximum(np.ceil(KEPT * sizes).astype(np.int64), LEAST_SEEDS)
-    kept = np.sort(order[number < np.repeat(allowed, sizes)])
-    return Block(block.ids, block.words, block.seeds[kept], block.owner[kept])
-
-
 def _leaks_of(texts: list[str], block: Block, threshold: float) -> Iterator[tuple[int, int, float, int]]:
     """(text's place, item's place, score, word where the copy ends) of all leaks in the texts."""
     owner, hashes = word_table(texts)
@@ -167,18 +138,30 @@ def _leaks_of(texts: list[str], block: Block, threshold: float) -> Iterator[tupl
             if min(SEED_WORDS, len(target)) != size:
                 continue
             begin, end = np.searchsorted(owner, [text[low], text[low] + 1])
-            best, last = _best_passage(hashes[begin:end], target, hit[low:high] - begin)
+            best, last = _best_passage(hashes[begin:end], target, hit[low:high] - begin, threshold)
             if best >= threshold * len(target):
                 yield int(text[low]), int(item[low]), best / len(target), last
 
 
-def _best_passage(words: np.ndarray, target: np.ndarray, hits: np.ndarray) -> tuple[float, int]:
-    """Alignment with the passages around the hits; hits close together share a passage."""
-    reach = len(target) + len(target) // 4 + 1
+def _shared(target: np.ndarray, passage: np.ndarray) -> int:
+    """Words the two have in common, each as often as both hold it: no alignment scores more."""
+    words, most = np.unique(target, return_counts=True)
+    _, at = _held(passage, words)
+    return int(np.minimum(np.bincount(at, minlength=len(words)), most).sum())
+
+
+def _best_passage(words: np.ndarray, target: np.ndarray, hits: np.ndarray, threshold: float) -> tuple[float, int]:
+    """Alignment with the passages around the hits; hits close together share a passage.
+
+    With m matches and p mismatches and gaps, a leak has m - ``PENALTY`` p >= ``threshold`` n,
+    so it spans at most n + (1 - ``threshold``) n / ``PENALTY`` words."""
+    reach = len(target) + int(max(0.0, 1 - threshold) * len(target) / PENALTY) + 1
     best, end = 0.0, 0
     gaps = np.flatnonzero(np.diff(hits) > 2 * reach) + 1
     for group in np.split(hits, gaps):
         low, high = max(0, int(group[0]) - reach), int(group[-1]) + SEED_WORDS + reach
+        if _shared(target, words[low:high]) < threshold * len(target):
+            continue
         score, place = align(target, words[low:high])
         if score > best + 1e-12:
             best, end = score, low + place
@@ -200,7 +183,7 @@ def leaks(
     shape = "doc_id long, item_id long, score double, n_item_words long, end_word long"
     found = docs.sparkSession.createDataFrame([], shape)
     for block in item_blocks(items, item_id_col, item_text_col):
-        found = found.union(texts.mapInArrow(tidy(_search(_rare(texts, block), threshold)), shape))
+        found = found.union(texts.mapInArrow(tidy(_search(block, threshold)), shape))
     best = F.max_by(F.struct("score", "n_item_words", "end_word"), F.struct("score", -F.col("end_word")))
     return found.groupBy("doc_id", "item_id").agg(best.alias("l")).select("doc_id", "item_id", "l.*")
 

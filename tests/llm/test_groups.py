@@ -227,3 +227,27 @@ def test_alignment_equals_the_full_table():
     for _ in range(200):
         a, b = (draw.integers(0, 4, draw.integers(0, 12)).astype(np.uint64) for _ in range(2))
         assert align(a, b, 0.5)[0] == pytest.approx(brute_align(a, b, 0.5))
+
+
+def test_leaks_equal_brute_force(spark):
+    items = [prose(500 + k, n).split() for k, n in enumerate((30, 40, 59))]
+    common = " ".join(items[2][10:13])  # a trigram of an item that most documents hold
+    rows = [" ".join([prose(600 + k, 12), common, prose(700 + k, 12)]) for k in range(20)]
+    for i, item in enumerate(items):
+        for step in (4, 5, 6):
+            edited = [f"new{k}" if k % step == step - 1 else w for k, w in enumerate(item)]
+            rows.append(" ".join([prose(800 + step, 9), *edited, prose(810 + i, 9)]))
+        rows.append(" ".join([prose(820 + i, 9), *item[: len(item) // 2], prose(830 + i, 9)]))  # a part
+        rows.append(" ".join([prose(840 + i, 70), *item]))  # exact, beside the edited ones
+        spread = [x for k, w in enumerate(item) for x in ([w, f"in{k}"] if k >= 6 else [w])]
+        rows.append(" ".join([prose(850 + i, 9), *spread]))  # seeds at one end only
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    tests = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    expected = {}
+    for d, text in enumerate(rows):
+        for i, item in enumerate(items):
+            score = brute_align(item, text.split(), 0.5) / len(item)
+            if score >= 0.4:
+                expected[d, i] = pytest.approx(score)
+    assert len(expected) == 18
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in leaks(docs, tests).collect()} == expected
