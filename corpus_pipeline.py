@@ -28,8 +28,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take each source's boilerplate lines out of its texts."""
-    cleaned = lines.drop_boilerplate(docs, host="source", text="text")
+    """Take each source's boilerplate lines out of its texts; copies are still there and count once."""
+    cleaned = lines.drop_boilerplate(docs, host="source", text="text", copies_once=True)
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 

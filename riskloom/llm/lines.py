@@ -12,6 +12,11 @@ stays null; an empty text stays empty; blank lines are never boilerplate; a page
 repeats a line counts once; a text of which every line goes becomes empty; lines are cut
 at line feeds and compared without surrounding white space; repeated rows are pages of
 their own; other columns, whatever their names, are kept.
+
+With ``copies_once`` the pages of a host that hold the same lines (order, repeats, blank lines
+and surrounding white space aside) count as one page, in the pages with a line and in the
+host's pages alike, so that copies of a document do not vote for their own lines. Near copies
+differ in a line and count each.
 """
 
 from __future__ import annotations
@@ -34,14 +39,24 @@ def line_key(line: Column) -> Column:
 
 
 def boilerplate_lines(
-    pages: DataFrame, host: Column, text: Column, ratio: float = BOILERPLATE_RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame,
+    host: Column,
+    text: Column,
+    ratio: float = BOILERPLATE_RATIO,
+    min_pages: int = MIN_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``host, key, pages, host_pages`` of each boilerplate line."""
     rows = pages.select(host.alias("host"), text.cast("string").alias("text")).where(F.col("host").isNotNull())
-    totals = rows.groupBy("host").agg(F.count("*").alias("host_pages"))
     keys = F.array_distinct(F.transform(F.split("text", "\n"), line_key))
+    rows = rows.select("host", keys.alias("keys"))
+    if copies_once:
+        held = F.array_sort(F.filter("keys", lambda k: k.isNotNull()))
+        page = F.struct(F.xxhash64(held).alias("a"), F.xxhash64(held, F.lit(1)).alias("b"))
+        rows = stored(rows.groupBy("host", page.alias("page")).agg(F.first("keys").alias("keys")))
+    totals = rows.groupBy("host").agg(F.count("*").alias("host_pages"))
     counts = (
-        rows.select("host", F.explode(keys).alias("key"))
+        rows.select("host", F.explode("keys").alias("key"))
         .where(F.col("key").isNotNull())
         .groupBy("host", "key")
         .agg(F.count("*").alias("pages"))
@@ -57,10 +72,11 @@ def drop_boilerplate(
     ratio: float = BOILERPLATE_RATIO,
     min_pages: int = MIN_PAGES,
     dropped: str | None = None,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``pages`` with the boilerplate lines taken out of ``text``; ``dropped`` names a column
-    for the number of lines that went."""
-    found = boilerplate_lines(pages, F.col(host), F.col(text), ratio, min_pages)
+    for the number of lines that went, ``copies_once`` counts pages with the same lines once."""
+    found = boilerplate_lines(pages, F.col(host), F.col(text), ratio, min_pages, copies_once)
     sites = stored(found.groupBy(F.col("host").alias("site")).agg(F.collect_list("key").alias("keys")))
     if (sites.agg(F.sum(F.size("keys"))).first()[0] or 0) <= BROADCAST_KEYS:
         sites = F.broadcast(sites)  # else the join splits a large host's pages

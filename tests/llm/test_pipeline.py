@@ -4,6 +4,7 @@ import corpus_pipeline
 from riskloom.llm import jaccard, language
 from riskloom.llm.lines import cleaned_sql
 from riskloom.llm.queries import llm_oracles, llm_queries
+from tests.llm.conftest import prose
 
 
 def test_oracles(spark, tables):
@@ -48,3 +49,17 @@ def test_odd_rows_pass_the_stages(spark, odd_docs, no_docs, tables, monkeypatch)
             assert docs.columns == start.columns
         left = sorted((r["doc_id"] if r["doc_id"] is not None else -1) for r in docs.select("doc_id").collect())
         assert left == ([-1, 0, 6, 8, 9, 9, 11] if count else [])
+
+
+def test_copies_do_not_vote_for_their_own_lines(spark, tables):
+    copy = "\n".join(prose(900 + k, 20) for k in range(4))
+    rows = [(k, f"menu\n{prose(1000 + k, 60)}", "en", "a.org") for k in range(20)]
+    rows += [(100 + k, f"menu\n{copy}", "en", "a.org") for k in range(8)]  # a group with a third of all rows
+    rows += [(200 + k, f" {copy}\n\nmenu ", "en", "a.org") for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs = docs.selectExpr("*", "cast(char_length(text) as long) AS n_chars")
+    cleaned = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, tables).cache()
+    texts = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert texts[0] == prose(1000, 60) and texts[100] == copy and texts[200] == f" {copy}\n"
+    kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, cleaned, tables).collect()
+    assert {r["doc_id"] for r in kept} == {*range(20), 100}
