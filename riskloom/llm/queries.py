@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, language, leaks, lines, neighbours, pieces, quality, sharding, substrings, tokens
+from riskloom.llm import (
+    jaccard,
+    language,
+    leaks,
+    lines,
+    neighbours,
+    pieces,
+    quality,
+    sharding,
+    spelling,
+    substrings,
+    tokens,
+)
 from riskloom.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +109,8 @@ def op9_token_counts(spark, folder):
 def op10_sentencepiece(spark, folder):
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.piece_digests(read_table(spark, folder, "documents"), model)
+
+
+@query
+def op12_spelling_variants(spark, folder):
+    return spelling.variant_groups(spelling.word_counts(read_table(spark, folder, "documents")))
