@@ -20,6 +20,7 @@ from riskloom.llm import (
     spelling,
     substrings,
     tokens,
+    warc,
 )
 from riskloom.llm.common import fold, read_table
 
@@ -38,7 +39,10 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_line_dedup": lines.cleaned_sql(extra=", coalesce(n_dropped, 0) AS n_dropped")}
+    return {
+        "op2_line_dedup": lines.cleaned_sql(extra=", coalesce(n_dropped, 0) AS n_dropped"),
+        "op13_warc": warc.archived_sql(),
+    }
 
 
 @query
@@ -114,3 +118,9 @@ def op10_sentencepiece(spark, folder):
 @query
 def op12_spelling_variants(spark, folder):
     return spelling.variant_groups(spelling.word_counts(read_table(spark, folder, "documents")))
+
+
+@query
+def op13_warc(spark, folder):
+    read = warc.archived(read_table(spark, folder, "pages"), least=0)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

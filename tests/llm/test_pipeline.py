@@ -9,7 +9,8 @@ from tests.llm.conftest import prose
 
 def test_oracles(spark, tables):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tables}/documents.parquet'")
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tables}/{t}.parquet'")
     for name, sql in llm_oracles().items():
         found = con.execute(sql)
         columns = [d[0] for d in found.description]
