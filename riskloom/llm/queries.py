@@ -16,6 +16,7 @@ from riskloom.llm import (
     neighbours,
     pieces,
     quality,
+    ranked,
     sharding,
     spelling,
     substrings,
@@ -41,6 +42,7 @@ def llm_queries() -> dict[str, Query]:
 def llm_oracles() -> dict[str, str]:
     return {
         "op2_line_dedup": lines.cleaned_sql(extra=", coalesce(n_dropped, 0) AS n_dropped"),
+        "op11_ranked_search": ranked.ranked_sql(),
         "op13_warc": warc.archived_sql(),
     }
 
@@ -115,6 +117,12 @@ def op10_sentencepiece(spark, folder):
     return pieces.piece_digests(read_table(spark, folder, "documents"), model)
 
 
+@query
+def op11_ranked_search(spark, folder):
+    index = ranked.build_index(read_table(spark, folder, "documents"))
+    return ranked.search(index, read_table(spark, folder, "benchmark"), k=10).drop("query")
+
+
 @query
 def op12_spelling_variants(spark, folder):
     return spelling.variant_groups(spelling.word_counts(read_table(spark, folder, "documents")))
