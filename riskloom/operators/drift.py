@@ -15,7 +15,7 @@ from riskloom.constants import DRIFT_FEATURES, DRIFT_THRESHOLD, PSI_ALARM, PSI_B
 from riskloom.functions.columns import half_up, ratio_or_zero
 from riskloom.functions.statistics import chi2_tail, kolmogorov_tail, normal_two_sided
 from riskloom.operators.ordering import running_totals
-from riskloom.session import checkpoint
+from riskloom.session import stored
 
 # fixed values: thresholds of the tests and of the dataset verdict
 DISTANCE_THRESHOLD = 0.1
@@ -62,7 +62,7 @@ SMALL_COUNTS = 200_000
 def _along_values(counts: DataFrame) -> DataFrame:
     """Running and total rows of both sets along each feature's values. Up to
     ``SMALL_COUNTS`` distinct values one window per feature does; beyond, ordered parts."""
-    counts = checkpoint(counts)
+    counts = stored(counts)
     if counts.limit(SMALL_COUNTS + 1).count() > SMALL_COUNTS:
         return running_totals(
             counts,

@@ -34,7 +34,7 @@ from riskloom.constants import (
 )
 from riskloom.functions.columns import calendar_columns, cents, channel_code, half_up, micros
 from riskloom.operators.ordering import before_part, join_same, place_in_order, rank_blocks
-from riskloom.session import broadcast_if_small, checkpoint
+from riskloom.session import broadcast_if_small, stored
 
 LONG_USER_ROWS = 200_000
 BLOCK_ROWS = 50_000
@@ -87,7 +87,7 @@ def in_blocks(
     if long_user_rows is None:
         return txn.withColumns(whole), False
     rows = txn.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows"))
-    long_users = checkpoint(rows.where(F.col("_rows") > long_user_rows).select("user_id"))
+    long_users = stored(rows.where(F.col("_rows") > long_user_rows).select("user_id"))
     if long_users.isEmpty():
         return txn.withColumns(whole), False
     long_users = broadcast_if_small(long_users)
@@ -532,7 +532,7 @@ def idle_reset(
             *txn.columns, "history_number", (F.row_number().over(visit) == 1).alias("first_since_reset")
         )
     # histories begun in earlier blocks of the same user
-    rows = checkpoint(rows)
+    rows = stored(rows)
     blocks = rows.groupBy("user_id", "_block").agg(F.sum("_starts").alias("_n"))
     earlier = Window.partitionBy("user_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("user_id", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begun"))

@@ -17,7 +17,7 @@ from riskloom.constants import CLASSIFIER_PARAMS, FOREST_PARAMS, MODEL_FEATURES,
 from riskloom.operators.alerts import decide, explain
 from riskloom.operators.ordering import exact_quantiles
 from riskloom.operators.prepare import class_balance
-from riskloom.session import checkpoint
+from riskloom.session import stored
 
 # --- classifier --------------------------------------------------------------------
 
@@ -34,7 +34,7 @@ def train_classifier(
     other boosted-tree libraries."""
     # stored once: the weight and every tree read these rows again
     present = [c for c in columns if c in prepared.columns]
-    rows = checkpoint(
+    rows = stored(
         prepared.where(F.col("split").isin("train", "val")).select("split", "label", *present)
     )
     train = rows.where(F.col("split") == "train").select((F.col("label") == 1).alias("label"))
@@ -176,7 +176,7 @@ def train_isolation_forest(
         .select("tree", "s.draw", "s.x")
     )
     nodes = drawn.groupBy("tree").applyInPandas(lambda sample: _grow(sample, seed), NODE)
-    return IsolationForest(checkpoint(nodes), present, min(sample_rows, total))
+    return IsolationForest(stored(nodes), present, min(sample_rows, total))
 
 
 def anomaly_scores(forest: IsolationForest, rows: DataFrame, out: str = "anomaly_score") -> DataFrame:

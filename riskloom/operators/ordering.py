@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import checkpoint
+from riskloom.session import stored
 
 _PLACE_BITS = 33
 
@@ -22,10 +22,10 @@ _PLACE_BITS = 33
 def place_in_order(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Add ``_part`` and ``_place``: the sorted part a row lies in and its place there.
 
-    The result is checkpointed: sort bounds come from a sample, and both the totals
+    The result is stored: sort bounds come from a sample, and both the totals
     per part and the rows themselves must see the same cut.
     """
-    placed = checkpoint(
+    placed = stored(
         df.sort(*order).withColumn("_seen", F.monotonically_increasing_id())
     )
     return placed.select(

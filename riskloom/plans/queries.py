@@ -17,7 +17,7 @@ from riskloom.operators import models as mo
 from riskloom.operators import monitor as mn
 from riskloom.operators import prepare as pr
 from riskloom.operators import quality as qu
-from riskloom.session import checkpoint
+from riskloom.session import stored
 from riskloom.sources import messages as ms
 from riskloom.sources import sinks
 from riskloom.sources.tables import event_transactions, order_transactions
@@ -91,7 +91,7 @@ def raw_dedup(spark, folder):
     n = F.col("offset")
     again = sent.where(n % 10 == 0)
     resent = sent.where(n % 17 == 0).withColumn("offset", n + 1_000_000_000)
-    rows = checkpoint(ms.good_rows(ms.parse_messages(sent.unionAll(again).unionAll(resent))).drop("payload"))
+    rows = stored(ms.good_rows(ms.parse_messages(sent.unionAll(again).unionAll(resent))).drop("payload"))
     accepted, rejected = ms.accept_new(rows)
     keep = ["transaction_id", "kafka_partition", "kafka_offset"]
     return accepted.select(*keep, F.lit("stored").alias("outcome")).unionAll(
@@ -102,7 +102,7 @@ def raw_dedup(spark, folder):
 @query
 def feature_upsert(spark, folder):
     """A second version of every third row, and every fifth row only in the second."""
-    f = checkpoint(
+    f = stored(
         _features(spark, folder).select(
             "transaction_id", "amount", "label", "user_txn_count_24h", "amount_zscore", "country_change_flag"
         )
@@ -356,7 +356,7 @@ def data_fingerprint(spark, folder):
 
 def _split_features(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled feature rows, stored once, with their split."""
-    return _with_split(checkpoint(_features(spark, folder).where(F.col("label").isNotNull())))
+    return _with_split(stored(_features(spark, folder).where(F.col("label").isNotNull())))
 
 
 def _with_split(features: DataFrame) -> DataFrame:
@@ -567,7 +567,7 @@ def _ends(spark, folder, reference: int | None = None) -> tuple[DataFrame, DataF
 
 
 def _stored(spark, folder) -> DataFrame:
-    return checkpoint(pr.drift_columns(_features(spark, folder)))
+    return stored(pr.drift_columns(_features(spark, folder)))
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -628,7 +628,7 @@ def drift_dataset(spark, folder):
 
 def _by_window(spark, folder):
     features = _stored(spark, folder)
-    reference = checkpoint(pr.drift_period(features, before=F.lit(DRIFT_MOMENT).cast("timestamp")))
+    reference = stored(pr.drift_period(features, before=F.lit(DRIFT_MOMENT).cast("timestamp")))
     return dr.drift_by_window(reference, features, features=DRIFT_FEATURES)
 
 
@@ -711,7 +711,7 @@ def train_classifier(spark, folder):
 
 def _trained(spark: SparkSession, folder: str) -> tuple:
     """The documented model, and the feature rows, which are computed once for both."""
-    features = checkpoint(_features(spark, folder))
+    features = stored(_features(spark, folder))
     return mo.train_classifier(pr.prepared_features(_with_split(features))), features
 
 
@@ -737,5 +737,5 @@ def score_pipeline(spark, folder):
 def anomaly_scores(spark, folder):
     rows = pr.prepared_features(_split_features(spark, folder))
     forest = mo.train_isolation_forest(rows.where("split = 'train'"))
-    scored = checkpoint(mo.anomaly_scores(forest, rows))
+    scored = stored(mo.anomaly_scores(forest, rows))
     return ev.normalised(scored, "anomaly_score", "anomaly_norm").select("transaction_id", "label", "anomaly_score", "anomaly_norm")

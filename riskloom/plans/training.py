@@ -11,7 +11,7 @@ from riskloom.constants import CLASSIFIER_PARAMS, FOREST_PARAMS, MIN_TRAINING_RO
 from riskloom.operators import evaluate as ev
 from riskloom.operators import models as mo
 from riskloom.operators import prepare as pr
-from riskloom.session import checkpoint
+from riskloom.session import stored
 from riskloom.sources.sinks import append_batch, save_model, write_importance
 
 
@@ -39,21 +39,21 @@ def train_run(
 
     The labelled rows are stored once; each later step reads them back."""
     spark = features.sparkSession
-    rows = checkpoint(pr.labelled_scan(features, min_rows))
+    rows = stored(pr.labelled_scan(features, min_rows))
     split = pr.time_split(rows, SPLIT)
-    prepared = checkpoint(pr.prepared_features(split))
+    prepared = stored(pr.prepared_features(split))
 
     model = mo.train_classifier(prepared, params=classifier_params)
-    scored = checkpoint(
+    scored = stored(
         mo.score(model, prepared).select("transaction_id", "split", (F.col("label") == 1).alias("label"), "score")
     )
-    report = checkpoint(ev.evaluation_report(scored))
+    report = stored(ev.evaluation_report(scored))
     test = scored.where("split = 'test'")
     gate = ev.promotion_gate(ev.curve_metrics(ev.score_counts(test)), min_pr_auc, min_recall).first()
     best = ev.optimal_threshold(test).first()
 
     forest = mo.train_isolation_forest(prepared.where("split = 'train'"), trees=trees)
-    unusual = checkpoint(
+    unusual = stored(
         mo.anomaly_scores(forest, prepared.where("split = 'test'")).select(
             "transaction_id", (F.col("label") == 1).alias("label"), "anomaly_score"
         )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,30 +22,48 @@ def local_session(app: str = "riskloom", cores: str = "8") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
+_local_folders: dict[str, str] = {}  # by application, where no folder is set
+_in_use: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach, as named by ``spark.checkpoint.dir``."""
+    """The folder all executors reach, as named by ``spark.checkpoint.dir``. A session in one
+    process may go without it and then gets a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="riskloom-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="riskloom-stored-")
+    return _local_folders[app]
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that it is evaluated once and
-    lost executors do not cause a recomputation with other partition bounds."""
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the folder all executors share and read back. It is
+    evaluated once, lineage ends there, a lost executor costs nothing, and columns and rows
+    that a later step does not need are not read. The folder goes when the process ends."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    folder = f"{shared_folder(spark).rstrip('/')}/riskloom-{spark.sparkContext.applicationId}"
+    if folder not in _in_use:
+        _in_use.add(folder)
+        atexit.register(remove_stored, spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_stored(spark: SparkSession, folder: str) -> None:
+    """Delete what ``stored`` wrote; nothing may read it any more."""
+    with contextlib.suppress(Exception):  # the JVM may be gone by then
+        jvm = spark.sparkContext._jvm or spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
 
 
 BROADCAST_ROWS = 500_000

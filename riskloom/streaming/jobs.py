@@ -20,7 +20,7 @@ from riskloom.operators.history import feature_rows
 from riskloom.operators.models import score_and_explain
 from riskloom.operators.prepare import drift_columns, drift_scan, enough_for_drift, scoring_input
 from riskloom.operators.quality import FEATURE_ROW_FIELDS, REQUEST_FIELDS, split_requests, within_error_budget
-from riskloom.session import broadcast_if_small, checkpoint
+from riskloom.session import broadcast_if_small, stored
 from riskloom.sources.messages import accept_new, feature_input, good_rows, parse_messages, quarantined
 from riskloom.sources.sinks import (
     append_batch,
@@ -97,11 +97,11 @@ def features_batch(messages: DataFrame, batch_id: int, folder: str, order: str =
     spark = messages.sparkSession
     good = good_rows(parse_messages(messages))
     rows, _ = accept_new(good, known_ids(spark, f"{folder}/feature_ids", good, batch_id))
-    rows = checkpoint(rows)
+    rows = stored(rows)
     new = feature_input(rows).select(*HISTORY_COLUMNS)
     history = read_buckets(spark, f"{folder}/history", new, "user_id", batch_id)
     if history is not None:
-        users = broadcast_if_small(checkpoint(new.select("user_id").distinct()))
+        users = broadcast_if_small(stored(new.select("user_id").distinct()))
         past = history.join(users, "user_id", "left_semi").select(*HISTORY_COLUMNS)
         both = past.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
     else:
@@ -192,11 +192,11 @@ def drift_check(
     if features is None:
         return False
     frame = drift_columns(features)
-    reference = checkpoint(drift_scan(frame, "reference", reference_rows))
-    current = checkpoint(drift_scan(frame, "current", current_rows))
+    reference = stored(drift_scan(frame, "reference", reference_rows))
+    current = stored(drift_scan(frame, "current", current_rows))
     if not (enough_for_drift(reference, min_rows) and enough_for_drift(current, min_rows)):
         return False
-    report = checkpoint(drift_report(reference, current)).withColumn("checked_at", F.current_timestamp())
+    report = stored(drift_report(reference, current)).withColumn("checked_at", F.current_timestamp())
     append_batch(report, f"{folder}/drift_features", run)
     append_batch(
         drift_dataset(report).withColumn("checked_at", F.current_timestamp()), f"{folder}/drift_runs", run
