@@ -48,14 +48,18 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet to the folder all executors share and read back. It is
     evaluated once, lineage ends there, a lost executor costs nothing, and columns and rows
     that a later step does not need are not read. The folder goes when the process ends."""
-    spark = df.sparkSession
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A name for a new folder in the shared one, deleted with all it holds when the process ends."""
     folder = f"{shared_folder(spark).rstrip('/')}/riskloom-{spark.sparkContext.applicationId}"
     if folder not in _in_use:
         _in_use.add(folder)
         atexit.register(remove_stored, spark, folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{folder}/{uuid.uuid4().hex}"
 
 
 def remove_stored(spark: SparkSession, folder: str) -> None:
