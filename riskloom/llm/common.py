@@ -5,35 +5,29 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import shared_folder
+from riskloom.session import stored
 from riskloom.sources.tables import read_table
 
 BATCH_ROWS = 1024
+BATCH_BYTES = 2 << 20
 
 __all__ = ["fold", "give_back", "read_table", "slices", "small_batches", "stored", "text_rows", "tidy"]
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most ``BATCH_ROWS`` rows, since one text may be very long."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once to the folder all executors share and read back: lineage ends
-    there, a lost executor costs nothing, and column pruning still works."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/riskloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Arrow batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES`` (one row at least):
+    texts may be long, and both the JVM and Python hold a batch outside the heap."""
+    rows, size = (f"spark.sql.execution.arrow.{k}" for k in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+    if spark.conf.get(size, None) is None:  # unless the session sets its own
+        spark.conf.set(size, BATCH_BYTES)
 
 
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -49,15 +43,27 @@ def fold(parts: int, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts, F.lit(0))
 
 
+@functools.cache
+def _libc() -> ctypes.CDLL | None:
+    """The C library, told once to serve large blocks from the system and keep few arenas, so
+    that freed arrays leave the process; None where it is another one."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD, which then no longer grows
+        libc.mallopt(-8, 2)  # M_ARENA_MAX
+        pa.set_memory_pool(pa.system_memory_pool())
+    except (OSError, AttributeError):
+        return None
+    return libc
+
+
 def give_back() -> None:
     """Return freed memory to the system: Python workers live on between tasks, beside the
     executor's heap."""
     gc.collect()
     pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass
+    if (libc := _libc()) is not None:
+        libc.malloc_trim(0)
 
 
 def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
@@ -65,6 +71,7 @@ def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
 
     @functools.wraps(work)
     def run(batches: Iterator) -> Iterator:
+        _libc()
         yield from work(batches)
         give_back()
 

@@ -26,8 +26,28 @@ from pyspark.sql import DataFrame
 from riskloom.llm.common import slices, small_batches, text_rows, tidy
 
 SPACE = "▁"
-CACHED = 200_000  # words, and pairs of pieces, remembered during a task before it starts anew
+CACHED = 100_000  # words, parts of words, and pairs of pieces that a worker remembers, twice at most
 LONGEST_CACHED = 40
+ODD = "~"  # behind the ids of a word that they do not decode to
+
+
+class Recent(dict):
+    """A bounded dictionary: when it is full it becomes the old one, which is still asked."""
+
+    def __init__(self, most: int):
+        self.most, self.old = most, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is not None:
+            self.add(key, found)
+        return found
+
+    def add(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
 
 
 class PieceModel:
@@ -53,20 +73,36 @@ class PieceModel:
             if self._merge(piece) == [piece]:  # others are never output
                 self.automaton.add_word(piece, (self.id[piece], len(piece)))
         self.automaton.make_automaton()
-        self.apart: dict[int, bool] = {}
-        # where no piece continues a word with a space, words can be encoded one by one
-        whole = any(SPACE in piece.lstrip(SPACE) for piece in self.rank)
-        self.words_of = re.compile(".+" if whole else f"{SPACE}+[^{SPACE}]*", re.DOTALL).findall
+        self.apart = Recent(CACHED)
+        self.halves: dict[str, list[str]] = {}  # by piece
         # two characters that stand together in no piece are never merged
         self.pairs = {a + b for piece in self.rank for a, b in pairwise(piece)}
-        self.ids_of: dict[str, str] = {}  # by word, as text
-        self.text_of: dict[str, str] = {}  # by word, what its ids decode to
-        self.part_ids: dict[str, list[int]] = {}
+        # where no piece continues a word with a space, words can be encoded one by one
+        whole = any(SPACE in piece.lstrip(SPACE) for piece in self.rank)
+        self.words_of = re.compile(".+" if whole else self._units(), re.DOTALL).findall
+        self.spelled = [str(i) for i in range(len(self.text))]
+        self.length = [len(t) for t in self.text]
+        self.ids_of = Recent(CACHED)  # by word, as text
+        self.part_ids = Recent(CACHED)
+
+    def _units(self) -> str:
+        """Letters and other characters as units of their own, each with the spaces before it.
+        Letters that some piece joins with another character count as other ones."""
+        joined: set[str] = set()
+        while True:
+            kept = "".join(map(re.escape, sorted(joined)))
+            letter = re.compile(f"[^\\W\\d_{kept}]")
+            mixed = {a if letter.match(a) else b for a, b in self.pairs if bool(letter.match(a)) != bool(letter.match(b)) and a != SPACE}
+            if not mixed:
+                break
+            joined |= mixed
+        other = f"(?:(?!{SPACE})[\\W\\d_{kept}])+"
+        return f"{SPACE}*(?:{letter.pattern}+|{other})|{SPACE}+"
 
-    def _merge(self, text: str) -> list[str]:
-        """The plain merge loop over the characters of a short string."""
+    def _merge(self, text: str, until: int = 1) -> list[str]:
+        """The plain merge loop over the characters of a short string, or all but its last steps."""
         parts, none = list(text), len(self.rank)
-        while len(parts) > 1:
+        while len(parts) > until:
             ranks = [self.rank.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
             best = min(ranks)
             if best == none:
@@ -76,18 +112,44 @@ class PieceModel:
         return parts
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether the two pieces stay apart when their texts stand together."""
+        """Whether the two pieces stay apart when their texts stand together.
+
+        The pieces' last merges are undone from the latest on. They would have grown together
+        had the two parts that touch been merged before the merge that is undone next."""
         key = left * len(self.text) + right
-        found = self.apart.get(key)
+        found = self.apart[key]
         if found is None:
-            if len(self.apart) >= CACHED:
-                self.apart.clear()
-            a, b = self.text[left], self.text[right]
-            found = self.apart[key] = self._merge(a + b) == [a, b]
+            found = self._stay_apart(self.text[left], self.text[right])
+            self.apart.add(key, found)
         return found
 
-    def _encode_run(self, run: str) -> list[int]:
-        """Ids of a string all of whose characters are pieces, from the table of last tokens."""
+    def _halves(self, piece: str) -> list[str] | None:
+        """The two parts whose merge gave a piece; None for a character."""
+        if len(piece) == 1:
+            return None
+        found = self.halves.get(piece)
+        if found is None:
+            found = self.halves[piece] = self._merge(piece, until=2)
+        return found
+
+    def _stay_apart(self, a: str, b: str) -> bool:
+        rank, halves = self.rank, self._halves
+        before = len(rank)  # a merge across must have a smaller rank to come first
+        while True:
+            across = rank.get(a + b)
+            if across is not None and across < before:
+                return False
+            at_a, at_b = rank[a] if len(a) > 1 else -1, rank[b] if len(b) > 1 else -1
+            if at_a < 0 and at_b < 0:
+                return True
+            # of equal ranks the left merge comes first
+            if at_a > at_b:
+                before, a = at_a, halves(a)[1]
+            else:
+                before, b = at_b + 1, halves(b)[0]
+
+    def _encode_run(self, run: str) -> list[int] | None:
+        """Ids of a string from the table of last tokens; None if a character is no piece."""
         last = [-1] * (len(run) + 1)
         known, size, compatible = self.apart.get, len(self.text), self.compatible
         for end, (piece, length) in self.automaton.iter(run):
@@ -99,11 +161,15 @@ class PieceModel:
                     apart = known(before * size + piece)
                     if compatible(before, piece) if apart is None else apart:
                         last[end] = piece
-        ids, at = [], len(run)
+        ids, at, length = [], len(run), self.length
         while at:
-            ids.append(last[at])
-            at -= len(self.text[last[at]])
-        return ids[::-1]
+            piece = last[at]
+            if piece < 0:
+                return None
+            ids.append(piece)
+            at -= length[piece]
+        ids.reverse()
+        return ids
 
     def _parts(self, word: str) -> Iterator[str]:
         """The word cut where no piece reaches across."""
@@ -114,31 +180,28 @@ class PieceModel:
                 start = k
         yield word[start:]
 
-    def _encode_word(self, word: str) -> list[int]:
+    def _encode_by_parts(self, word: str) -> list[int]:
+        """Ids of a word some of whose characters are no pieces."""
         ids: list[int] = []
         for part in self._parts(word):
-            found = self.part_ids.get(part)
+            found = self.part_ids[part]
             if found is None:
-                if part in self.id or len(part) > 1:
-                    found = self._encode_run(part)
-                else:  # a character that is no piece
+                found = self._encode_run(part)
+                if found is None:  # a character that is no piece
                     found = [self.byte_id[b] for b in part.encode("utf-8")] if self.byte_id else [self.unknown]
                 if len(part) <= LONGEST_CACHED:
-                    if len(self.part_ids) >= CACHED:
-                        self.part_ids.clear()
-                    self.part_ids[part] = found
+                    self.part_ids.add(part, found)
             ids += found
         return ids
 
-    def _add_word(self, word: str) -> tuple[str, str]:
-        ids = self._encode_word(word)
-        shown = self.decoded(ids)
-        found = ",".join(map(str, ids)), word if shown == word else shown
+    def _add_word(self, word: str) -> str:
+        ids, mark = self._encode_run(word), ""
+        if ids is None:
+            ids = self._encode_by_parts(word)
+            mark = ODD if self.decoded(ids) != word else ""
+        found = ",".join([self.spelled[i] for i in ids]) + mark
         if len(word) <= LONGEST_CACHED:
-            if len(self.ids_of) >= CACHED:
-                self.ids_of.clear()
-                self.text_of.clear()
-            self.ids_of[word], self.text_of[word] = found
+            self.ids_of.add(word, found)
         return found
 
     def encode_text(self, text: str) -> tuple[str, str]:
@@ -146,16 +209,23 @@ class PieceModel:
         if not text:
             return "", ""
         words = self.words_of(SPACE + text.replace(" ", SPACE))
-        ids, shown = list(map(self.ids_of.get, words)), list(map(self.text_of.get, words))
-        for k, found in enumerate(ids):
-            if found is None:
-                ids[k], shown[k] = self._add_word(words[k])
-        return ",".join(ids), "".join(shown).replace(SPACE, " ").removeprefix(" ")
-
-    def forget(self) -> None:
-        """Drop what was remembered of words, so that an idle Python worker holds little."""
-        for cache in (self.ids_of, self.text_of, self.part_ids):
-            cache.clear()
+        found = list(map(self.ids_of.__getitem__, words))
+        if None in found:
+            for k, ids in enumerate(found):
+                if ids is None:
+                    found[k] = self._add_word(words[k])
+        joined = ",".join(found)
+        if ODD not in joined:  # every word comes back, and the text with them
+            return joined, text if SPACE not in text else text.replace(SPACE, " ")
+        joined = joined.replace(ODD, "")
+        return joined, self._shown(words, found).replace(SPACE, " ").removeprefix(" ")
+
+    def _shown(self, words: list[str], found: list[str]) -> str:
+        """What the ids of words decode to, word by word."""
+        return "".join(
+            self.decoded([int(i) for i in ids[:-1].split(",")]) if ids.endswith(ODD) else word
+            for word, ids in zip(words, found, strict=True)
+        )
 
     def encode(self, text: str) -> list[int]:
         ids = self.encode_text(text)[0]
@@ -198,7 +268,6 @@ def piece_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col
                 ],
                 names=["doc_id", "ids", "decoded"],
             )
-        model.forget()
 
     small_batches(docs.sparkSession)
     return text_rows(docs, id_col, text_col).mapInArrow(tidy(encode), "doc_id long, ids array<int>, decoded string")
@@ -225,7 +294,6 @@ def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
-        model.forget()
 
     small_batches(docs.sparkSession)
     return text_rows(docs, id_col, text_col).mapInArrow(

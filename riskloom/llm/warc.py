@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import tidy
-from riskloom.session import shared_folder
+from riskloom.session import new_folder
 
 # fixed values: the format of records
 VERSION = "WARC/1.1"
@@ -354,7 +354,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
 def archived(pages: DataFrame, least: int = 0, **columns: str) -> DataFrame:
     """The pages through an archive and back: written, normalised, and read by offset."""
     spark = pages.sparkSession
-    folder = f"{shared_folder(spark).rstrip('/')}/riskloom-warc-{uuid.uuid4().hex}"
+    folder = new_folder(spark)
     if "://" not in folder:
         folder = f"file://{folder}"
     write_archives(page_records(pages, least, **columns), f"{folder}/whole")
