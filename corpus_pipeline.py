@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import jaccard, language, leaks, lines, pieces
-from riskloom.llm.common import fold, read_table, stored
+from riskloom.llm.common import fold, read_table, release_heap, stored
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the ids in ``gone`` (``doc_id``)."""
     ids = stored(gone.select(F.col("doc_id").alias("_gone")).distinct())
+    release_heap(docs.sparkSession)
     return docs.join(ids, docs["doc_id"].cast("long") == ids["_gone"], "left_anti")
 
 
@@ -45,6 +46,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids and decoded text of every document, as digests."""
+    release_heap(spark)
     return pieces.piece_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

@@ -17,7 +17,7 @@ from riskloom.sources.tables import read_table
 BATCH_ROWS = 1024
 BATCH_BYTES = 2 << 20
 
-__all__ = ["fold", "give_back", "read_table", "slices", "small_batches", "stored", "text_rows", "tidy"]
+__all__ = ["fold", "give_back", "read_table", "release_heap", "slices", "small_batches", "stored", "text_rows", "tidy"]
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -66,6 +66,15 @@ def give_back() -> None:
         libc.malloc_trim(0)
 
 
+def release_heap(spark: SparkSession) -> None:
+    """Have every executor collect its garbage now. A JVM keeps the heap it once grew to, while
+    Python workers need memory beside it; after a collection it returns what is free. One task
+    for each core, so between large steps only."""
+    cores = spark.sparkContext.defaultParallelism
+    collect = F.call_function("java_method", F.lit("java.lang.System"), F.lit("gc"))
+    spark.range(0, cores, 1, cores).select(collect).write.format("noop").mode("overwrite").save()
+
+
 def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function over batches that gives its memory back at its end."""
 
