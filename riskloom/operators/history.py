@@ -33,7 +33,7 @@ from riskloom.constants import (
     STATS_DAYS,
 )
 from riskloom.functions.columns import calendar_columns, cents, channel_code, half_up, micros
-from riskloom.operators.ordering import before_part, join_same, place_in_order, rank_blocks
+from riskloom.operators.ordering import before_part, join_same, place_in_order, rank_blocks, time_blocks
 from riskloom.session import broadcast_if_small, stored
 
 LONG_USER_ROWS = 200_000
@@ -67,11 +67,13 @@ def in_blocks(
     order: Sequence[str],
     *,
     overlap: int = HISTORY_CAP,
+    reach: int | None = None,
     long_user_rows: int | None = LONG_USER_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> tuple[DataFrame, bool]:
     """Add ``_block`` and ``_own``; rows of users above ``long_user_rows`` are spread over
-    blocks of ``block_rows`` consecutive rows plus ``overlap`` earlier rows (``_own`` false).
+    blocks of ``block_rows`` consecutive rows plus ``overlap`` earlier rows (``_own`` false),
+    or, with ``reach``, all rows from that many microseconds before the block's first.
 
     ``_long`` marks those users' rows; their ``_first_visit`` and ``_home`` are set here.
     ``long_user_rows=None`` skips the counting pass when the caller knows the sizes.
@@ -95,7 +97,11 @@ def in_blocks(
     is_long = F.col("user_id").eqNullSafe(F.col("_long_user"))  # rows without a user may be many
     short = txn.join(named, is_long, "left_anti").withColumns(whole)
     described = _describe_long(txn.join(named, is_long, "left_semi"), order)
-    cut = rank_blocks(described, block_rows, overlap).withColumn("_long", F.lit(True))
+    if reach is None:
+        cut = rank_blocks(described, block_rows, overlap)
+    else:
+        cut = time_blocks(described, "user_id", "_us", block_rows, reach)
+    cut = cut.withColumn("_long", F.lit(True))
     return short.unionByName(cut.select(*short.columns)), True
 
 
@@ -240,16 +246,18 @@ _UNIQUE = {
 
 
 def _time_order(
-    txn: DataFrame, cap: int, stats_days: int, min_rows: int, home: str | None, cut: dict, wanted: set[str]
+    txn: DataFrame, cap: int | None, stats_days: int, min_rows: int, home: str | None, cut: dict, wanted: set[str]
 ) -> DataFrame:
     keep = txn.columns
     done = [c for c in _DONE if c in wanted]
     kinds = [k for k, names in enumerate(_SWEPT, start=1) if names & wanted]
-    rows, _ = in_blocks(_packed(txn, cut.pop("arrival")), ["_us", "_arrival"], overlap=cap, **cut)
+    spans = [*_WINDOWS.values(), stats_days * DAY_US]
+    reach = max((spans[k - 1] for k in kinds), default=0) if cap is None else None
+    rows, _ = in_blocks(_packed(txn, cut.pop("arrival")), ["_us", "_arrival"], overlap=cap or 1, reach=reach, **cut)
     user = Window.partitionBy("user_id", "_block").orderBy("_us", "_arrival")
     compared = {n: c for n, c in _since_last().items() if n in wanted}
     places = {"_row": F.row_number().over(user)}
-    if kinds:
+    if kinds and cap is not None:
         places["_cap_us"] = F.lead("_us", cap + 1).over(user)
     if compared:
         places["_last"] = F.lag(F.struct("_us", "country", "device_id")).over(user)
@@ -262,7 +270,7 @@ def _time_order(
             here = F.struct("_us", "_row")
             rows = rows.withColumns({"_prev": F.lag(here).over(same), "_next": F.lead(here).over(same)})
             near = lambda old, new: (
-                (new["_row"] - old["_row"] <= cap) & (new["_us"] - old["_us"] <= DAY_US)
+                (new["_us"] - old["_us"] <= DAY_US) & (F.lit(cap is None) | (new["_row"] - old["_row"] <= (cap or 0)))
             )
             this = {"_row": F.col("_row"), "_us": F.col("_us")}
             alone_in = ~F.coalesce(near(F.col("_prev"), this), F.lit(False))
@@ -308,19 +316,18 @@ def _time_order(
     steps = [
         step(0, F.col("_us"), F.lit(0), F.col("_row"), 1, **{x: F.col(f"_{x}_in") for x in shorts})
     ]
-    spans = [*_WINDOWS.values(), stats_days * DAY_US]
     for kind in kinds:
         span = spans[kind - 1]
         # a row leaves after the last moment it is inside the window, or just before
         # the row that pushes it out of the newest `cap`
-        pushed = F.coalesce(F.col("_cap_us") <= F.col("_us") + span, F.lit(False))
+        pushed = F.lit(False) if cap is None else F.coalesce(F.col("_cap_us") <= F.col("_us") + span, F.lit(False))
         gone = {x: -F.col(f"_{x}_out") for x in shorts} if kind == 2 else {}
         steps.append(
             step(
                 kind,
-                F.when(pushed, F.col("_cap_us")).otherwise(F.col("_us") + span),
+                F.when(pushed, F.col("_cap_us") if cap is not None else F.lit(None)).otherwise(F.col("_us") + span),
                 F.when(pushed, 0).otherwise(1),
-                F.when(pushed, F.col("_row") + cap + 1).otherwise(F.col("_row")),
+                F.when(pushed, F.col("_row") + (cap or 0) + 1).otherwise(F.col("_row")),
                 0,
                 **gone,
             )
@@ -448,7 +455,7 @@ def history_features(
     *,
     order: str = "time",
     arrival: str = "transaction_id",
-    cap: int = HISTORY_CAP,
+    cap: int | None = HISTORY_CAP,
     stats_days: int = STATS_DAYS,
     min_rows: int = MIN_STATS_ROWS,
     home_country: str | None = "mode_of_history",
@@ -460,7 +467,8 @@ def history_features(
     its own columns. The plan sorts and sweeps for the named ones only.
 
     ``arrival`` is the column that orders a user's rows as they came in (unique per
-    user). ``stats_days=7`` gives the form whose amount history is trimmed to a week;
+    user). A look-back sees at most the newest ``cap`` rows; None, for the time order, lifts
+    that bound. ``stats_days=7`` gives the form whose amount history is trimmed to a week;
     ``home_country=None`` leaves ``is_foreign_txn`` empty.
     """
     cut = dict(arrival=arrival, long_user_rows=long_user_rows, block_rows=block_rows)
@@ -470,6 +478,8 @@ def history_features(
     if order == "time":
         return _time_order(txn, cap, stats_days, min_rows, home_country, cut, wanted)
     if order == "arrival":
+        if cap is None:
+            raise ValueError("order='arrival' needs a cap")
         every = _arrival_order(txn, cap, stats_days, min_rows, home_country, cut)
         return every.drop(*[c for c in FEATURE_COLUMNS if c not in wanted])
     raise ValueError(f"unknown order {order!r}")
@@ -507,7 +517,7 @@ def home_countries(
     )
 
 
-def idle_reset(
+def with_history_number(
     txn: DataFrame,
     *,
     idle_days: int = 7,
@@ -516,8 +526,10 @@ def idle_reset(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``history_number``, which grows whenever a user was idle for longer than
-    ``idle_days`` and is then forgotten, and ``first_since_reset``, whether the merchant
-    is new within that history. Follows event time, not a wall clock."""
+    ``idle_days`` and is then forgotten. Follows event time, not a wall clock.
+
+    The blocks of a long user are numbered on their own; the histories begun in earlier
+    blocks, one row per block, are then added."""
     order = ["_us", "_arrival"]
     rows, has_long = in_blocks(
         _prepared(txn, arrival), order, overlap=1, long_user_rows=long_user_rows, block_rows=block_rows
@@ -526,28 +538,56 @@ def idle_reset(
     gap = F.col("_us") - F.lag("_us").over(user)
     rows = rows.withColumn("_starts", F.coalesce(gap > idle_days * DAY_US, F.lit(True)).cast("int"))
     rows = rows.where("_own").withColumn("history_number", F.sum("_starts").over(user))
-    if not has_long:
-        visit = Window.partitionBy("user_id", "_block", "history_number", "merchant_id").orderBy(*order)
-        return rows.select(
-            *txn.columns, "history_number", (F.row_number().over(visit) == 1).alias("first_since_reset")
+    if has_long:
+        rows = stored(rows.select(*txn.columns, "_block", "_starts", "history_number"))
+        blocks = rows.groupBy("user_id", "_block").agg(F.sum("_starts").alias("_n"))
+        earlier = Window.partitionBy("user_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        blocks = blocks.select("user_id", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begun"))
+        rows = join_same(rows, blocks, ["user_id", "_block"]).withColumn(
+            "history_number", F.col("history_number") + F.col("_begun")
         )
-    # histories begun in earlier blocks of the same user
-    rows = stored(rows)
-    blocks = rows.groupBy("user_id", "_block").agg(F.sum("_starts").alias("_n"))
-    earlier = Window.partitionBy("user_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("user_id", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begun"))
-    rows = rows.join(blocks, ["user_id", "_block"]).withColumn(
-        "history_number", F.col("history_number") + F.col("_begun")
-    )
+    return rows.select(*txn.columns, "history_number")
+
+
+def idle_reset(txn: DataFrame, *, arrival: str = "transaction_id", **options) -> DataFrame:
+    """Add ``history_number`` and ``first_since_reset``, whether the merchant is new within
+    that history."""
+    rows = with_history_number(txn, arrival=arrival, **options)
     firsts = rows.groupBy("user_id", "history_number", "merchant_id").agg(
-        F.min_by("transaction_id", F.struct(*order)).alias("transaction_id")
+        F.min(F.struct("event_time", arrival)).alias("_first")
     )
-    firsts = firsts.select("transaction_id", F.lit(True).alias("_is_first"))
-    return rows.join(firsts, "transaction_id", "left").select(
-        *txn.columns, "history_number", F.coalesce("_is_first", F.lit(False)).alias("first_since_reset")
+    first = F.struct("event_time", arrival) == F.col("_first")
+    keys = ["user_id", "history_number", "merchant_id"]
+    return join_same(stored(rows), firsts, keys).select(
+        *txn.columns, "history_number", first.alias("first_since_reset")
     )
 
 
+def features_with_expiry(
+    txn: DataFrame,
+    *,
+    idle_days: int = 7,
+    arrival: str = "transaction_id",
+    long_user_rows: int | None = LONG_USER_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    **options,
+) -> DataFrame:
+    """The feature row of users who are forgotten after ``idle_days`` without a row, and
+    ``history_number``: every look-back, the last row, first visits and the home country
+    see only the rows since the user came back.
+
+    A history between two pauses is what the windows run over, in place of the user: the
+    sweep's running totals, visits and leading countries start anew with it. Histories that
+    are still long are cut into blocks as users are."""
+    cut = dict(long_user_rows=long_user_rows, block_rows=block_rows)
+    numbered = with_history_number(txn, idle_days=idle_days, arrival=arrival, **cut)
+    key = F.struct("user_id", "history_number")
+    as_user = numbered.select(*[c for c in txn.columns if c != "user_id"], key.alias("user_id"))
+    found = feature_rows(as_user, arrival=arrival, **cut, **options)
+    rest = [c for c in found.columns if c != "user_id"]
+    return found.select("user_id.*", *rest)
+
+
 def active_users(txn: DataFrame, *, days: int = 7, max_users: int = 100_000, evict: int = 1_000) -> DataFrame:
     """One row per user: newest event, rows, whether the user was active in the last
     ``days`` of the table, and whether it is among the ``evict`` longest idle users that

@@ -138,6 +138,36 @@ def rank_blocks(df: DataFrame, block_rows: int, overlap: int) -> DataFrame:
     return df.withColumn("_block", F.explode(copies)).withColumn("_own", F.col("_block") == own)
 
 
+def time_blocks(df: DataFrame, group: str, time: str, block_rows: int, reach: int) -> DataFrame:
+    """Cut a ranked frame as ``rank_blocks`` does; a block also gets all rows from ``reach``
+    before the time of its first row on.
+
+    How many later blocks a row goes to follows from the first times of the group's blocks,
+    one row per block. Blocks whose whole reach lies within them cost no copy."""
+    own = F.floor(F.col("_rank") / block_rows).cast("bigint")
+    placed = df.withColumn("_own_block", own)
+    firsts = placed.groupBy(group, "_own_block").agg(F.min(time).alias("_starts"), F.max(time).alias("_ends"))
+    along = Window.partitionBy(group).orderBy("_own_block")
+    # the last block that reaches back to the newest row of this one
+    reached = firsts.select(
+        F.col(group).alias("_group"), F.col("_own_block").alias("_from"), F.col("_ends"),
+        F.collect_list(F.col("_starts")).over(along.rowsBetween(1, MOST_REACHED)).alias("_later"),
+    )
+    reached = reached.withColumn("_later", F.filter("_later", lambda t: t - reach <= F.col("_ends")))
+    at = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_own_block") == F.col("_from"))
+    met = placed.join(reached.drop("_ends"), at).drop("_group", "_from")
+    last = (F.col("_rank") % block_rows == block_rows - 1).cast("int")  # the row before the next block's first
+    copies = F.greatest(F.size(F.filter("_later", lambda t: t - reach <= F.col(time))), last)
+    full = F.size("_later") >= MOST_REACHED
+    checked = F.when(full, F.raise_error(F.lit("a look-back reaches over too many blocks; raise block_rows")).cast("int"))
+    blocks = F.sequence(F.col("_own_block"), F.col("_own_block") + F.coalesce(checked, copies))
+    exploded = met.withColumn("_block", F.explode(blocks)).withColumn("_own", F.col("_block") == F.col("_own_block"))
+    return exploded.drop("_own_block", "_later")
+
+
+MOST_REACHED = 10_000
+
+
 def exact_quantiles(df: DataFrame, fractions: Sequence[float], group: Sequence[str], value: str) -> DataFrame:
     """Exact interpolated quantiles of ``value`` per group, as (group, fraction, quantile).
 

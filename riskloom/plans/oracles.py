@@ -501,6 +501,32 @@ def all_oracles() -> dict[str, str]:
       , l AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 604800000000 THEN 0 ELSE 1 END AS st FROM ord WINDOW w AS (PARTITION BY u ORDER BY us, id))
       , h AS (SELECT *, sum(st) OVER (PARTITION BY u ORDER BY us, id) AS hn FROM l)""", """
       SELECT id AS transaction_id, CAST(hn AS BIGINT) AS history_number, row_number() OVER (PARTITION BY u, hn, mer ORDER BY us, id) = 1 AS first_since_reset FROM h""")
+    o["features_with_expiry"] = _with(ORDERS + """
+      , l AS (SELECT ord.*, c_nationkey AS nat, CASE WHEN us - lag(us) OVER w <= 604800000000 THEN 0 ELSE 1 END AS st
+         FROM ord LEFT JOIN customer ON c_custkey = u WINDOW w AS (PARTITION BY u ORDER BY us, id))
+      , h AS (SELECT *, sum(st) OVER (PARTITION BY u ORDER BY us, id) AS hn FROM l)
+      , pairs AS (SELECT a.id, a.u, a.hn, a.us, a.cents, a.mer, a.nat, b.us AS bus, b.cents AS bc, b.mer AS bm, b.id AS bid, b.nat AS bnat FROM h a
+         LEFT JOIN h b ON a.u=b.u AND a.hn=b.hn AND (b.us < a.us OR (b.us = a.us AND b.id < a.id)))
+      , s AS (SELECT id, us, hn, cents, nat,
+         count(bid) FILTER (bus >= us-86400000000) AS c24, count(bid) FILTER (bus >= us-604800000000) AS c7,
+         coalesce(sum(bc) FILTER (bus >= us-86400000000), 0) AS s24, count(bid) FILTER (bus >= us-2592000000000) AS n,
+         sum(bc) FILTER (bus >= us-2592000000000) AS sm, sum(CAST(bc AS HUGEINT)*bc) FILTER (bus >= us-2592000000000) AS sq,
+         count(DISTINCT bm) FILTER (bus >= us-86400000000) AS um, count(bid) FILTER (bm = mer) = 0 AS fst, max(bus) AS lus, max(bnat) AS home
+         FROM pairs GROUP BY id, us, hn, cents, nat)""", """
+      SELECT id AS transaction_id, CAST(hn AS BIGINT) AS history_number, CAST(c24 AS INT) AS user_txn_count_24h, CAST(c7 AS INT) AS user_txn_count_7d, CAST(s24 AS DOUBLE)/100 AS user_amount_sum_24h,
+        CASE WHEN n>=2 AND sm<>0 THEN CAST((2*sm+n) // (2*n) AS DOUBLE)/100 END AS user_avg_amount_30d,
+        CASE WHEN n>=2 AND n*sq>sm*sm THEN floor(sqrt(CAST(n*sq-sm*sm AS DOUBLE))/n+0.5e0)/100e0 END AS user_std_amount_30d,
+        CAST(um AS INT) AS unique_merchants_24h, fst AS user_merchant_first_time, CASE WHEN lus IS NOT NULL THEN least((us-lus)//60000000, 10080) END AS minutes_since_last_txn,
+        nat <> home AS is_foreign_txn FROM s""")
+    # a history between two pauses takes the user's place
+    o["features_with_expiry_daily"] = _with(
+        TXN + """
+      , paused AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY us, transaction_id) <= 86400000000 THEN 0 ELSE 1 END AS starts FROM txn)
+      , numbered AS (SELECT *, CAST(sum(starts) OVER (PARTITION BY user_id ORDER BY us, transaction_id) AS BIGINT) AS history_number FROM paused)"""
+        + FEATURES.removeprefix(TXN).replace("PARTITION BY user_id", "PARTITION BY user_id, history_number").replace("FROM txn)", "FROM numbered)").replace("home_country,\n", "home_country, history_number,\n"),
+        f"SELECT transaction_id, history_number, {', '.join(HISTORY)} FROM feat",
+    )
+    o["features_uncapped"] = feat(HISTORY)
     o["active_users"] = _with(TXN + """
       , us_ AS (SELECT user_id, max(us) AS last_us, count(*) AS transactions FROM txn GROUP BY 1)""", """
       SELECT user_id, last_us, transactions, last_us >= (SELECT max(last_us) FROM us_) - 604800000000 AS tracked,

@@ -279,6 +279,33 @@ def idle_reset(spark, folder):
     )
 
 
+EXPIRY_COLUMNS = [
+    "transaction_id", "history_number", "user_txn_count_24h", "user_txn_count_7d", "user_amount_sum_24h",
+    "user_avg_amount_30d", "user_std_amount_30d", "unique_merchants_24h", "user_merchant_first_time",
+    "minutes_since_last_txn", "is_foreign_txn",
+]
+
+
+@query
+def features_with_expiry(spark, folder):
+    """On orders: users are forgotten after a week without a row, with all their look-backs."""
+    return hi.features_with_expiry(order_transactions(spark, folder)).select(*EXPIRY_COLUMNS)
+
+
+@query
+def features_with_expiry_daily(spark, folder):
+    """On events, where most users pause for a day now and then."""
+    found = hi.features_with_expiry(_txn(spark, folder).select(*HISTORY_INPUT, "channel"), idle_days=1)
+    return found.select("transaction_id", "history_number", *hi.FEATURE_COLUMNS)
+
+
+@query
+def features_uncapped(spark, folder):
+    """Every look-back over all rows of its window, however many."""
+    txn = _txn(spark, folder).select(*HISTORY_INPUT)
+    return hi.history_features(txn, cap=None).select("transaction_id", *hi.FEATURE_COLUMNS)
+
+
 @query
 def active_users(spark, folder):
     return hi.active_users(_txn(spark, folder), max_users=10, evict=5)

@@ -79,6 +79,48 @@ def test_idle_users_are_forgotten(spark):
     assert out(hi.history_features(rows), "user_merchant_first_time") == [(True,), (False,), (False,)]
 
 
+def test_a_returning_user_starts_anew(spark):
+    rows = txn(spark, [(0 * H, 2, "A", "m", "d"), (1 * H, 4, "B", "n", "e"), (170 * H, 9, "B", "n", "d"), (171 * H, 3, "A", "m", "d")])
+    f = hi.features_with_expiry(rows)
+    assert f.columns[:2] == ["user_id", "history_number"]
+    names = ["history_number", "user_txn_count_7d", "user_avg_amount_30d", "user_merchant_first_time", "country_change_flag", "minutes_since_last_txn", "is_foreign_txn"]
+    assert out(f, *names) == [
+        (1, 0, None, True, False, None, None), (1, 1, None, True, True, 60, True),
+        (2, 0, None, True, False, None, None), (2, 1, None, True, True, 60, True),
+    ]
+    kept = hi.features_with_expiry(rows, idle_days=8)
+    assert out(kept, "history_number", "user_merchant_first_time")[2:] == [(1, False), (1, False)]
+
+
+def test_cutting_keeps_expiring_features(spark, tables):
+    t = skewed(spark, tables)
+    names = ["transaction_id", "history_number", *hi.FEATURE_COLUMNS]
+    whole, cut = (
+        hi.features_with_expiry(t, idle_days=idle, cap=20, long_user_rows=limit, block_rows=25)
+        .select(*names).toPandas().sort_values("transaction_id", ignore_index=True)
+        for limit, idle in ((None, 1), (30, 1))
+    )
+    assert whole["history_number"].max() > 3
+    pd.testing.assert_frame_equal(whole, cut)
+
+
+def test_without_a_cap(spark, tables):
+    rows = [(i * dt.timedelta(seconds=5), 1, "A", f"m{i}", None) for i in range(700)]
+    f = hi.history_features(txn(spark, rows), cap=None)
+    last = out(f, "user_txn_count_1h", "user_amount_sum_24h", "unique_merchants_24h")[-1]
+    assert last == (699, 699.0, 699)
+    t = skewed(spark, tables).withColumn("event_time", F.when(F.col("transaction_id") % 50 == 0, F.lit(T0)).otherwise(F.col("event_time")))
+    frames = [
+        hi.history_features(t, cap=None, long_user_rows=limit, block_rows=20, columns=names)
+        .toPandas().sort_values("transaction_id", ignore_index=True)
+        for names in (hi.FEATURE_COLUMNS, ["user_txn_count_1h", "minutes_since_last_txn"]) for limit in (None, 100)
+    ]
+    pd.testing.assert_frame_equal(*frames[:2])
+    pd.testing.assert_frame_equal(*frames[2:])
+    with pytest.raises(ValueError):
+        hi.history_features(t, cap=None, order="arrival")
+
+
 def test_home_country_is_the_first_to_lead(spark):
     rows = txn(spark, [(i * H, 1, c, "m", None) for i, c in enumerate("ABBAAC")])
     assert out(hi.home_countries(rows), "home_country") == [(None,), ("A",), ("A",), ("B",), ("B",), ("A",)]
