@@ -671,6 +671,20 @@ def all_oracles() -> dict[str, str]:
         max(reference_rows) AS reference_rows, max(current_rows) AS current_rows, {_half('max(psi)', 6)} AS worst_score, arg_max(feature, psi) AS worst_feature
       FROM byw GROUP BY window_start""")
 
+    o["drift_from_summaries"] = o["drift_simple"]
+    o["drift_by_day"] = o["drift_by_window"]
+    day = lambda e: f"substr({e}, 1, 10)"
+    o["drift_history"] = _with(BY_WINDOW + """
+      , f AS (SELECT window_start AS day, feature, psi, psi > 0.1e0 AS d FROM byw)
+      , p AS (SELECT *, lag(day) OVER w AS pd, lag(psi) OVER w AS pp, d AND NOT coalesce(lag(d) OVER w, false) AS st FROM f
+         WINDOW w AS (PARTITION BY feature ORDER BY day))
+      , s AS (SELECT *, sum(CAST(st AS INT)) OVER (PARTITION BY feature ORDER BY day) AS streak, min(CASE WHEN d THEN day END) OVER (PARTITION BY feature ORDER BY day) AS fd FROM p)
+      , r AS (SELECT *, min(CASE WHEN d THEN day END) OVER (PARTITION BY feature, streak) AS since,
+         count(*) FILTER (d) OVER (PARTITION BY feature, streak ORDER BY day) AS len FROM s)""", f"""
+      SELECT {day('day')} AS day, feature, {_half('psi', 6)} AS psi, d AS drift_detected, {day('pd')} AS previous_run, {_half('pp', 6)} AS previous_score,
+        {_half('psi-pp', 6)} AS score_change, st AS drift_started, CASE WHEN d THEN {day('since')} END AS drifting_since,
+        CASE WHEN d THEN CAST(len AS BIGINT) END AS drifting_runs, {day('fd')} AS first_drift FROM r""")
+
     # monitoring
     stamp = lambda e: f"strftime({e}, '%Y-%m-%d %H:%M:%S')"
     o["throughput"] = _with(TXN, f"""SELECT {stamp("date_trunc('minute', event_time)")} AS window_start, channel, country, count(*) AS events FROM txn GROUP BY ALL""")

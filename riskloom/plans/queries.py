@@ -17,6 +17,7 @@ from riskloom.operators import models as mo
 from riskloom.operators import monitor as mn
 from riskloom.operators import prepare as pr
 from riskloom.operators import quality as qu
+from riskloom.operators import summaries as sm
 from riskloom.session import stored
 from riskloom.sources import messages as ms
 from riskloom.sources import sinks
@@ -669,6 +670,37 @@ def drift_trend(spark, folder):
     return _at(_rounded(dr.drift_trend(_by_window(spark, folder)), 6, "worst_score"))
 
 
+def _summaries(spark, folder) -> tuple[DataFrame, Column]:
+    """One stored summary per day and feature, binned on the reference's edges, and which days
+    the reference covers."""
+    features = _stored(spark, folder)
+    before = pr.drift_period(features, before=F.lit(DRIFT_MOMENT).cast("timestamp"))
+    edges = sm.read_edges(sm.edges_table(before, DRIFT_FEATURES))
+    return stored(sm.summarise(features, edges)), F.col("day") < F.lit(DRIFT_MOMENT).cast("date")
+
+
+@query
+def drift_from_summaries(spark, folder):
+    summaries, reference = _summaries(spark, folder)
+    simple = sm.drift_between(summaries, reference, ~reference).drop("reference_rows", "current_rows")
+    return _rounded(simple, 6, *[n for n, t in simple.dtypes if t == "double"])
+
+
+@query
+def drift_by_day(spark, folder):
+    daily = sm.drift_by_day(*_summaries(spark, folder)).withColumnRenamed("day", "window_start")
+    return _at(_rounded(daily, 6, "psi", "reference_mean", "current_mean"))
+
+
+@query
+def drift_history(spark, folder):
+    """Every day as a run, each compared with the last before it."""
+    runs = stored(sm.drift_by_day(*_summaries(spark, folder)))
+    found = _rounded(sm.drift_history(runs, run="day"), 6, "psi", "previous_score", "score_change")
+    days = ("day", "previous_run", "drifting_since", "first_drift")
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in days})
+
+
 # --- monitoring ----------------------------------------------------------------------------------
 
 
