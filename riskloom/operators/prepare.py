@@ -21,7 +21,8 @@ from riskloom.functions.columns import (
     number_or_zero,
     ratio_or_zero,
 )
-from riskloom.operators.ordering import exact_quantiles, key_of, rows_at
+from riskloom.operators.ordering import exact_quantiles, key_of, ranked, rows_at
+from riskloom.session import stored
 
 TRAINING_COLUMNS = [
     "transaction_id", "user_id", "event_time",
@@ -301,3 +302,33 @@ def data_fingerprint(df: DataFrame) -> DataFrame:
         F.col("n").alias("total_rows"),
         F.substring(F.md5(F.concat_ws("|", "n", "h", "g")), 1, 16).alias("fingerprint"),
     )
+
+
+HASH_FANOUT = 1_024
+
+
+def order_hash(
+    df: DataFrame, order: Sequence[str] = ("event_time", "transaction_id"), columns: Sequence[str] = ("transaction_id", "label"),
+    fanout: int = HASH_FANOUT,
+) -> DataFrame:
+    """``total_rows, data_hash``: a hash of the rows in their order, 16 hex digits. It changes when
+    two rows change places, and when one is added, dropped or altered.
+
+    A tree: ``fanout`` consecutive rows make a leaf, ``fanout`` nodes the node above them, up to
+    one root. Nodes follow ranks in the whole order, so the hash does not depend on how the
+    rows are cut into partitions, and no task sees more than ``fanout`` hashes of a node."""
+    row = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
+    at = ranked(df.select(*order, row.alias("hash")), list(order)).select(F.col("_rank").alias("at"), "hash")
+    total, nodes = None, None
+    while nodes is None or nodes > 1:
+        level = at.groupBy(F.floor(F.col("at") / fanout).alias("at")).agg(
+            F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("at", "hash"))).alias("parts")
+        )
+        level = stored(level.select("at", "n", F.sha2(F.array_join("parts.hash", ""), 256).alias("hash")))
+        sums = level.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+        total = sums[0] if total is None else total
+        nodes, at = sums[1], level.select("at", "hash")
+    return at.agg(F.max("hash").alias("h")).select(
+        F.lit(total).cast("long").alias("total_rows"),
+        F.substring(F.coalesce("h", F.sha2(F.lit(""), 256)), 1, 16).alias("data_hash"),
+    )

@@ -671,6 +671,12 @@ def all_oracles() -> dict[str, str]:
         max(reference_rows) AS reference_rows, max(current_rows) AS current_rows, {_half('max(psi)', 6)} AS worst_score, arg_max(feature, psi) AS worst_feature
       FROM byw GROUP BY window_start""")
 
+    o["data_order_hash"] = _with(TXN + """
+      , r AS (SELECT row_number() OVER (ORDER BY us, transaction_id) - 1 AS pos,
+         sha256(CAST(transaction_id AS VARCHAR) || '|' || CASE WHEN label THEN 'true' ELSE 'false' END) AS h FROM txn WHERE label IS NOT NULL)
+      , leaf AS (SELECT pos // 1024 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h FROM r GROUP BY pos // 1024)
+      , root AS (SELECT CASE WHEN count(*) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM leaf)""", """
+      SELECT (SELECT count(*) FROM r) AS total_rows, substr(h, 1, 16) AS data_hash FROM root""")
     o["drift_from_summaries"] = o["drift_simple"]
     o["drift_by_day"] = o["drift_by_window"]
     day = lambda e: f"substr({e}, 1, 10)"

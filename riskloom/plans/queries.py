@@ -382,6 +382,11 @@ def data_fingerprint(spark, folder):
     return pr.data_fingerprint(_txn(spark, folder).where(F.col("label").isNotNull()))
 
 
+@query
+def data_order_hash(spark, folder):
+    return pr.order_hash(_txn(spark, folder).where(F.col("label").isNotNull()))
+
+
 def _split_features(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled feature rows, stored once, with their split."""
     return _with_split(stored(_features(spark, folder).where(F.col("label").isNotNull())))

@@ -8,18 +8,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from riskloom.constants import DRIFT_CURRENT_ROWS, DRIFT_MIN_ROWS, DRIFT_REFERENCE_ROWS, ERROR_BUDGET
+from riskloom.constants import DRIFT_CURRENT_ROWS, DRIFT_FEATURES, DRIFT_MIN_ROWS, DRIFT_REFERENCE_ROWS, ERROR_BUDGET
 from riskloom.operators.alerts import new_alerts
 from riskloom.operators.drift import drift_dataset, drift_report
 from riskloom.operators.history import feature_rows
 from riskloom.operators.models import score_and_explain
 from riskloom.operators.prepare import drift_columns, drift_scan, enough_for_drift, scoring_input
 from riskloom.operators.quality import FEATURE_ROW_FIELDS, REQUEST_FIELDS, split_requests, within_error_budget
+from riskloom.operators import summaries as sm
 from riskloom.session import broadcast_if_small, stored
 from riskloom.sources.messages import accept_new, feature_input, good_rows, parse_messages, quarantined
 from riskloom.sources.sinks import (
@@ -108,6 +109,10 @@ def features_batch(messages: DataFrame, batch_id: int, folder: str, order: str =
         both = new.withColumn("_new", F.lit(True))
     # an arrival is newer than every arrival of an earlier batch of the same user
     features = feature_rows(both, order=order, arrival="arrival").where("_new")
+    edges = read_batches(spark, f"{folder}/drift_edges")
+    if edges is not None:  # the batch is summarised as it is written; the rows are computed once
+        features = stored(features)
+        append_batch(sm.summarise(drift_columns(features), sm.read_edges(edges)), f"{folder}/drift_summaries", batch_id)
     append_dated_batch(stored_features(features), f"{folder}/transaction_features", batch_id)
     append_bucketed(new, f"{folder}/history", batch_id, "user_id")
     append_ids(rows, f"{folder}/feature_ids", batch_id)
@@ -202,3 +207,70 @@ def drift_check(
         drift_dataset(report).withColumn("checked_at", F.current_timestamp()), f"{folder}/drift_runs", run
     )
     return True
+
+
+def set_drift_reference(reference: DataFrame, folder: str, features: Sequence[str] = tuple(DRIFT_FEATURES)) -> None:
+    """Fix the bin edges of the stored summaries by a reference period, and summarise that period
+    as batch -1. Feature batches are summarised on these edges from then on."""
+    spark = reference.sparkSession
+    frame = stored(drift_columns(reference))
+    append_batch(sm.edges_table(frame, features), f"{folder}/drift_edges", 0)
+    edges = sm.read_edges(read_batches(spark, f"{folder}/drift_edges"))
+    append_batch(sm.summarise(frame, edges), f"{folder}/drift_summaries", -1)
+
+
+def period_drift_check(
+    spark: SparkSession, folder: str, run: int, reference: Column, current: Column, min_rows: int = DRIFT_MIN_ROWS
+) -> bool:
+    """One scheduled drift check of two periods, conditions on ``day``, from the stored summaries
+    alone: its cost follows the number of days and batches, not of rows. Appends the result
+    per feature under the run number; False when a period has too few rows."""
+    summaries = read_batches(spark, f"{folder}/drift_summaries")
+    if summaries is None:
+        return False
+    found = stored(sm.drift_between(summaries, reference, current))
+    if found.where((F.col("reference_rows") < min_rows) | (F.col("current_rows") < min_rows)).count() or found.isEmpty():
+        return False
+    append_batch(found.withColumns({"run": F.lit(run), "checked_at": F.current_timestamp()}), f"{folder}/drift_period_runs", run)
+    return True
+
+
+def stored_drift_history(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Every appended run beside the last before it."""
+    runs = read_batches(spark, f"{folder}/drift_period_runs")
+    return None if runs is None else sm.drift_history(runs)
+
+
+# --- referential check -----------------------------------------------------------------
+
+
+def with_raw_events(features: DataFrame, raw: DataFrame, delay: str = "10 minutes", apart: str = "0 seconds") -> DataFrame:
+    """A stream of feature rows with ``has_raw_event``, against the stream of raw events.
+
+    A feature row that comes first waits for its raw event, and the other way round, until
+    rows of its time can no longer arrive: later than the newest ones by ``delay`` on both
+    streams. Then it is passed on without one, and its state is dropped on both sides.
+    ``apart`` is how much the event times of the two may differ."""
+    left = features.withWatermark("event_time", delay)
+    right = raw.select(F.col("transaction_id").alias("_raw_id"), F.col("event_time").alias("_raw_time"))
+    right = right.withWatermark("_raw_time", delay)
+    span = F.expr(f"INTERVAL {apart}")
+    near = (F.col("_raw_time") >= F.col("event_time") - span) & (F.col("_raw_time") <= F.col("event_time") + span)
+    met = left.join(right, (F.col("transaction_id") == F.col("_raw_id")) & near, "left_outer")
+    return met.withColumn("has_raw_event", F.col("_raw_id").isNotNull()).drop("_raw_id", "_raw_time")
+
+
+def start_referential_check(
+    features: DataFrame, raw: DataFrame, folder: str, delay: str = "10 minutes", trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep feature rows with a raw event in ``checked_features``, late orphans in ``orphans``."""
+
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            append_batch(rows.where("has_raw_event").drop("has_raw_event"), f"{folder}/checked_features", batch_id)
+            append_batch(rows.where("NOT has_raw_event").drop("has_raw_event"), f"{folder}/orphans", batch_id)
+        finally:
+            rows.unpersist()
+
+    return _start(with_raw_events(features, raw, delay), keep, f"{folder}/_progress/referential", trigger)

@@ -3,6 +3,8 @@
 import math
 
 import numpy as np
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,3 +264,17 @@ def test_model_round_trip(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "importance"), header=True).count() == 2
     # a column the rows lack counts as 0
     assert mo.score(model, rows.drop("hour_of_day")).count() == 400
+
+
+def test_order_hash_follows_the_order_alone(spark):
+    from riskloom.operators.prepare import order_hash
+
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=k // 3), k % 5 == 0 if k % 7 else None) for k in range(200)]
+    shape = "transaction_id long, event_time timestamp, label boolean"
+    of = lambda data, parts=3, **o: tuple(order_hash(spark.createDataFrame(data, shape).repartition(parts), **o).first())
+    first = of(rows, fanout=4)
+    assert first[0] == 200 and of(rows[::-1], 7, fanout=4) == first
+    swapped = [*rows]
+    swapped[10], swapped[20] = (rows[20][0], *rows[10][1:]), (rows[10][0], *rows[20][1:])
+    dropped, flipped = rows[:-1], [*rows[:-1], (199, rows[199][1], not rows[199][2])]
+    assert len({first, of(swapped, fanout=4), of(dropped, fanout=4), of(flipped, fanout=4), of(rows[:0])}) == 5

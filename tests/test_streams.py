@@ -1,9 +1,15 @@
 """Stream jobs give what the batch operators give, also when files or batches repeat."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators import summaries as sm
+from riskloom.operators.drift import simple_drift
+
 from riskloom.operators.history import FEATURE_COLUMNS, feature_rows, history_features
+from riskloom.operators.prepare import drift_period
 from riskloom.sources import messages as ms
 from riskloom.sources import sinks
 from riskloom.sources.tables import event_transactions
@@ -138,3 +144,75 @@ def test_drift_check_appends_runs(spark, landed, tmp_path):
     assert not jobs.drift_check(spark, out, 2, 600, 300, min_rows=5000)
     assert sinks.read_batches(spark, f"{out}/drift_features").count() == 10
     assert sinks.read_batches(spark, f"{out}/drift_runs").count() == 1
+
+
+def test_drift_checks_read_summaries_only(spark, landed, tables, tmp_path):
+    source, _ = landed
+    out = str(tmp_path)
+    every = feature_rows(event_transactions(spark, tables))
+    cut = F.lit("2024-01-16").cast("date")
+    jobs.set_drift_reference(every.where(F.col("event_time") < F.lit("2024-01-08")), out)
+    stale = sinks.read_batches(spark, f"{out}/drift_summaries").count()
+    jobs.start_features(ms.file_messages(spark, source, 1), out, order="time").awaitTermination()
+    batches = sinks.read_batches(spark, f"{out}/drift_summaries")
+    assert stale == 70 and batches.select("batch_id").distinct().count() >= 3
+    fresh = batches.where("batch_id >= 0")
+    by_rows = simple_drift(
+        drift_period(every, before=F.lit("2024-01-08").cast("timestamp")), drift_period(every, since=F.lit("2024-01-16").cast("timestamp"))
+    ).toPandas().set_index("feature").sort_index()
+    merged = sm.drift_between(fresh, F.col("day") < F.lit("2024-01-08").cast("date"), F.col("day") >= cut)
+    merged = merged.toPandas().set_index("feature").sort_index()
+    for name in ("reference_mean", "current_mean", "reference_std", "current_std", "psi"):
+        assert merged[name].tolist() == pytest.approx(by_rows[name].tolist(), abs=1e-9)
+    early = F.col("day") < F.lit("2024-01-08").cast("date")
+    for run, start in enumerate(("2024-01-10", "2024-01-16", "2024-01-22")):
+        assert jobs.period_drift_check(spark, out, run, early, F.col("day") >= F.lit(start).cast("date"))
+    assert not jobs.period_drift_check(spark, out, 9, early, F.col("day") > F.lit("2025-01-01").cast("date"))
+    history = jobs.stored_drift_history(spark, out).where("feature = 'amount'").orderBy("run").collect()
+    assert [r["previous_run"] for r in history] == [None, 0, 1]
+
+
+def test_a_run_is_compared_with_the_last_before_it(spark):
+    flags = {"a": [0, 1, 1, 0, 1], "b": [0, 0, 0, 0, 0], "c": [1, None, 1, 1, 1]}
+    rows = [(run, f, run / 10, bool(flag)) for f, marks in flags.items() for run, flag in enumerate(marks) if flag is not None]
+    runs = spark.createDataFrame(rows, "run int, feature string, psi double, drift_detected boolean")
+    found = {(r["feature"], r["run"]): r for r in sm.drift_history(runs).collect()}
+    lengths = {k: (r["drifting_since"], r["drifting_runs"], r["first_drift"], r["drift_started"]) for k, r in found.items()}
+    assert [lengths["a", r] for r in range(5)] == [
+        (None, None, None, False), (1, 1, 1, True), (1, 2, 1, False), (None, None, 1, False), (4, 1, 1, True),
+    ]
+    assert lengths["b", 4] == (None, None, None, False)
+    assert lengths["c", 2] == (0, 2, 0, False) and found["c", 2]["previous_run"] == 0
+    assert found["c", 2]["score_change"] == pytest.approx(0.2)
+
+
+def test_features_wait_for_their_raw_events(spark, tmp_path):
+    shape = "transaction_id string, event_time timestamp"
+    out, arrived = str(tmp_path / "out"), {"features": 0, "raw": 0}
+
+    def arrive(table, *rows):
+        arrived[table] += 1
+        data = [(i, dt.datetime(2024, 1, 1, 0, minute)) for i, minute in rows]
+        spark.createDataFrame(data, shape).coalesce(1).write.parquet(f"{tmp_path}/{table}/{arrived[table]}")
+
+    def run():
+        read = lambda t: spark.readStream.schema(shape).parquet(f"{tmp_path}/{t}/*")
+        jobs.start_referential_check(read("features"), read("raw"), out, "10 minutes").awaitTermination()
+
+    def ids(table):
+        return sorted(r[0] for r in sinks.read_batches(spark, f"{out}/{table}").select("transaction_id").collect())
+
+    arrive("features", ("first", 1), ("orphan", 2))
+    arrive("raw", ("later", 3))
+    run()
+    arrive("raw", ("first", 1))
+    arrive("features", ("later", 3))
+    run()
+    assert ids("checked_features") == ["first", "later"] and ids("orphans") == []
+    arrive("features", ("new", 40))
+    arrive("raw", ("new", 40))
+    run()
+    arrive("features", ("newer", 41))  # the watermark of the batch before lets the orphan go
+    arrive("raw", ("newer", 41))
+    run()
+    assert ids("checked_features") == ["first", "later", "new", "newer"] and ids("orphans") == ["orphan"]
