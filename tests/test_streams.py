@@ -2,13 +2,14 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import summaries as sm
 from riskloom.operators.drift import simple_drift
 
-from riskloom.operators.history import FEATURE_COLUMNS, feature_rows, history_features
+from riskloom.operators.history import FEATURE_COLUMNS, feature_rows, features_with_expiry, history_features
 from riskloom.operators.prepare import drift_period
 from riskloom.sources import messages as ms
 from riskloom.sources import sinks
@@ -99,23 +100,58 @@ def test_stream_features_equal_batch(spark, landed, tables, tmp_path):
     assert rows_of(after, *names) == before
 
 
-def test_keyed_state_equals_batch(spark, landed, tables, tmp_path):
+@pytest.mark.parametrize("idle_days", [None, 1])
+def test_keyed_state_equals_batch(spark, landed, tables, tmp_path, idle_days):
     source, _ = landed
-    parsed = ms.good_rows(ms.parse_messages(ms.file_messages(spark, source)))
+    parsed = ms.good_rows(ms.parse_messages(ms.file_messages(spark, source, 1)))  # several micro-batches
     rows = parsed.select(
         "transaction_id", "user_id", F.unix_micros("event_time").alias("event_us"),
         F.round(F.col("amount") * 100).cast("bigint").alias("cents"), "country", "merchant_id", "device_id",
         F.col("kafka_offset").alias("arrival_order"),
     )
+    name = f"keyed_{idle_days or 0}"
     query = (
-        stateful.stateful_features(rows, idle_days=None)
-        .writeStream.format("memory").queryName("keyed").outputMode("append")
+        stateful.stateful_features(rows, idle_days=idle_days)
+        .writeStream.format("memory").queryName(name).outputMode("append")
         .option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    batch = history_features(event_transactions(spark, tables))
-    names = [F.col("transaction_id").cast("string"), *FEATURE_COLUMNS]
-    assert rows_of(spark.table("keyed"), *names) == rows_of(batch, *names)
+    txn = event_transactions(spark, tables)
+    batch = features_with_expiry(txn, idle_days=1) if idle_days else history_features(txn)
+    names = [F.col("transaction_id").cast("string"), *FEATURE_COLUMNS, *(["history_number"] if idle_days else [])]
+    assert rows_of(spark.table(name), *names) == rows_of(batch, *names)
+
+
+def test_array_form_equals_row_by_row():
+    draw = np.random.default_rng(5)
+    n, cap = 700, 60
+    pick = lambda values: np.array([values[k] for k in draw.integers(0, len(values), n)], object)
+    rows = {
+        "us": np.cumsum(draw.integers(-10, 400, n)) * 60_000_000, "cents": draw.integers(0, 10**12, n),
+        "country": pick(["A", "B", None]), "merchant": pick([f"m{k}" for k in range(30)]), "device": pick(["x", "y", None]),
+    }
+    none = {k: v[:0] for k, v in rows.items()}
+    whole = stateful.look_back(none, rows, cap)
+    split = [stateful.look_back({k: v[:a] for k, v in rows.items()}, {k: v[a:b] for k, v in rows.items()}, cap) for a, b in ((0, 300), (300, n))]
+    assert all(whole[k] == split[0][k] + split[1][k] for k in whole)
+    for i in range(0, n, 37):
+        past = [j for j in range(max(0, i - cap), i)]
+        day = [j for j in past if rows["us"][j] >= rows["us"][i] - 86_400_000_000]
+        assert whole["user_txn_count_24h"][i] == len(day)
+        assert whole["user_amount_sum_24h"][i] == sum(int(rows["cents"][j]) for j in day) / 100
+        for name, column in (("unique_countries_24h", "country"), ("unique_devices_24h", "device")):
+            assert whole[name][i] == len({rows[column][j] for j in day} - {None})
+        month = [int(rows["cents"][j]) for j in past if rows["us"][j] >= rows["us"][i] - 30 * 86_400_000_000]
+        if len(month) > 1:
+            assert whole["user_std_amount_30d"][i] == pytest.approx(float(np.std(month)) / 100, rel=1e-9, abs=0.01)
+    codes = draw.integers(0, 3, 200)
+    before, _, best = stateful.leaders(codes, np.zeros(3, np.int64), -1, 0)
+    lead, counts = -1, [0, 0, 0]
+    for k, code in enumerate(codes):
+        assert before[k] == lead
+        counts[code] += 1
+        lead = code if counts[code] > (counts[lead] if lead >= 0 else 0) or lead == code else lead
+    assert best == max(counts)
 
 
 def test_live_counts_close_windows(spark, landed, tmp_path):
