@@ -146,3 +146,48 @@ def sessions(events: DataFrame, gap: str = "30 minutes", by: Sequence[str] = ("u
         .agg(F.count(F.lit(1)).alias("events"))
         .select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events")
     )
+
+
+# --- users active in a sliding period ------------------------------------------------
+
+
+def active_by_day(txn: DataFrame, days: int = 7) -> DataFrame:
+    """``day, active_users``: the exact number of users with a row in the ``days`` up to each day
+    of the table, that day included.
+
+    A user stays active from a day with rows until ``days`` later, or until its next such day.
+    Only the two ends of each such stretch are counted, and a running sum over the days, one
+    row each, gives the users that are active: no user is copied into the days it covers."""
+    seen = txn.where(F.col("user_id").isNotNull()).select(F.to_date("event_time").alias("day"), "user_id").distinct()
+    later = F.lead("day").over(Window.partitionBy("user_id").orderBy("day"))
+    over = F.date_add("day", days)
+    # a stretch that the next one continues has no end, and that one no beginning
+    ends = seen.select("day", over.alias("over"), later.alias("next"), F.lag("day").over(Window.partitionBy("user_id").orderBy("day")).alias("last"))
+    opens = F.col("last").isNull() | (F.date_add("last", days) < F.col("day"))
+    closes = F.col("next").isNull() | (F.col("next") > F.col("over"))
+    changes = ends.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("day").alias("day"), opens.cast("long").alias("change"), F.lit(True).alias("given")),
+                F.struct(F.col("over").alias("day"), (-closes.cast("long")).alias("change"), F.lit(False).alias("given")),
+            )
+        )
+    )
+    daily = changes.groupBy("day").agg(F.sum("change").alias("change"), F.bool_or("given").alias("given"))
+    so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row per day
+    return daily.withColumn("active_users", F.sum("change").over(so_far)).where("given").select("day", "active_users")
+
+
+def daily_sketches(txn: DataFrame, precision: int = 12) -> DataFrame:
+    """``day, users``: a mergeable sketch of each day's users (HyperLogLog, 2^``precision`` registers)."""
+    return txn.groupBy(F.to_date("event_time").alias("day")).agg(F.hll_sketch_agg("user_id", precision).alias("users"))
+
+
+def active_from_sketches(sketches: DataFrame, days: int = 7) -> DataFrame:
+    """``day, active_users`` as ``active_by_day``, estimated by merging stored daily sketches; days
+    may come in several rows, from batches that were sketched on their own. The relative
+    standard error is about 1.04 / sqrt(2^precision)."""
+    known = sketches.select("day").distinct()
+    reach = sketches.select(F.explode(F.sequence("day", F.date_add("day", days - 1))).alias("day"), "users")
+    merged = reach.join(known, "day", "left_semi").groupBy("day").agg(F.hll_union_agg("users").alias("users"))
+    return merged.select("day", F.hll_sketch_estimate("users").alias("active_users"))

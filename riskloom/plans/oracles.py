@@ -671,6 +671,14 @@ def all_oracles() -> dict[str, str]:
         max(reference_rows) AS reference_rows, max(current_rows) AS current_rows, {_half('max(psi)', 6)} AS worst_score, arg_max(feature, psi) AS worst_feature
       FROM byw GROUP BY window_start""")
 
+    def active(source: str, user: str, time: str, days: int) -> str:
+        return f"""
+          WITH s AS (SELECT DISTINCT CAST({time} AS DATE) AS d, {user} AS u FROM {source})
+          , days AS (SELECT DISTINCT d FROM s)
+          SELECT strftime(a.d, '%Y-%m-%d') AS day, count(DISTINCT u) AS active_users FROM days a JOIN s ON s.d <= a.d AND s.d > a.d - {days} GROUP BY a.d"""
+
+    o["active_users_by_day"] = active("events", "user_id", "ts", 7)
+    o["customers_by_day"] = active("orders", "o_custkey", "o_orderdate", 30)
     o["data_order_hash"] = _with(TXN + """
       , r AS (SELECT row_number() OVER (ORDER BY us, transaction_id) - 1 AS pos,
          sha256(CAST(transaction_id AS VARCHAR) || '|' || CASE WHEN label THEN 'true' ELSE 'false' END) AS h FROM txn WHERE label IS NOT NULL)

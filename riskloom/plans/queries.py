@@ -312,6 +312,19 @@ def active_users(spark, folder):
     return hi.active_users(_txn(spark, folder), max_users=10, evict=5)
 
 
+@query
+def active_users_by_day(spark, folder):
+    daily = mn.active_by_day(_txn(spark, folder))
+    return daily.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@query
+def customers_by_day(spark, folder):
+    """On orders: few customers order twice within thirty days."""
+    daily = mn.active_by_day(order_transactions(spark, folder), days=30)
+    return daily.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
 @query
 def rolling_scores(spark, folder):
     rolled = mn.rolling_scores(_txn(spark, folder).select("transaction_id", "event_time", "score"))

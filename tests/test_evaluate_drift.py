@@ -278,3 +278,21 @@ def test_order_hash_follows_the_order_alone(spark):
     swapped[10], swapped[20] = (rows[20][0], *rows[10][1:]), (rows[10][0], *rows[20][1:])
     dropped, flipped = rows[:-1], [*rows[:-1], (199, rows[199][1], not rows[199][2])]
     assert len({first, of(swapped, fanout=4), of(dropped, fanout=4), of(flipped, fanout=4), of(rows[:0])}) == 5
+
+
+def test_sketches_of_days_merge(spark):
+    from riskloom.operators import monitor as mn
+
+    rows = spark.range(60_000).selectExpr(
+        "id % 20000 AS user_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(pmod(hash(id), 40) AS int)) AS event_time"
+    ).where("day(event_time) % 4 <> 0")  # days without rows
+    exact = {r["day"]: r["active_users"] for r in mn.active_by_day(rows).collect()}
+    halves = [mn.daily_sketches(rows.where(f"user_id % 2 = {k}")) for k in (0, 1)]
+    found = {r["day"]: r["active_users"] for r in mn.active_from_sketches(halves[0].unionByName(halves[1])).collect()}
+    assert set(found) == set(exact) and len(exact) > 20
+    assert all(abs(found[d] - n) <= 4 * 1.04 / 64 * n for d, n in exact.items())
+    brute = {}
+    seen = {(r[0], r[1]) for r in rows.selectExpr("to_date(event_time)", "user_id").collect()}
+    for day in exact:
+        brute[day] = len({u for d, u in seen if 0 <= (day - d).days < 7})
+    assert brute == exact
