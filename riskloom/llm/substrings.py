@@ -72,6 +72,14 @@ def _block_probes(chunk: Chunk, block: int) -> tuple[np.ndarray, np.ndarray, np.
     return value[first], np.logical_or.reduceat(aligned, first), several
 
 
+def _by_code(code: np.ndarray, aligned: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, and the flags (1 aligned, 2 several) of all blocks that share each."""
+    kept, place = np.unique(code, return_inverse=True)
+    flags = np.zeros(len(kept), np.uint8)
+    np.bitwise_or.at(flags, place, aligned + 2 * several.astype(np.uint8))
+    return kept, flags
+
+
 def _hit_windows(chunk: Chunk, hits: dict[int, np.ndarray], buckets: int, size: int, block: int) -> Iterator[tuple]:
     """(document's place, place of the first word in the slice, window hash) where a block was hit,
     slice by slice, with the slice's words."""
@@ -108,9 +116,8 @@ def remove_repeats(
                 value, aligned, several = _block_probes(Chunk.of(row), block)
                 found = []
                 for number, places in by_bucket(value, buckets):
-                    kept, order = np.unique(short(value[places]), return_index=True)
-                    flags = aligned[places[order]] + 2 * several[places[order]].astype(np.uint8)
-                    found.append((row["chunk"], number, pack_sorted(kept), pack(flags.astype(np.uint8))))
+                    kept, flags = _by_code(short(value[places]), aligned[places], several[places])
+                    found.append((row["chunk"], number, pack_sorted(kept), pack(flags)))
                 yield from _rows(found).to_batches()
 
     def match(table: pa.Table) -> pa.Table:

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.llm import substrings
 from riskloom.llm.graph import components
 from riskloom.llm.jaccard import jaccard_components
 from riskloom.llm.leaks import align, leaks
@@ -105,6 +106,13 @@ def test_repeats_equal_brute_force(spark, odd_docs, no_docs, window):
     assert remove_repeats(no_docs, window).count() == 0
 
 
+def test_colliding_codes_keep_all_flags():
+    code, aligned = np.array([7, 3, 7, 7, 9], np.uint32), np.array([False, True, True, False, False])
+    several = np.array([False, False, False, True, False])
+    kept, flags = substrings._by_code(code, aligned, several)
+    assert kept.tolist() == [3, 7, 9] and flags.tolist() == [1, 3, 0]
+
+
 def test_packed_arrays_return():
     for kind in (np.uint8, np.uint32, np.uint64, np.int64):
         a = np.array([1, 5, 5, 200], kind)
