@@ -296,6 +296,8 @@ def _erfc(x: str) -> str:
 
 def _tests(reference_rows: int | None = None) -> str:
     half = "(chi2/2)"
+    spread = "(2e0/(9*(distinct_values-1)))"
+    cube = f"((cbrt(chi2/(distinct_values-1)) - (1 - {spread}))/sqrt({spread}))"
     ks = "sqrt(CAST(n AS DOUBLE)*m/(n+m))*ks_d"
     return (
         _sets(reference_rows)
@@ -317,10 +319,9 @@ def _tests(reference_rows: int | None = None) -> str:
    CASE WHEN {ks} < 0.2e0 THEN 1e0 ELSE greatest(0e0, least(1e0, list_sum(list_transform(range(1,101),
       lambda i: (CASE WHEN i % 2 = 1 THEN 2e0 ELSE -2e0 END)*exp(-2e0*i*i*({ks})*({ks})))))) END AS ks_p,
    CASE WHEN distinct_values < 2 THEN 1e0 WHEN chi2 IS NULL THEN 0e0 WHEN chi2 <= 0 THEN 1e0
-     WHEN distinct_values = 2 THEN {_erfc(f'sqrt({half})')}
-     WHEN distinct_values = 3 THEN exp(-{half})
-     WHEN distinct_values = 4 THEN {_erfc(f'sqrt({half})')} + exp(-{half})*sqrt({half})*2e0/1.7724538509055159e0
-     WHEN distinct_values = 5 THEN exp(-{half})*(1+{half}) END AS chi2_p,
+     WHEN distinct_values > 101 THEN CASE WHEN {cube} >= 0 THEN {_erfc(f'abs({cube})/1.4142135623730951e0')}/2 ELSE 1 - {_erfc(f'abs({cube})/1.4142135623730951e0')}/2 END
+     WHEN distinct_values % 2 = 1 THEN list_sum(list_transform(range(0, (distinct_values-1)//2), lambda i: exp(i*ln({half}) - lgamma(i+1e0) - {half})))
+     ELSE {_erfc(f'sqrt({half})')} + coalesce(list_sum(list_transform(range(1, distinct_values//2), lambda i: exp((i-0.5e0)*ln({half}) - lgamma(i+0.5e0) - {half}))), 0e0) END AS chi2_p,
    CASE WHEN z IS NULL THEN 1e0 ELSE {_erfc('abs(z)/1.4142135623730951e0')} END AS z_p FROM zed)
 """
     )
@@ -646,7 +647,7 @@ def all_oracles() -> dict[str, str]:
     o["drift_wasserstein"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('wasserstein', 6)} AS wasserstein FROM tests")
     o["drift_ks"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('ks_d', 6)} AS ks_d, {_half('ks_p', 6)} AS ks_p FROM tests")
     o["drift_js"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('js_distance', 6)} AS js_distance FROM tests")
-    o["drift_chi2"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('chi2', 6)} AS chi2, CASE WHEN distinct_values <= 5 THEN {_half('chi2_p', 6)} END AS chi2_p FROM tests")
+    o["drift_chi2"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('chi2', 6)} AS chi2, {_half('chi2_p', 6)} AS chi2_p FROM tests")
     o["drift_ztest"] = _with(_tests(), f"SELECT feature, distinct_values, {_half('z', 6)} AS z, {_half('z_p', 6)} AS z_p FROM tests")
     o["psi"] = _with(_sets() + PSI, f"SELECT feature, {_half('psi', 6)} AS psi FROM psi")
     o["drift_simple"] = _with(_sets() + PSI + """

@@ -627,8 +627,6 @@ def _tested(column: str) -> Query:
         columns |= {"drift_chi2": ["chi2", "chi2_p"], "drift_ztest": ["z", "z_p"]}
         names = columns[column]
         finite = {n: F.when(F.col(n) < float("inf"), F.col(n)) for n in names}
-        if "chi2_p" in finite:  # the test is chosen for few values only
-            finite["chi2_p"] = F.when(F.col("distinct_values") <= dr.FEW_VALUES, F.col("chi2_p"))
         return _rounded(tests.withColumns(finite), 6, *names).select("feature", "distinct_values", *names)
 
     return run
@@ -812,7 +810,9 @@ def score_pipeline(spark, folder):
 
 @query
 def anomaly_scores(spark, folder):
-    rows = pr.prepared_features(_split_features(spark, folder))
+    """All rows: the score needs no label."""
+    features = stored(_features(spark, folder).drop("score", "latency_ms", "merchant_id", "device_id"))
+    rows = pr.prepared_features(pr.time_split(features))
     forest = mo.train_isolation_forest(rows.where("split = 'train'"))
     scored = stored(mo.anomaly_scores(forest, rows))
     return ev.normalised(scored, "anomaly_score", "anomaly_norm").select("transaction_id", "label", "anomaly_score", "anomaly_norm")
