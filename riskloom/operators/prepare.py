@@ -24,6 +24,7 @@ from riskloom.functions.columns import (
 from riskloom.operators.ordering import exact_quantiles, key_of, ranked, rows_at
 from riskloom.session import stored
 
+# fixed values: the columns of a training frame
 TRAINING_COLUMNS = [
     "transaction_id", "user_id", "event_time",
     "amount", "amount_zscore", "user_avg_amount_30d", "user_std_amount_30d",

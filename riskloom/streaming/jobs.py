@@ -85,6 +85,7 @@ def start_ingest(messages: DataFrame, folder: str, trigger: dict | None = None,
 
 # --- features ----------------------------------------------------------------------
 
+# fixed values: the columns of the stored history
 HISTORY_COLUMNS = [
     "transaction_id", "user_id", "merchant_id", "amount", "event_time",
     "channel", "country", "device_id", "label", "arrival",
