@@ -78,6 +78,7 @@ CLASSIFIER_PARAMS = {
     "subsamplingRate": 0.8,
     "seed": 42,
 }
+STOPPING_PATIENCE = 10
 FOREST_PARAMS = {"trees": 200, "sample_rows": 256, "contamination": 0.02, "seed": 42}
 
 # --- fixed values: names of the features in explanations --------------------

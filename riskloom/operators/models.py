@@ -10,11 +10,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.constants import CLASSIFIER_PARAMS, FOREST_PARAMS, MODEL_FEATURES, TOP_K
+from riskloom.constants import CLASSIFIER_PARAMS, FOREST_PARAMS, MODEL_FEATURES, STOPPING_PATIENCE, TOP_K
 from riskloom.operators.alerts import decide, explain
+from riskloom.operators.evaluate import curve_metrics, score_counts
 from riskloom.operators.ordering import exact_quantiles
 from riskloom.operators.prepare import class_balance
 from riskloom.session import stored
@@ -22,40 +23,115 @@ from riskloom.session import stored
 # --- classifier --------------------------------------------------------------------
 
 
-def train_classifier(
-    prepared: DataFrame,
-    columns: Sequence[str] = tuple(MODEL_FEATURES),
-    params: Mapping[str, float] | None = None,
-) -> PipelineModel:
-    """Fit on the train split; the val split decides when to stop adding trees.
+def _training_rows(prepared: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The rows of the train and val splits with class weights, and the model's columns.
 
-    Positives are weighted by negatives per positive of the train split. Columns are
-    sampled per node, not per tree, and stopping watches the loss, so scores differ from
-    other boosted-tree libraries."""
-    # stored once: the weight and every tree read these rows again
+    Stored once: the weight and every tree read these rows again."""
     present = [c for c in columns if c in prepared.columns]
     rows = stored(
         prepared.where(F.col("split").isin("train", "val")).select("split", "label", *present)
     )
     train = rows.where(F.col("split") == "train").select((F.col("label") == 1).alias("label"))
     weight = class_balance(train).first()["positive_weight"]
-    rows = rows.withColumns(
+    return rows.withColumns(
         {
             "weight": F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)),
             "is_validation": F.col("split") == "val",
             "label": F.col("label").cast("double"),
         }
-    )
+    ), present
+
+
+def _boosting(columns: Sequence[str], params: Mapping[str, float] | None, **more) -> Pipeline:
     gbt = GBTClassifier(
         labelCol="label",
         featuresCol="features",
         weightCol="weight",
-        validationIndicatorCol="is_validation",
         featureSubsetStrategy="0.8",
-        **{**CLASSIFIER_PARAMS, **(params or {})},
+        **{**CLASSIFIER_PARAMS, **(params or {}), **more},
+    )
+    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep"), gbt])
+
+
+def train_classifier(
+    prepared: DataFrame,
+    columns: Sequence[str] = tuple(MODEL_FEATURES),
+    params: Mapping[str, float] | None = None,
+) -> PipelineModel:
+    """Fit on the train split; the val split decides when to stop adding trees.
+
+    Positives are weighted by negatives per positive of the train split. Columns are
+    sampled per node, not per tree, and stopping watches the loss, so scores differ from
+    other boosted-tree libraries. ``train_classifier_by_area`` stops by PR-AUC."""
+    rows, present = _training_rows(prepared, columns)
+    return _boosting(present, params, validationIndicatorCol="is_validation").fit(rows)
+
+
+def train_classifier_by_area(
+    prepared: DataFrame,
+    columns: Sequence[str] = tuple(MODEL_FEATURES),
+    params: Mapping[str, float] | None = None,
+    patience: int = STOPPING_PATIENCE,
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit on the train split and keep the number of trees with the best PR-AUC on the val
+    split. Returns the model and ``chosen_stage``'s table.
+
+    A boosted ensemble's first k trees do not depend on those after them, so the kept trees
+    are the first of the longer fit."""
+    rows, present = _training_rows(prepared, columns)
+    train = rows.where(F.col("split") == "train")
+    whole = _boosting(present, params).fit(train)
+    areas = staged_pr_auc(whole, rows.where(F.col("split") == "val").withColumn("label", F.col("label") == 1))
+    stages = stored(chosen_stage(areas, patience))
+    kept = stages.where("chosen").first()
+    if kept is None or kept["trees"] == whole.stages[-1].getNumTrees:
+        return whole, stages
+    return _boosting(present, params, maxIter=kept["trees"]).fit(train), stages
+
+
+AREA_STEPS = 10_000
+
+
+def staged_pr_auc(model: PipelineModel, rows: DataFrame, steps: int = AREA_STEPS) -> DataFrame:
+    """``trees, pr_auc``: the area that the first 1, 2, ... trees of a model reach on labelled
+    rows (``label`` boolean).
+
+    All trees score a row in one pass. Scores are taken on a grid of ``steps`` cells, so what is
+    shuffled is at most trees x cells counts, however many rows there are; two scores in one
+    cell count as equal."""
+    boosted = model.stages[-1]
+    scored = model.stages[0].transform(rows.where(F.col("label").isNotNull()))
+    for number, tree in enumerate(boosted.trees):
+        scored = tree.setPredictionCol(f"_tree_{number}").transform(scored)
+    weighted = [F.col(f"_tree_{n}") * F.lit(w) for n, w in enumerate(boosted.treeWeights)]
+    margin = lambda count: F.aggregate(F.slice("each", 1, count), F.lit(0.0), lambda a, x: a + x)
+    margins = F.transform(F.sequence(F.lit(1), F.lit(len(weighted))), margin)
+    staged = scored.select("label", F.array(*weighted).alias("each")).select(
+        "label", F.posexplode(margins).alias("before", "margin")
     )
-    assembler = VectorAssembler(inputCols=present, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, gbt]).fit(rows)
+    # the classifier's probability is the logistic function of twice the margin
+    cell = F.floor(F.lit(steps) / (1 + F.exp(-2 * F.col("margin")))) / steps
+    counts = score_counts(staged.select((F.col("before") + 1).alias("trees"), "label", cell.alias("score")), ["trees"])
+    return curve_metrics(counts, ["trees"]).select("trees", "pr_auc")
+
+
+def chosen_stage(areas: DataFrame, patience: int = STOPPING_PATIENCE) -> DataFrame:
+    """``trees, pr_auc, since_best, reached, chosen`` of a table with one row per tree.
+
+    Adding trees ends once the best area is ``patience`` trees old; the number of trees that
+    had it is chosen (the smallest, if several). Where no area is above 0 (no positives to
+    judge by), the last one is. One task: the table has as many rows as the model trees."""
+    order = Window.partitionBy(F.lit(0)).orderBy("trees")
+    whole = Window.partitionBy(F.lit(0))
+    areas = areas.select(F.col("trees").cast("int").alias("trees"), "pr_auc")
+    order_of = F.struct("pr_auc", (-F.col("trees")).alias("fewest"))
+    best = F.max(order_of).over(order)
+    aged = areas.withColumn("since_best", F.col("trees") + best["fewest"])
+    end = F.min(F.when(F.col("since_best") >= patience, F.col("trees"))).over(whole)
+    known = aged.withColumn("reached", F.coalesce(F.col("trees") <= end, F.lit(True)))
+    winner = F.max(F.when(F.col("reached"), order_of)).over(whole)
+    picked = F.when(winner["pr_auc"] > 0, -winner["fewest"]).otherwise(F.max("trees").over(whole))
+    return known.withColumn("chosen", F.col("trees") == picked)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

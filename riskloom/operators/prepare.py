@@ -21,7 +21,8 @@ from riskloom.functions.columns import (
     number_or_zero,
     ratio_or_zero,
 )
-from riskloom.operators.ordering import exact_quantiles, key_of, ranked, rows_at
+from riskloom.operators.ordering import key_of, ranked, rows_at
+from riskloom.operators.selection import selected_quantiles
 from riskloom.session import stored
 
 # fixed values: the columns of a training frame
@@ -212,23 +213,16 @@ def prepared_features(
         ],
     )
     flags = [c for c in present if kinds[c] == "boolean"]
-    gaps = typed.select(*[F.bool_or(F.col(c).isNull()).alias(c) for c in present if c not in flags]).first()
-    open_columns = [c for c in present if c not in flags and gaps[c]]
-    if not open_columns:
-        return typed.fillna(0, flags)
-    long = typed.select("split", *open_columns).unpivot("split", open_columns, "feature", "value")
-    medians = exact_quantiles(long, [0.5], ["split", "feature"], "value")
-    # one row per split, one column per open feature: always a handful of values
-    wide = medians.groupBy("split").agg(
-        *[F.max(F.when(F.col("feature") == c, F.col("quantile"))).alias(f"_median_{c}") for c in open_columns]
-    )
-    if fit_on:
-        fitted = wide.where(F.col("split") == fit_on).drop("split")
-        joined = typed.withColumns({m: fitted.select(m).scalar() for m in fitted.columns})
-    else:
-        joined = typed.join(F.broadcast(wide), "split", "left")
-    filled = {c: F.coalesce(F.col(c), F.col(f"_median_{c}"), F.lit(0.0)) for c in open_columns}
-    return joined.withColumns(filled).select(*typed.columns).fillna(0, flags)
+    medians = selected_quantiles(typed, [c for c in present if c not in flags], "split", only_gaps=True)
+
+    def filled(c: str) -> Column:
+        if fit_on:
+            return F.coalesce(F.col(c), F.lit(medians.get(fit_on, {}).get(c)), F.lit(0.0))
+        own = [F.when(F.col("split").eqNullSafe(s), F.lit(m[c])) for s, m in medians.items()]
+        return F.coalesce(F.col(c), *own, F.lit(0.0))
+
+    gaps = dict.fromkeys(c for m in medians.values() for c in m)
+    return typed.withColumns({c: filled(c) for c in gaps}).fillna(0, flags)
 
 
 # --- statistics --------------------------------------------------------------------

@@ -784,6 +784,12 @@ def train_classifier(spark, folder):
     return ev.evaluation_report(scored.select("transaction_id", "split", "label", "score"))
 
 
+@query
+def classifier_stages(spark, folder):
+    """PR-AUC on the val split after each tree, and the number of trees that is kept."""
+    return mo.train_classifier_by_area(stored(pr.prepared_features(_split_features(spark, folder))))[1]
+
+
 def _trained(spark: SparkSession, folder: str) -> tuple:
     """The documented model, and the feature rows, which are computed once for both."""
     features = stored(_features(spark, folder))

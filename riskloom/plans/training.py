@@ -43,7 +43,7 @@ def train_run(
     split = pr.time_split(rows, SPLIT)
     prepared = stored(pr.prepared_features(split))
 
-    model = mo.train_classifier(prepared, params=classifier_params)
+    model, stages = mo.train_classifier_by_area(prepared, params=classifier_params)
     scored = stored(
         mo.score(model, prepared).select("transaction_id", "split", (F.col("label") == 1).alias("label"), "score")
     )
@@ -69,6 +69,7 @@ def train_run(
         **CLASSIFIER_PARAMS,
         **(classifier_params or {}),
         "trees": trees,
+        "classifier_trees": model.stages[-1].getNumTrees,
         "features": ",".join(MODEL_FEATURES),
         "data_fingerprint": pr.data_fingerprint(rows).first()["fingerprint"],
         "optimal_threshold": best["optimal_threshold"] if best else None,
@@ -81,6 +82,7 @@ def train_run(
     }
     record_run(spark, folder, run, params, report.unionByName(anomaly), tags)
     append_batch(pr.split_stats(split), f"{folder}/run_splits", run)
+    append_batch(stages, f"{folder}/run_stages", run)
     write_importance(mo.feature_importance(model), f"{folder}/importance/run={run}")
     save_model(model, folder, "classifier", run)
     forest.save(f"{folder}/isolation_forest/{run}")
