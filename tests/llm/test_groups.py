@@ -5,9 +5,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import substrings
 from riskloom.llm.graph import components
 from riskloom.llm.jaccard import jaccard_components
+from riskloom.llm import leaks as decontamination
+from riskloom.llm import substrings
 from riskloom.llm.leaks import align, leaks
 from riskloom.llm.lines import drop_boilerplate
 from riskloom.llm.neighbours import hilbert_keys, nearest
@@ -259,3 +260,66 @@ def test_leaks_equal_brute_force(spark):
                 expected[d, i] = pytest.approx(score)
     assert len(expected) == 18
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in leaks(docs, tests).collect()} == expected
+
+
+EDITS = {
+    "every 2nd replaced": lambda w: [f"n{k}" if k % 2 else x for k, x in enumerate(w)],
+    "every 3rd replaced": lambda w: [f"n{k}" if k % 3 == 2 else x for k, x in enumerate(w)],
+    "every 4th and 5th replaced": lambda w: [f"n{k}" if k % 5 > 2 else x for k, x in enumerate(w)],
+    "two of four replaced": lambda w: [f"n{k}" if k % 4 > 1 else x for k, x in enumerate(w)],
+    "one put in after each": lambda w: [y for k, x in enumerate(w) for y in (x, f"n{k}")],
+    "one put in after each two": lambda w: [y for k, x in enumerate(w) for y in ([x, f"n{k}"] if k % 2 else [x])],
+    "two put in after each three": lambda w: [y for k, x in enumerate(w) for y in ([x, f"n{k}", "m"] if k % 3 == 2 else [x])],
+    "every 3rd left out": lambda w: [x for k, x in enumerate(w) if k % 3 != 2],
+    "neighbours swapped": lambda w: [w[min(k ^ 1, len(w) - 1)] for k in range(len(w))],
+    "every 4th pair swapped": lambda w: [w[min(k ^ 1, len(w) - 1)] if k % 8 < 2 else x for k, x in enumerate(w)],
+    "first half": lambda w: w[: (len(w) + 1) // 2],
+    "upper case": lambda w: [x.upper() for x in w],
+}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_leaks_of_edited_copies_equal_brute_force(spark, monkeypatch, broadcast):
+    """Each kind of edit of items of 3 to 59 words, between words that many documents hold; a third of
+    all documents hold one item."""
+    if not broadcast:
+        monkeypatch.setattr(decontamination, "BROADCAST_WORDS", 0)
+    items = [prose(1500 + n, n).split() for n in (3, 4, 5, 8, 13, 30, 40, 59)]
+    items.append((prose(1600, 3) + " ").split() * 8)  # a sequence that repeats
+    rows = []
+    for i, item in enumerate(items):
+        for e, edit in enumerate(EDITS.values()):
+            rows.append([*prose(1700 + i, 20).split(), *edit(item), *prose(1800 + e, 9).split()])
+    rows += [[*prose(1900 + k, 5).split(), *items[6], *prose(2000 + k, 5).split()] for k in range(len(rows) // 2)]
+    texts = [" ".join(r) for r in rows]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    tests = spark.createDataFrame(
+        [(i, " ".join(w), 7) for i, w in enumerate(items)], "item_id long, text string, doc_id long"
+    )
+    expected = {}
+    lowered = {t: t.lower().split() for t in texts}
+    for i, item in enumerate(items):
+        for d, text in enumerate(texts):
+            score = brute_align(item, lowered[text], 0.5) / len(item)
+            if score >= 0.4:
+                expected[d, i] = pytest.approx(score)
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks(docs, tests).collect()}
+    assert found == expected and len(expected) > 100
+
+
+def test_leaks_of_odd_rows(spark):
+    item = prose(2100, 25)
+    rows = [(1, item), (1, prose(2101, 30)), (1, item), (None, item), (2, None), (3, "solo"), (4, item + " ."), (4, item + " .")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame([(0, item), (0, "other words here now"), (None, item), (5, "Solo"), (6, "?!")], "item_id long, text string")
+    found = sorted(tuple(r) for r in leaks(docs, tests).select("doc_id", "item_id", "score").collect())
+    assert found == [(1, 0, 1.0), (3, 5, 1.0), (4, 0, 1.0)]
+
+
+def test_bitmap_holds_every_code(spark):
+    codes = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 3000, dtype=np.int64)
+    bits = decontamination.bitmap(spark.createDataFrame([(int(c),) for c in codes], "code long"))
+    others = np.random.default_rng(4).integers(0, 1 << 64, 100_000, dtype=np.uint64)
+    assert len(decontamination.in_bitmap(bits, codes.view(np.uint64))) == 3000
+    assert len(decontamination.in_bitmap(bits, others)) < 50
+    assert int(np.unpackbits(bits).sum()) == len(np.unique(codes.view(np.uint64) >> np.uint64(38)))
