@@ -3,10 +3,13 @@
 A text becomes a vector of letter trigrams: lower case, everything but letters one space,
 log counts times inverse document frequency, unit length, hashed to ``DIMENSIONS`` places.
 Document frequencies come from all training rows. Each language's vectors, a bounded sample
-of its labelled rows, are clustered by cosine (spherical k-means) into a few centroids. A
-text takes the language of the nearest centroid; it is rejected if it lies farther away
-than any training text of about its length by more than a margin, and at least
-``LEAST_REJECTED`` away.
+of its labelled rows with equal rows taken once, are clustered by cosine (spherical k-means)
+into a few centroids. A text takes the language of the nearest centroid; it is rejected if it
+lies farther away than nearly all (``KEPT_SHARE``) training texts of about its length by more
+than a margin. A length of which fewer than ``ENOUGH`` texts were learned from is taken together
+with the shorter ones; where these are too few as well, the limit is ``FEW_LIMIT`` for texts of
+256 trigrams or more, and a shorter text, or any if there are fewer than ``ENOUGH`` in all, is
+rejected only if it shares next to nothing with any language.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0 and rejected;
 rows with a null language are predicted but teach nothing; ties go to the language that
@@ -26,14 +29,20 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskloom.llm.common import slices, small_batches, stored, text_rows, tidy
+from riskloom.session import broadcast_if_small
 
 DIMENSIONS = 1 << 13
-ROWS_PER_LANGUAGE = 2_000  # labelled rows that the clusters of one language are fitted on
+ROWS_PER_LANGUAGE = 2_000  # different labelled rows that the clusters of one language are fitted on, at most
 CENTROIDS = 4
+KEPT_SHARE = 0.995
 MARGIN = 0.1
-LEAST_REJECTED = 0.9  # texts nearer than this are never rejected, however few were learned from
+ENOUGH = 100
+FEW_LIMIT = 0.9
+TELLING = 8  # length class of 255 trigrams
+NOTHING_SHARED = 1 - 1e-3
 LENGTH_CLASSES = 32
 
 has_letter = regex.compile(r"\p{L}").search
@@ -138,12 +147,8 @@ def fit_languages(
     total, found = document_frequencies(rows.select("text"))
     idf = np.log((1 + total) / (1 + found)).astype(np.float32) + np.float32(1e-3)
 
-    # stored, so that its size is known: a row for each language goes to the texts
-    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")))
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.ceil(
-        F.lit(rows_per_language * float(1 << 20)) / F.col("n")
-    )
-    sample = rows.join(counts, "lang").where(drawn).select("lang", "text")
+    keyed = rows.select("lang", "text", F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")).alias("key"))
+    sample = _different(keyed, rows_per_language).select("lang", "text")
 
     def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -170,27 +175,51 @@ def fit_languages(
             dense[k, p] = w
         centres = _cluster(dense, centroids)
         distance = 1 - (dense @ centres.T).max(axis=1)
-        farthest = np.zeros(LENGTH_CLASSES)
-        np.maximum.at(farthest, frame["length"].to_numpy(), distance)
+        rest = [[]] * (len(centres) - 1)  # the distances stand beside the first centroid
         return pd.DataFrame(
             {
                 "lang": frame["lang"].iloc[0],
                 "centre": list(centres),
-                "farthest": [farthest] * len(centres),
+                "lengths": [frame["length"].to_numpy(), *rest],
+                "distances": [distance, *rest],
             }
         )
 
     fitted = sample.groupBy("lang").applyInPandas(
-        cluster, "lang string, centre array<float>, farthest array<double>"
+        cluster, "lang string, centre array<float>, lengths array<int>, distances array<double>"
     )
     found_rows = sorted(fitted.collect(), key=lambda r: (r["lang"], r["centre"]))
-    farthest = np.zeros(LENGTH_CLASSES)
-    for r in found_rows:
-        farthest = np.maximum(farthest, r["farthest"])
-    # a shorter text is never held to a stricter limit than a longer one
-    farthest = np.maximum(np.maximum.accumulate(farthest[::-1])[::-1] + MARGIN, LEAST_REJECTED)
+    lengths = np.array([n for r in found_rows for n in r["lengths"]], np.int64)
+    distances = np.array([d for r in found_rows for d in r["distances"]], float)
     centres = np.array([r["centre"] for r in found_rows], np.float32).reshape(-1, DIMENSIONS)
-    return LanguageModel(idf, [r["lang"] for r in found_rows], centres, farthest)
+    return LanguageModel(idf, [r["lang"] for r in found_rows], centres, distance_limits(lengths, distances))
+
+
+def _different(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows of each language, by the smallest ``key``; rows with equal keys count
+    once. Only keys are ranked, and of these about twice as many as are wanted."""
+    keys = stored(rows.select("lang", "key").distinct())
+    counts = keys.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.pmod("key.a", F.lit(1 << 20)) < F.ceil(F.lit((2 * most + 100) * float(1 << 20)) / F.col("n"))
+    by_key = Window.partitionBy("lang").orderBy(F.pmod("key.a", F.lit(1 << 20)), "key")
+    ranked = keys.join(counts, "lang").where(share).withColumn("rank", F.row_number().over(by_key))
+    drawn = broadcast_if_small(stored(ranked.where(F.col("rank") <= most).select("lang", "key")))
+    return rows.join(drawn, ["lang", "key"]).dropDuplicates(["lang", "key"])
+
+
+def distance_limits(lengths: np.ndarray, distances: np.ndarray) -> np.ndarray:
+    """The accepted distance of each length class, from those of the training texts."""
+    if len(distances) < ENOUGH:
+        return np.full(LENGTH_CLASSES, NOTHING_SHARED)
+    limits = np.where(np.arange(LENGTH_CLASSES) < TELLING, NOTHING_SHARED, FEW_LIMIT)
+    for c in range(LENGTH_CLASSES):
+        for shortest in range(c, -1, -1):
+            near = distances[(lengths >= shortest) & (lengths <= c)]
+            if len(near) >= ENOUGH:
+                limits[c] = float(np.quantile(near, KEPT_SHARE)) + MARGIN
+                break
+    # a shorter text is never held to a stricter limit than a longer one
+    return np.minimum(np.maximum.accumulate(limits[::-1])[::-1], NOTHING_SHARED)
 
 
 def predict_languages(
@@ -221,7 +250,7 @@ def _predicted(batch: pa.RecordBatch, model: LanguageModel) -> pa.RecordBatch:
         pick = near.argmax(axis=1)
         names = np.where(letters, np.array(model.languages, object)[pick], "und")
         best = np.where(letters, np.clip(near[np.arange(len(texts)), pick].astype(np.float64), 0, 1), 0.0)
-        rejected = rejected | (1 - best > np.minimum(model.farthest[classes], 1 - 1e-3))
+        rejected = rejected | (1 - best > model.farthest[classes])
     return pa.RecordBatch.from_arrays(
         [
             batch.column("doc_id"),

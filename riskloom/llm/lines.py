@@ -15,8 +15,8 @@ their own; other columns, whatever their names, are kept.
 
 With ``copies_once`` the pages of a host that hold the same lines (order, repeats, blank lines
 and surrounding white space aside) count as one page, in the pages with a line and in the
-host's pages alike, so that copies of a document do not vote for their own lines. Near copies
-differ in a line and count each.
+host's pages alike, so that copies of a document do not vote for their own lines.
+``confirmed_lines`` does the same for groups of pages that the caller names, such as near copies.
 """
 
 from __future__ import annotations
@@ -38,6 +38,17 @@ def line_key(line: Column) -> Column:
     return F.when(text != "", F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b")))
 
 
+def line_keys(text: Column) -> Column:
+    """The keys of a text's different lines; null stands for the blank ones."""
+    return F.array_distinct(F.transform(F.split(text.cast("string"), "\n"), line_key))
+
+
+def page_key(keys: str) -> Column:
+    """128 bits of hash of the lines of a page, whatever their order."""
+    held = F.array_sort(F.filter(keys, lambda k: k.isNotNull()))
+    return F.struct(F.xxhash64(held).alias("a"), F.xxhash64(held, F.lit(1)).alias("b"))
+
+
 def boilerplate_lines(
     pages: DataFrame,
     host: Column,
@@ -47,13 +58,9 @@ def boilerplate_lines(
     copies_once: bool = False,
 ) -> DataFrame:
     """``host, key, pages, host_pages`` of each boilerplate line."""
-    rows = pages.select(host.alias("host"), text.cast("string").alias("text")).where(F.col("host").isNotNull())
-    keys = F.array_distinct(F.transform(F.split("text", "\n"), line_key))
-    rows = rows.select("host", keys.alias("keys"))
+    rows = pages.select(host.alias("host"), line_keys(text).alias("keys")).where(F.col("host").isNotNull())
     if copies_once:
-        held = F.array_sort(F.filter("keys", lambda k: k.isNotNull()))
-        page = F.struct(F.xxhash64(held).alias("a"), F.xxhash64(held, F.lit(1)).alias("b"))
-        rows = stored(rows.groupBy("host", page.alias("page")).agg(F.first("keys").alias("keys")))
+        rows = stored(rows.groupBy("host", page_key("keys").alias("page")).agg(F.first("keys").alias("keys")))
     totals = rows.groupBy("host").agg(F.count("*").alias("host_pages"))
     counts = (
         rows.select("host", F.explode("keys").alias("key"))
@@ -65,21 +72,53 @@ def boilerplate_lines(
     return counts.join(totals, "host").where(F.col("pages") > ratio * F.col("host_pages"))
 
 
-def drop_boilerplate(
+def host_lines(found: DataFrame) -> DataFrame:
+    """``site, keys``: the lines found for each host, to be sent to the pages if they are few."""
+    sites = stored(found.groupBy(F.col("host").alias("site")).agg(F.collect_list("key").alias("keys")))
+    small = (sites.agg(F.sum(F.size("keys"))).first()[0] or 0) <= BROADCAST_KEYS
+    return F.broadcast(sites) if small else sites  # else the join splits a large host's pages
+
+
+def pages_with_lines(pages: DataFrame, sites: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """The pages that hold a line of ``sites`` (of ``host_lines``)."""
+    packed = pages.select(F.struct("*").alias("row"))
+    rows = packed.join(sites, F.col("row").getField(host) == F.col("site"))
+    held = rows.where(F.arrays_overlap("keys", line_keys(F.col("row").getField(text))))
+    return held.select(*(F.col("row").getField(c).alias(c) for c in pages.columns))
+
+
+def confirmed_lines(
     pages: DataFrame,
-    host: str = "source",
-    text: str = "text",
+    sites: DataFrame,
+    groups: DataFrame,
+    id_col: str,
+    host: Column,
+    text: Column,
     ratio: float = BOILERPLATE_RATIO,
     min_pages: int = MIN_PAGES,
-    dropped: str | None = None,
-    copies_once: bool = False,
 ) -> DataFrame:
-    """``pages`` with the boilerplate lines taken out of ``text``; ``dropped`` names a column
-    for the number of lines that went, ``copies_once`` counts pages with the same lines once."""
-    found = boilerplate_lines(pages, F.col(host), F.col(text), ratio, min_pages, copies_once)
-    sites = stored(found.groupBy(F.col("host").alias("site")).agg(F.collect_list("key").alias("keys")))
-    if (sites.agg(F.sum(F.size("keys"))).first()[0] or 0) <= BROADCAST_KEYS:
-        sites = F.broadcast(sites)  # else the join splits a large host's pages
+    """``host, key`` of the lines of ``sites`` (of ``host_lines``) that are boilerplate also when the
+    pages of a group count as one page; ``groups`` has a ``page_id`` and its ``page_group``. Pages
+    without a group count by their lines."""
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), host.alias("host"), line_keys(text).alias("lines"))
+    rows = rows.join(sites, F.col("host") == F.col("site"))
+    narrow = rows.select("id", "host", page_key("lines").alias("lines_key"), F.array_intersect("keys", "lines").alias("keys"))
+    grouped = narrow.join(groups, F.col("id") == F.col("page_id"), "left")
+    page = F.struct("page_group", F.when(F.col("page_group").isNull(), F.col("lines_key")).alias("lines_key"))
+    # a null key stands for the page itself
+    keys = F.concat("keys", F.array(F.lit(None).cast("struct<a:bigint,b:bigint>")))
+    votes = grouped.select("host", page.alias("page"), F.explode(keys).alias("key")).distinct()
+    counts = stored(votes.groupBy("host", "key").agg(F.count("*").alias("pages")))
+    totals = counts.where(F.col("key").isNull()).select("host", F.col("pages").alias("host_pages"))
+    lines = counts.where(F.col("key").isNotNull() & (F.col("pages") >= min_pages)).join(totals, "host")
+    return lines.where(F.col("pages") > ratio * F.col("host_pages")).select("host", "key")
+
+
+def drop_lines(
+    pages: DataFrame, sites: DataFrame, host: str = "source", text: str = "text", dropped: str | None = None
+) -> DataFrame:
+    """``pages`` with the lines of ``sites`` (of ``host_lines``) taken out of ``text``; ``dropped``
+    names a column for the number of lines that went."""
     packed = pages.select(F.struct("*").alias("row"))
     rows = packed.join(sites, F.col("row").getField(host) == F.col("site"), "left")
     old = F.col("row").getField(text).cast("string")
@@ -93,6 +132,21 @@ def drop_boilerplate(
     return cleaned.select(*out)
 
 
+def drop_boilerplate(
+    pages: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    ratio: float = BOILERPLATE_RATIO,
+    min_pages: int = MIN_PAGES,
+    dropped: str | None = None,
+    copies_once: bool = False,
+) -> DataFrame:
+    """``pages`` with the boilerplate lines taken out of ``text``; ``dropped`` names a column
+    for the number of lines that went, ``copies_once`` counts pages with the same lines once."""
+    found = boilerplate_lines(pages, F.col(host), F.col(text), ratio, min_pages, copies_once)
+    return drop_lines(pages, host_lines(found), host, text, dropped)
+
+
 def cleaned_sql(columns: str = "doc_id, lang, source", ratio: float = BOILERPLATE_RATIO, min_pages: int = MIN_PAGES,
                 table: str = "documents", extra: str = "") -> str:
     """The same for ``text`` and ``source`` of a table with unique ``doc_id``, in plain SQL."""

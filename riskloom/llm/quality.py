@@ -12,9 +12,14 @@ and the non-negative risk - in which the share of negatives' risk may not fall b
 zero - is minimised on them. No row is drawn or dropped. (f + 1) / 2 estimates the
 probability of a positive; only near 0 and 1 is it squashed, to keep the order.
 
+The class prior is estimated from the same two kinds of texts, without any trusted negative:
+above a score that hardly any negative reaches, the share of the unlabelled texts is the prior
+times that of the positives. The score comes from one half of the training texts and the shares
+from the other, both ways round; the score is chosen where the bound on the ratio is least.
+
 Edge cases: null and empty texts have all shares 0 and a score like others; a null label
-teaches nothing; several labels of one document count as a positive if any is 1; ties and
-repeated rows score alike; without positives or unlabelled texts every score is the prior;
+and a label of 0 teach nothing; several labels of one document count as a positive if any is 1; ties and
+repeated rows score alike; without positives every score is 0.5;
 an empty table gives an empty result; texts are read whole; other columns are ignored.
 """
 
@@ -36,6 +41,7 @@ SHARES = 22
 WIDTH = SHARES * (len(KNOTS) - 1) + 1  # the function of knot 0 is left to the constant
 RIDGE = 1e-3
 STEPS = 200
+BINS = 1_000  # of the scores that the prior is read from
 
 
 def text_shares(text: str) -> list[float]:
@@ -119,32 +125,82 @@ def share_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return text_rows(docs, id_col, text_col).mapInArrow(measure, "doc_id long, shares array<double>")
 
 
-def _moments(rows: DataFrame) -> dict[bool, tuple[float, np.ndarray]]:
-    """For positives and for all rows: their number and the sum of outer products of the basis."""
+def _moments(rows: DataFrame) -> np.ndarray:
+    """Sums of outer products of the basis, by half and by kind (all rows, positives)."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, WIDTH, WIDTH))
+        sums = np.zeros((2, 2, WIDTH, WIDTH))
         for batch in batches:
-            x = basis(np.array(batch.column("shares").to_pylist(), float).reshape(-1, SHARES))
-            positive = x[np.array(batch.column("positive").to_pylist(), bool)]
-            sums += np.stack([x.T @ x, positive.T @ positive])
-        which, row, column = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(which == 1), pa.array(row * WIDTH + column), pa.array(sums[which, row, column])],
-            names=["positive", "cell", "v"],
-        )
-
-    summed = rows.mapInArrow(gather, "positive boolean, cell long, v double")
-    cells = summed.groupBy("positive", "cell").agg(F.sum("v").alias("v")).collect()  # 2 * WIDTH² at most
-    out = {}
-    for positive in (False, True):
-        m = np.zeros(WIDTH * WIDTH)
-        for r in cells:
-            if r["positive"] == positive:
-                m[r["cell"]] = r["v"]
-        m = m.reshape(WIDTH, WIDTH)
-        out[positive] = float(m[-1, -1]), m / max(float(m[-1, -1]), 1.0)
-    return out
+            x, positive, half = _basis_rows(batch)
+            for h in (0, 1):
+                here, trusted = x[half == h], x[(half == h) & positive]
+                sums[h, 0] += here.T @ here
+                sums[h, 1] += trusted.T @ trusted
+        flat = np.triu(sums).ravel()
+        cells = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(flat[cells])], names=["cell", "v"])
+
+    summed = rows.mapInArrow(gather, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v"))
+    out = np.zeros(4 * WIDTH * WIDTH)
+    for r in summed.collect():  # 2 * WIDTH * (WIDTH + 1) at most
+        out[r["cell"]] = r["v"]
+    upper = out.reshape(2, 2, WIDTH, WIDTH)
+    return upper + np.triu(upper, 1).swapaxes(-1, -2)
+
+
+def _basis_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    x = basis(np.array(batch.column("shares").to_pylist(), float).reshape(-1, SHARES))
+    return x, np.array(batch.column("positive").to_pylist(), bool), np.array(batch.column("half").to_pylist(), int)
+
+
+def _means(sums: np.ndarray) -> np.ndarray:
+    return sums / max(float(sums[-1, -1]), 1.0)
+
+
+def _score_counts(rows: DataFrame, weights: list[np.ndarray]) -> np.ndarray:
+    """Rows by half, kind (all, positives) and bin of the score by the other half's weights."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((2, 2, BINS), np.int64)
+        for batch in batches:
+            x, positive, half = _basis_rows(batch)
+            for h in (0, 1):
+                bins = score_bins(x @ weights[1 - h])
+                found[h, 0] += np.bincount(bins[half == h], minlength=BINS)
+                found[h, 1] += np.bincount(bins[(half == h) & positive], minlength=BINS)
+        cells = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(found.ravel()[cells])], names=["cell", "n"])
+
+    summed = rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    out = np.zeros(4 * BINS, np.int64)
+    for r in summed.collect():  # 4 * BINS at most
+        out[r["cell"]] = r["n"]
+    return out.reshape(2, 2, BINS)
+
+
+def score_bins(value: np.ndarray) -> np.ndarray:
+    return np.clip(((squashed((value + 1) / 2)) * BINS).astype(np.int64), 0, BINS - 1)
+
+
+def best_bin_prior(unlabelled: np.ndarray, positive: np.ndarray, delta: float = 0.1, gamma: float = 0.01) -> float:
+    """The prior by best bin estimation, from the numbers of scores in each bin, lowest first."""
+    n_u, n_p = max(1, unlabelled.sum()), max(1, positive.sum())
+    above_u, above_p = unlabelled[::-1].cumsum() / n_u, positive[::-1].cumsum() / n_p
+    slack = np.sqrt(np.log(4 / delta) / (2 * n_u)) + np.sqrt(np.log(4 / delta) / (2 * n_p))
+    with np.errstate(divide="ignore"):
+        bound = np.where(above_p > 0, (above_u + (1 + gamma) * slack) / np.where(above_p > 0, above_p, 1), np.inf)
+    best = int(bound.argmin())
+    return float(above_u[best] / above_p[best]) if above_p[best] else 0.5
+
+
+def estimated_prior(rows: DataFrame, sums: np.ndarray) -> float:
+    """The share of positives among all of ``rows``, from positives and unlabelled rows alone."""
+    weights = [minimise_risk(_means(sums[h, 1]), _means(sums[h, 0]), 0.5) for h in (0, 1)]
+    counts = _score_counts(rows, weights)
+    halves = [(best_bin_prior(*counts[h]), counts[h, 1].sum()) for h in (0, 1) if counts[h, 1].sum()]
+    if not halves:
+        return 0.5
+    return min(0.99, max(0.01, float(np.average([p for p, _ in halves], weights=[n for _, n in halves]))))
 
 
 def minimise_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> np.ndarray:
@@ -175,24 +231,22 @@ def fit_quality(shares: DataFrame, labels: DataFrame, is_training: Column) -> Qu
     """Learn from the rows of ``shares`` where ``is_training`` (a condition on ``doc_id``) holds.
 
     Trusted positives are those that ``labels`` (``doc_id, quality``) marks 1; all training
-    texts are the unlabelled ones. The prior is the share of 1 among their labels."""
-    marks = (
-        labels.where(F.col("quality").isNotNull())
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    texts are the unlabelled ones, and other labels are not looked at."""
+    trusted = (
+        labels.where(F.col("quality").cast("int") == 1)
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("positive"))
         .where(is_training)
-        .groupBy("doc_id")
-        .agg(F.max("quality").alias("quality"))
+        .distinct()
     )
-    rows = shares.where(is_training).join(marks, "doc_id", "left")
-    counts = rows.agg(F.count("quality").alias("n"), F.sum("quality").alias("ones")).first()
-    prior = min(0.99, max(0.01, (counts["ones"] or 0) / max(counts["n"], 1)))
-    found = _moments(rows.select("shares", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive")))
-    if not found[True][0]:
-        weights = np.zeros(WIDTH)
-        weights[-1] = 2 * prior - 1
-    else:
-        weights = minimise_risk(found[True][1], found[False][1], prior)
-    return QualityModel(weights, prior)
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")
+    rows = shares.where(is_training).join(trusted, "doc_id", "left")
+    rows = rows.select("shares", F.coalesce("positive", F.lit(False)).alias("positive"), half)
+    sums = _moments(rows)
+    unlabelled, positive = sums[:, 0].sum(axis=0), sums[:, 1].sum(axis=0)
+    if not positive[-1, -1]:
+        return QualityModel(np.zeros(WIDTH), 0.5)
+    prior = estimated_prior(rows, sums)
+    return QualityModel(minimise_risk(_means(positive), _means(unlabelled), prior), prior)
 
 
 def score_quality(shares: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:

@@ -7,8 +7,9 @@ shard clockwise that has room. The bounds add up to the number of rows, so row c
 differ by one at most, and rows move only where a bound or an arc changed.
 
 The work is done in counts. Rows are counted per arc and cut into cells of about
-``CELL_ROWS`` rows by a hash of the row; running totals over cells and a row number inside
-each cell rank every row within its arc. Where the arcs' rows go follows from the arc
+``CELL_ROWS`` rows by a hash of the row; running totals over cells, in two levels, and a row
+number inside each cell rank every row within its arc. Equal rows share a hash: where more
+than ``CELL_ROWS`` of them fill a cell, they are dealt over parts of their own behind it. Where the arcs' rows go follows from the arc
 counts alone, a table of (shards × virtual nodes) rows. A hot key fills many cells of one
 arc and spills over many shards, so no task holds it whole.
 
@@ -27,9 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.llm.common import stored
+from riskloom.session import broadcast_if_small
 
 VIRTUAL_NODES = 64
 CELL_ROWS = 1_000
+CELLS_PER_BLOCK = 1_000
 RING = 1 << 60
 
 
@@ -97,10 +100,15 @@ def shard_rows(
     nodes = ring_nodes(shards, virtual_nodes)
     owners = [s for _, s in nodes]
     table, sectors = _arc_table(spark, nodes)
-    row = rows.select(F.struct("*").alias("row"), ring_place(key).alias("place"), F.xxhash64(*rows.columns).alias("order"))
+    row = rows.select(
+        F.struct("*").alias("row"),
+        ring_place(key).alias("place"),
+        F.xxhash64(*rows.columns).alias("order"),
+        F.monotonically_increasing_id().alias("salt"),  # stored with the row, so it stays the same
+    )
     sector = F.shiftright("place", 60 - (sectors.bit_length() - 1))
     near = (sector == F.col("sector")) & F.col("place").between(F.col("low"), F.col("high"))
-    placed = stored(row).join(F.broadcast(table), near).select("row", "order", "arc")
+    placed = stored(row).join(F.broadcast(table), near).select("row", "order", "salt", "arc")
 
     arcs = {r["arc"]: r["n"] for r in placed.groupBy("arc").agg(F.count("*").alias("n")).collect()}
     plan = overflow_plan(arcs, owners, bounds(sum(arcs.values()), shards))
@@ -110,16 +118,44 @@ def shard_rows(
     goes = spark.createDataFrame(plan, "start int, first long, end long, shard int, first_slot long")
 
     celled = placed.join(F.broadcast(homes), "arc").withColumn("cell", F.pmod("order", "cells"))
-    by_cell = Window.partitionBy("arc", "cell").orderBy("order", "row")
-    before = Window.partitionBy("arc").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        celled.groupBy("arc", "cell")
-        .agg(F.count("*").alias("n"))
-        .select("arc", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    ranked = celled.withColumn("number", F.row_number().over(by_cell) - 1).join(offsets, ["arc", "cell"])
+    celled = _split_equal_rows(celled, cell_rows)
+    part = ["arc", "cell", "equal", "part"]
+    by_part = Window.partitionBy(*part).orderBy("order", "row")
+    numbered = celled.withColumn("number", F.row_number().over(by_part) - 1)
+    offsets = _offsets(celled.groupBy(*part).agg(F.count("*").alias("n")), part[1:])
+    ranked = numbered.join(offsets, part)
     ranked = ranked.withColumn("rank", F.col("offset") + F.col("number"))
     here = (F.col("arc") == F.col("start")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))
     slot = F.col("first_slot") + F.col("rank") - F.col("first")
     fields = [F.col("row").getField(c).alias(c) for c in rows.columns]
     return ranked.join(F.broadcast(goes), here).select(*fields, "shard", slot.alias("slot"), "home_shard")
+
+
+def _split_equal_rows(celled: DataFrame, cell_rows: int) -> DataFrame:
+    """``celled`` with ``equal`` and ``part``: 0 and 0, or for rows of which more than ``cell_rows`` are
+    equal in an overfull cell, their hash (never 0) and one of as many parts as they need. There are at most
+    (rows / ``cell_rows``) such hashes."""
+    full = celled.groupBy("arc", "cell").agg(F.count("*").alias("n")).where(F.col("n") > 4 * cell_rows)
+    full = broadcast_if_small(stored(full.select("arc", "cell")))
+    many = celled.join(full, ["arc", "cell"]).groupBy("arc", "cell", "order").agg(F.count("*").alias("n"))
+    parts = F.ceil(F.col("n") / cell_rows).alias("parts")
+    hot = broadcast_if_small(stored(many.where(F.col("n") > cell_rows).select("arc", "cell", "order", parts)))
+    rows = celled.join(hot, ["arc", "cell", "order"], "left")
+    equal = F.when(F.col("parts").isNull(), 0).when(F.col("order") == 0, 1).otherwise(F.col("order"))
+    dealt = F.coalesce(F.pmod(F.xxhash64("salt"), F.col("parts")), F.lit(0))
+    return rows.select("row", "order", "arc", "home_shard", "cell", equal.alias("equal"), dealt.alias("part"))
+
+
+def _offsets(counts: DataFrame, order: list[str]) -> DataFrame:
+    """``counts`` (arc, ``order``, n) with the rows of the arc that stand before: totals of blocks of
+    cells first, then of the cells of one block, so that no task sees all cells of an arc. The rows of
+    a cell that are not dealt over parts come first in it."""
+    counts = stored(counts.withColumn("block", F.floor(F.col("cell") / CELLS_PER_BLOCK)))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sequence = ["cell", F.col("equal") != 0, *order[1:]]
+    within = before.partitionBy("arc", "block").orderBy(*sequence)
+    blocks = counts.groupBy("arc", "block").agg(F.sum("n").alias("n")).select(
+        "arc", "block", F.coalesce(F.sum("n").over(before.partitionBy("arc").orderBy("block")), F.lit(0)).alias("start")
+    )
+    cells = counts.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0))).join(blocks, ["arc", "block"])
+    return cells.select("arc", *order, (F.col("start") + F.col("inside")).alias("offset"))

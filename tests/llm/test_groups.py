@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from riskloom.llm.leaks import align, leaks
 from riskloom.llm.lines import drop_boilerplate
 from riskloom.llm.neighbours import hilbert_keys, nearest
 from riskloom.llm.packed import pack, pack_sorted, unpack, unpack_sorted
-from riskloom.llm.sharding import overflow_plan, shard_rows
+from riskloom.llm.sharding import _split_equal_rows, overflow_plan, ring_nodes, shard_rows
 from riskloom.llm.substrings import remove_repeats
 from tests.llm.conftest import prose
 
@@ -150,6 +151,40 @@ def test_shards_are_even_and_gapless(spark, no_docs):
     assert shard_rows(no_docs.select("doc_id"), F.col("doc_id")).count() == 0
 
 
+def test_equal_rows_fill_no_cell(spark):
+    rows = spark.range(3_000).selectExpr("concat('k', id % 2 + id * (id % 2)) AS key", "1L AS size")
+    rows = rows.selectExpr("key", "size").unionAll(spark.range(6_000).selectExpr("'hot' AS key", "1L AS size"))
+    cells = rows.selectExpr("struct(key, size) AS row", "xxhash64(key, size) AS order", "monotonically_increasing_id() AS salt")
+    cells = cells.selectExpr("*", "0 AS arc", "0 AS home_shard", "pmod(order, 90) AS cell")
+    parts = _split_equal_rows(cells, 100).groupBy("arc", "cell", "equal", "part").count()
+    assert parts.agg({"count": "max"}).first()[0] < 400 and parts.where("equal <> 0").count() >= 60
+    found = shard_rows(rows, F.col("key"), shards=8, cell_rows=100)
+    assert found.count() == 9_000 and found.select("shard", "slot").distinct().count() == 9_000
+    by_shard = found.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("last")).collect()
+    assert all(r["n"] == 1_125 and r["last"] == 1_124 for r in by_shard)
+
+
+def test_shards_equal_a_plain_ring(spark):
+    rows = spark.range(500).selectExpr("concat('key ', id div 7) AS key", "id")
+    found = shard_rows(rows, F.col("key"), shards=5, virtual_nodes=4).collect()
+    nodes = ring_nodes(5, 4)
+    by_arc = {}
+    for r in found:
+        place = int(hashlib.md5(r["key"].encode()).hexdigest()[:15], 16)
+        arc = next((k for k, (at, _) in enumerate(nodes) if at >= place), 0)
+        assert r["home_shard"] == nodes[arc][1]
+        by_arc.setdefault(arc, []).append(r["shard"])
+    # a plain walk: every row left goes one node further each round, while there is room
+    room, left, want = [100] * 5, {a: len(v) for a, v in sorted(by_arc.items())}, {a: Counter() for a in by_arc}
+    for step in range(len(nodes)):
+        for arc in left:
+            shard = nodes[(arc + step) % len(nodes)][1]
+            while left[arc] and room[shard]:
+                left[arc], room[shard] = left[arc] - 1, room[shard] - 1
+                want[arc][shard] += 1
+    assert {a: Counter(v) for a, v in by_arc.items()} == want
+
+
 def test_few_rows_move_when_a_shard_joins(spark):
     df = spark.createDataFrame([(k, f"key {k}") for k in range(4_000)], "id long, key string")
     eight = {r["id"]: r["shard"] for r in shard_rows(df, df["key"], shards=8).collect()}

@@ -1,7 +1,7 @@
 import duckdb
 
 import corpus_pipeline
-from riskloom.llm import jaccard, language
+from riskloom.llm import jaccard
 from riskloom.llm.lines import cleaned_sql
 from riskloom.llm.queries import llm_oracles, llm_queries
 from tests.llm.conftest import prose
@@ -41,8 +41,7 @@ def test_stages(spark, tables, tmp_path):
     assert {r["doc_id"] for r in out.collect()} == ids["decontamination"]
 
 
-def test_odd_rows_pass_the_stages(spark, odd_docs, no_docs, tables, monkeypatch):
-    monkeypatch.setattr(language, "MARGIN", 1.0)  # too few rows to reject by distance
+def test_odd_rows_pass_the_stages(spark, odd_docs, no_docs, tables):
     for start, count in ((odd_docs, 13), (no_docs, 0)):
         docs = start
         for _, stage in corpus_pipeline.STAGES[:-1]:
@@ -64,3 +63,17 @@ def test_copies_do_not_vote_for_their_own_lines(spark, tables):
     assert texts[0] == prose(1000, 60) and texts[100] == copy and texts[200] == f" {copy}\n"
     kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, cleaned, tables).collect()
     assert {r["doc_id"] for r in kept} == {*range(20), 100}
+
+
+def test_near_copies_do_not_vote_for_their_shared_lines(spark, tables):
+    shared = "\n".join(prose(900 + k, 20) for k in range(6))
+    rows = [(k, f"menu\n{prose(1000 + k, 60)}", "en", "a.org") for k in range(20)]
+    rows += [(100 + k, f"menu\n{shared}\nown tail {k}", "en", "a.org") for k in range(10)]
+    rows += [(200 + k, f"menu\n{prose(3000 + k, 4)}\n{prose(4000 + k, 40)}", "en", None) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs = docs.selectExpr("*", "cast(char_length(text) as long) AS n_chars")
+    cleaned = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, tables).cache()
+    texts = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert texts[0] == prose(1000, 60) and texts[103] == f"{shared}\nown tail 3" and texts[200].startswith("menu")
+    kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, cleaned, tables).collect()
+    assert {r["doc_id"] for r in kept} == {*range(20), 100, 200, 201, 202}
