@@ -29,8 +29,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take each source's boilerplate lines out of its texts; copies are still there and count once."""
-    cleaned = lines.drop_boilerplate(docs, host="source", text="text", copies_once=True)
+    """Take each source's boilerplate lines out of its texts. Copies and near copies are still
+    there and count once: a line found with copies counted once must stay boilerplate when the
+    near duplicates among the documents that hold such lines count as one document as well."""
+    host, text = F.col("source"), F.col("text")
+    sites = lines.host_lines(lines.boilerplate_lines(docs, host, text, copies_once=True))
+    holders = stored(lines.pages_with_lines(docs, sites))
+    groups = jaccard.jaccard_components(holders).where("n_shingles > 0")
+    groups = groups.groupBy(F.col("doc_id").alias("page_id")).agg(F.min("component_id").alias("page_group"))
+    groups = stored(groups)
+    release_heap(spark)
+    kept = lines.confirmed_lines(docs, sites, groups, "doc_id", host, text)
+    cleaned = lines.drop_lines(docs, lines.host_lines(kept))
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
