@@ -35,7 +35,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     host, text = F.col("source"), F.col("text")
     sites = lines.host_lines(lines.boilerplate_lines(docs, host, text, copies_once=True))
     holders = stored(lines.pages_with_lines(docs, sites))
-    groups = jaccard.jaccard_components(holders).where("n_shingles > 0")
+    groups = jaccard.column_components(holders).where("n_shingles > 0")
     groups = groups.groupBy(F.col("doc_id").alias("page_id")).agg(F.min("component_id").alias("page_group"))
     groups = stored(groups)
     release_heap(spark)

@@ -23,6 +23,9 @@ words than a shingle is one shingle; null and empty texts have none and link wit
 (each is its own component); rows of one id are taken as texts of one document, each with
 its own row in the result and the same component as its set; texts are read whole; a null
 id is left out; an empty table gives an empty result; other columns are ignored.
+
+``column_components`` gives the same result by DataFrame functions only: shingles are rows
+there, counted and joined by Spark. ``jaccard_components`` exchanges them as packed arrays.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import give_back, stored, tidy
+from riskloom.llm.common import give_back, stored, text_rows, tidy
 from riskloom.llm.graph import components
 from riskloom.llm.packed import (
     BASE,
@@ -53,6 +56,7 @@ from riskloom.llm.packed import (
 
 SHINGLE = 5
 PERCENT = 80  # least similarity
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SENT = "chunk long, bucket int, a binary, b binary"
 KEYS = "chunk long, doc_id long, n_shingles long, key_a long, key_b long"
 SETS = "set_id long, n long, own long, prefix array<long>, shared binary"
@@ -207,7 +211,7 @@ def indexed_sets(packed: DataFrame, shared: DataFrame, copies: DataFrame, size:
 
 
 def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, overlap, linked`` of the pairs ``a, b``."""
+    """``a, b, overlap, linked`` of the pairs ``a, b``; ``shared`` is a binary or an array."""
     left = sets.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("of_a"))
     right = sets.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("of_b"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -224,7 +228,10 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 names=["a", "b", "n_a", "n_b", "overlap"],
             )
 
-    counted = joined.mapInArrow(tidy(overlap), "a long, b long, n_a long, n_b long, overlap long")
+    if dict(sets.dtypes)["shared"] == "binary":
+        counted = joined.mapInArrow(tidy(overlap), "a long, b long, n_a long, n_b long, overlap long")
+    else:
+        counted = joined.withColumn("overlap", F.size(F.array_intersect("of_a", "of_b")).cast("long"))
     union = F.col("n_a") + F.col("n_b") - F.col("overlap")
     return counted.select("a", "b", "overlap", (F.col("overlap") * 100 >= union * percent).alias("linked"))
 
@@ -318,6 +325,11 @@ def jaccard_components(
     copies = _copies(packed, known)
 
     sets = stored(indexed_sets(packed, shared_shingles(packed, size, buckets), copies, size, buckets, percent))
+    return _linked(known, sets, percent)
+
+
+def _linked(known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The result for the rows of ``known`` (``doc_id, n_shingles, set_id``) from the ``sets`` that may have partners."""
     most = (F.col("n") - F.col("own")).alias("most")
     entries = sets.select("set_id", "n", "own", most, F.posexplode("prefix").alias("rank", "token")).withColumn(
         "place", F.col("own") + F.col("rank")
@@ -343,3 +355,49 @@ def _copies(packed: DataFrame, known: DataFrame) -> DataFrame:
 
     others = known.where("set_id <> doc_id").select("chunk", "doc_id")
     return packed.select("chunk", "ids").groupBy("chunk").cogroup(others.groupBy("chunk")).applyInArrow(places, SENT)
+
+
+def shingle_set(text: Column, size: int) -> Column:
+    """Hashes of the distinct shingles of a text, ascending."""
+    words = F.array_remove(F.split(F.translate(text, UPPER, LOWER), r"[\x20\x09-\x0D]+"), "")
+
+    def rolling(h: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(h) - size)
+        runs = F.transform(at, lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(size))))
+        return F.when(F.size(h) >= size, runs).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.slice(h, 1, 0))
+
+    # within an array of one, so that the words are hashed once and not for each shingle
+    runs = F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), rolling)
+    return F.sort_array(F.array_distinct(F.get(runs, F.lit(0))))
+
+
+def column_components(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``jaccard_components`` by DataFrame functions only, for few or short texts."""
+    texts = text_rows(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
+    rows = stored(texts.select("doc_id", shingle_set(F.col("text"), size).alias("shingles")))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    hashes = (F.xxhash64("shingles").alias("key_a"), F.xxhash64("shingles", F.lit(1)).alias("key_b"))
+    keys = stored(rows.select("row", "doc_id", F.size("shingles").cast("long").alias("n_shingles"), *hashes, "shingles"))
+    key = ["n_shingles", "key_a", "key_b"]
+    first = F.min(F.struct("doc_id", "row"))
+    classes = stored(
+        keys.where("n_shingles > 0").groupBy(*key).agg(first.alias("first")).select(*key, "first.*")
+        .withColumnsRenamed({"doc_id": "set_id", "row": "set_row"})
+    )
+    known = keys.select("doc_id", *key).join(classes.select(*key, "set_id"), key, "left")
+    known = stored(known.select("doc_id", "n_shingles", F.coalesce("set_id", "doc_id").alias("set_id")))
+
+    owners = classes.select("set_row", "set_id", F.col("n_shingles").alias("n"))
+    held = stored(keys.select("row", "shingles").join(owners, F.col("row") == F.col("set_row")).drop("row"))
+    held = held.select("set_row", "set_id", "n", F.explode("shingles").alias("token"))
+    counts = stored(held.groupBy("token").agg(F.count("*").alias("texts")).where("texts > 1"))
+    shared = held.join(counts, "token").groupBy("set_row", "set_id", "n")
+    shared = shared.agg(F.sort_array(F.collect_list(F.struct("texts", "token"))).alias("tokens"))
+    own = F.col("n") - F.size("tokens")
+    entries = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("own")).cast("int")
+    sets = shared.withColumn("own", own).withColumn("entries", entries).where("entries > 0")
+    tokens = F.col("tokens.token")
+    sets = stored(sets.select("set_id", "n", "own", F.slice(tokens, 1, F.col("entries")).alias("prefix"), tokens.alias("shared")))
+    return _linked(known, sets, percent)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
-from riskloom.llm.jaccard import jaccard_components
+from riskloom.llm.jaccard import column_components, jaccard_components
 from riskloom.llm import leaks as decontamination
 from riskloom.llm import substrings
 from riskloom.llm.leaks import align, leaks
@@ -72,6 +72,18 @@ def test_jaccard_on_odd_texts(odd_docs, no_docs):
     assert jaccard_components(no_docs).count() == 0
 
 
+def test_jaccard_by_columns_equals_brute_force(spark, odd_docs, no_docs):
+    rows = near_copies()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {tuple(r) for r in column_components(df).collect()} == brute_components(rows)
+    rows = [(r["doc_id"], r["text"]) for r in odd_docs.select("doc_id", "text").collect() if r["doc_id"] is not None]
+    rows += [(0, prose(70, 30)), (50, prose(70, 29)), (51, "\u00c9t\u00e9 A\x0bB\x1cC"), (52, "\u00e9t\u00e9 a b\x1cc"), (53, "\u00c9t\u00e9 a\rb\x1cc")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = column_components(df).collect()
+    assert len(found) == len(rows) and {tuple(r) for r in found} == brute_components(rows)
+    assert column_components(no_docs).count() == 0
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())

@@ -77,3 +77,20 @@ def test_near_copies_do_not_vote_for_their_shared_lines(spark, tables):
     assert texts[0] == prose(1000, 60) and texts[103] == f"{shared}\nown tail 3" and texts[200].startswith("menu")
     kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, cleaned, tables).collect()
     assert {r["doc_id"] for r in kept} == {*range(20), 100, 200, 201, 202}
+
+
+def test_lines_go_by_dataframe_functions_only(spark, odd_docs, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("Python on the executors")
+
+    for kind, names in (
+        (type(odd_docs), ("mapInArrow", "mapInPandas")),
+        (type(odd_docs.groupBy()), ("applyInArrow", "applyInPandas", "cogroup")),
+    ):
+        for name in names:
+            monkeypatch.setattr(kind, name, refuse)
+    rows = [(k, f"menu\n{prose(1000 + k % 4, 30)}", "en", "a.org") for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs = docs.selectExpr("*", "cast(char_length(text) as long) AS n_chars")
+    cleaned = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, "").collect()
+    assert {r["doc_id"]: r["text"] for r in cleaned} == {k: prose(1000 + k % 4, 30) for k in range(8)}
