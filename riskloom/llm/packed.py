@@ -177,7 +177,8 @@ def bucket_count(packed: DataFrame) -> int:
 
 def by_bucket(hashes: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, places in ``hashes``) for the buckets that have any; ``hashes`` ascending or not."""
-    which = (hashes % np.uint64(count)).astype(np.int64)
+    # few bits sort without comparisons
+    which = (hashes % np.uint64(count)).astype(np.uint16 if count <= 1 << 16 else np.int64)
     order = np.argsort(which, kind="stable")
     edges = np.searchsorted(which[order], np.arange(count + 1))
     for b in range(count):

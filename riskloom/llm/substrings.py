@@ -5,8 +5,9 @@ of ``(window + 1) // 2`` words (7) among the blocks that do not overlap and star
 of a document. So these blocks are the index, and every rolling block of every document
 probes it. Only where a probe hits are windows looked at: hits grow to the exact windows
 around them, each distinct window of a chunk is sent once, with the smallest document that
-starts it there, and comes back if a smaller document elsewhere starts it. Neighbouring
-windows that come back join to maximal repeats, whose words go.
+starts it there and its place, and the place comes back if a smaller document elsewhere
+starts it. Neighbouring windows that come back join to maximal repeats, whose words go.
+Texts are hashed for the probes and for the windows; the words are cut out by place.
 
 Edge cases: null and empty texts have no words; fewer words than a window, nothing goes;
 a document's repeats within itself stay; equal texts in full keep only the copy of the
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ from riskloom.llm.packed import (
     bucket_count,
     by_bucket,
     chunks,
+    mix,
     pack,
     pack_sorted,
     short,
@@ -39,18 +42,15 @@ from riskloom.llm.packed import (
 
 WINDOW = 13
 SENT = "chunk long, bucket int, a binary, b binary"
+AROUND = "chunk long, bucket int, a binary, b binary, c binary"
+ANSWER = "chunk long, a binary, b binary, c binary"
+TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
 
 
-def _rows(found: list[tuple[int, int, bytes, bytes]]) -> pa.Table:
-    chunk, number, a, b = zip(*found, strict=True) if found else ((), (), (), ())
-    return pa.table(
-        {
-            "chunk": pa.array(chunk, pa.int64()),
-            "bucket": pa.array(number, pa.int32()),
-            "a": pa.array(a, pa.binary()),
-            "b": pa.array(b, pa.binary()),
-        }
-    )
+def _rows(found: list[tuple], shape: str = SENT) -> pa.Table:
+    columns = [c.split() for c in shape.split(", ")]
+    values = zip(*found, strict=True) if found else [()] * len(columns)
+    return pa.table({name: pa.array(v, TYPES[kind]) for (name, kind), v in zip(columns, values, strict=True)})
 
 
 def _block_probes(chunk: Chunk, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,7 +65,7 @@ def _block_probes(chunk: Chunk, block: int) -> tuple[np.ndarray, np.ndarray, np.
     if not found:
         return np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, bool)
     value, aligned, owner = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.argsort(value, kind="stable")
+    order = np.argsort(value)
     value, aligned, owner = value[order], aligned[order], chunk.ids[owner[order]]
     first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
     several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
@@ -80,26 +80,55 @@ def _by_code(code: np.ndarray, aligned: np.ndarray, several: np.ndarray) -> tupl
     return kept, flags
 
 
-def _hit_windows(chunk: Chunk, hits: dict[int, np.ndarray], buckets: int, size: int, block: int) -> Iterator[tuple]:
-    """(document's place, place of the first word in the slice, window hash) where a block was hit,
-    slice by slice, with the slice's words."""
+def _hit_windows(
+    chunk: Chunk, hits: dict[int, np.ndarray], buckets: int, size: int, block: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document's id, place of the first word in the chunk, window hash) where a block was hit, in order."""
+    blocks, wide, words = [], [], 0
     for owner, hashes in chunk.words():
         at, value = windows(owner, hashes, block)
-        hit = np.zeros(len(hashes) + 1, bool)
-        for number, places in by_bucket(value, buckets):
-            if number in hits:
-                hit[at[places[np.isin(short(value[places]), hits[number])]]] = True
-        covered = np.r_[0, np.cumsum(hit)]
+        blocks.append((at + words, value))
         start, window = windows(owner, hashes, size)
-        inside = covered[np.minimum(start + size - block + 1, len(hit))] > covered[start]
-        yield owner, start[inside], window[inside]
-
-
-def _smallest(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, values))
-    values, ids = values[order], ids[order]
-    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else order
-    return values[first], ids[first]
+        wide.append((chunk.ids[owner[start]], start + words, window))
+        words += len(hashes)
+    at, value = (np.concatenate(x) for x in zip(*blocks, strict=True))
+    own, start, window = (np.concatenate(x) for x in zip(*wide, strict=True))
+    shift = np.uint64(32)
+    wanted = np.concatenate([(np.uint64(b) << shift) | hits[b] for b in sorted(hits)])
+    code = (value % np.uint64(buckets) << shift) | short(value)
+    order = np.argsort(code)
+    code = code[order]
+    found = wanted[np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)] == code
+    hit = np.zeros(words + 1, bool)
+    hit[at[order[found]]] = True
+    covered = np.r_[0, np.cumsum(hit)]
+    inside = covered[np.minimum(start + size - block + 1, len(hit))] > covered[start]
+    return own[inside], start[inside], window[inside]
+
+
+def _least(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in order of value, where each value begins among them, and its smallest id for each of them."""
+    order = np.argsort(values)
+    ranked = values[order]
+    first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(values) else order
+    least = np.minimum.reduceat(ids[order], first) if len(values) else ids
+    return order, first, np.repeat(least, np.diff(np.r_[first, len(values)]))
+
+
+def _senders(
+    own: np.ndarray, start: np.ndarray, window: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a chunk's windows: whether a smaller document of the chunk starts it, whether it is the
+    one to be sent (the first of the smallest document), and which others go as one sent goes."""
+    order, first, least = _least(window, own)
+    earlier = np.zeros(len(own), bool)
+    earlier[order] = own[order] > least
+    end = np.iinfo(np.int64).max
+    sent = np.minimum.reduceat(np.where(earlier, end, start)[order], first) if len(own) else start
+    leader = np.empty(len(own), np.int64)
+    leader[order] = np.repeat(sent, np.diff(np.r_[first, len(own)]))
+    again = ~earlier & (start != leader)
+    return earlier, ~earlier & ~again, start[again], leader[again]
 
 
 def remove_repeats(
@@ -130,73 +159,76 @@ def remove_repeats(
         aligned, several = np.zeros(len(value), bool), seen > 1
         aligned[place[flags & 1 > 0]] = True
         several[place[flags & 2 > 0]] = True
-        shared = value[aligned & several]
-        found = [
-            (r["chunk"], r["bucket"], pack_sorted(v[np.isin(v, shared, assume_unique=True)]), b"")
-            for r, v in zip(rows, values, strict=True)
-        ]
-        return _rows([f for f in found if unpack(f[2], np.uint32).size])
+        shared, found, at = (aligned & several)[place], [], 0
+        for r, v in zip(rows, values, strict=True):
+            kept = v[shared[at : at + len(v)]]
+            at += len(v)
+            if len(kept):
+                found.append((r["chunk"], r["bucket"], pack_sorted(kept), b""))
+        return _rows(found)
 
     def extend(texts: pa.Table, found: pa.Table) -> pa.Table:
-        """Each distinct window around a hit, with the chunk's smallest document that starts it."""
+        """Each distinct window around a hit, with the chunk's smallest document that starts it and
+        the place; in one more row the places that this chunk decides."""
         give_back()
         if not texts.num_rows or not found.num_rows:
-            return _rows([])
+            return _rows([], AROUND)
         chunk = Chunk.of(texts.to_pylist()[0])
         hits = {r["bucket"]: unpack_sorted(r["a"], np.uint32) for r in found.to_pylist()}
-        parts = [(v, chunk.ids[o[s]]) for o, s, v in _hit_windows(chunk, hits, buckets, window, block)]
-        value, ids = _smallest(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        return _rows(
-            [(chunk.number, n, pack_sorted(value[p]), pack(ids[p])) for n, p in by_bucket(value, buckets)]
-        )
+        own, start, value = _hit_windows(chunk, hits, buckets, window, block)
+        earlier, sent, again, leader = _senders(own, start, value)
+        decided = (pack_sorted(start[earlier]), pack_sorted(again), pack(leader))
+        # passes through a bucket of its own
+        number = int(mix(np.array([chunk.number], np.uint64))[0] % np.uint64(buckets))
+        own, start, value = own[sent], start[sent], value[sent]
+        rows = [(chunk.number, n, pack(value[p]), pack_sorted(start[p]), pack(own[p])) for n, p in by_bucket(value, buckets)]
+        return _rows([*rows, (chunk.number, -1 - number, *decided)], AROUND)
 
     def resolve(table: pa.Table) -> pa.Table:
-        """For each chunk its windows that a smaller document of another chunk starts."""
+        """For each chunk the places of its windows that a smaller document of another chunk starts."""
         give_back()
         rows = table.to_pylist()
-        values = [unpack_sorted(r["a"], np.uint64) for r in rows]
-        ids = [unpack(r["b"], np.int64) for r in rows]
-        value, least = _smallest(np.concatenate(values), np.concatenate(ids))
-        found = []
-        for r, v, own in zip(rows, values, ids, strict=True):
-            other = least[np.searchsorted(value, v)]
-            smaller = other < own
-            if smaller.any():
-                found.append((r["chunk"], r["bucket"], pack_sorted(v[smaller]), pack(other[smaller])))
-        return _rows(found)
+        answers = [(r["chunk"], r["a"], r["b"], r["c"]) for r in rows if r["bucket"] < 0]
+        rows = [r for r in rows if r["bucket"] >= 0]
+        if rows:
+            ids = [unpack(r["c"], np.int64) for r in rows]
+            own = np.concatenate(ids)
+            order, _, least = _least(np.concatenate([unpack(r["a"], np.uint64) for r in rows]), own)
+            smaller = np.empty(len(own), bool)
+            smaller[order] = least < own[order]
+            at = 0
+            for r, held in zip(rows, ids, strict=True):
+                mine = smaller[at : at + len(held)]
+                at += len(held)
+                if mine.any():
+                    answers.append((r["chunk"], pack_sorted(unpack_sorted(r["b"], np.int64)[mine]), None, None))
+        return _rows(answers, ANSWER)
 
     def cut(texts: pa.Table, found: pa.Table) -> pa.Table:
         give_back()
         chunk = Chunk.of(texts.to_pylist()[0])
         rows = found.to_pylist()
-        hits = {r["bucket"]: unpack_sorted(r["a"], np.uint32) for r in rows if not r["b"]}
-        values = [unpack_sorted(r["a"], np.uint64) for r in rows if r["b"]]
-        ids = [unpack(r["b"], np.int64) for r in rows if r["b"]]
-        parts = list(_hit_windows(chunk, hits, buckets, window, block)) if hits else []
-        all_values = [v for _, _, v in parts] + values
-        all_ids = [chunk.ids[o[s]] for o, s, _ in parts] + ids
-        value, least = _smallest(np.concatenate(all_values), np.concatenate(all_ids)) if parts else (None, None)
+        starts = [unpack_sorted(r["a"], np.int64) for r in rows]
+        elsewhere = np.concatenate([np.empty(0, np.int64), *(p for r, p in zip(rows, starts, strict=True) if r["b"] is None)])
+        for r in rows:
+            if r["b"] is not None:
+                starts.append(unpack_sorted(r["b"], np.int64)[np.isin(unpack(r["c"], np.int64), elsewhere)])
+        start = np.sort(np.concatenate([np.empty(0, np.int64), *starts]))
         out: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
-        gone = {}  # by document's place: flags of its words
-        for owner, start, v in parts:
-            earlier = least[np.searchsorted(value, v)] < chunk.ids[owner[start]]
-            change = np.zeros(len(owner) + 1, np.int64)
-            np.add.at(change, start[earlier], 1)
-            np.add.at(change, start[earlier] + window, -1)
-            flags = np.cumsum(change[:-1]) > 0
-            for place in np.unique(owner[flags]):
-                low, high = np.searchsorted(owner, [place, place + 1])
-                gone[int(place)] = flags[low:high]
+        first = low = 0
         for place, doc_id in enumerate(chunk.ids.tolist()):
             words = chunk.data[chunk.offsets[place] : chunk.offsets[place + 1]].split()
+            count = len(words)
             out["doc_id"].append(doc_id)
-            out["n_words"].append(len(words))
-            if place in gone:
-                kept = [w for w, g in zip(words, gone[place].tolist(), strict=True) if not g]
-                out["n_removed"].append(len(words) - len(kept))
-                words = kept
-            else:
-                out["n_removed"].append(0)
+            out["n_words"].append(count)
+            high = low + int(np.searchsorted(start[low:], first + count))
+            if low < high:
+                change = np.zeros(count + 1, np.int64)
+                change[start[low:high] - first] = 1
+                change[start[low:high] - first + window] -= 1
+                words = list(compress(words, (np.cumsum(change[:-1]) == 0).tolist()))
+            out["n_removed"].append(count - len(words))
+            first, low = first + count, high
             text = b" ".join(words)
             out["kept_sha256"].append(hashlib.sha256(text).hexdigest())
             if keep_text:
@@ -208,10 +240,10 @@ def remove_repeats(
     probes = packed.mapInArrow(tidy(probe), SENT)
     hits = probes.groupBy("bucket").applyInArrow(match, SENT)
     by_chunk = packed.groupBy("chunk")
-    around = by_chunk.cogroup(hits.groupBy("chunk")).applyInArrow(extend, SENT)
-    earlier = around.groupBy("bucket").applyInArrow(resolve, SENT)
+    around = by_chunk.cogroup(hits.groupBy("chunk")).applyInArrow(extend, AROUND)
+    answers = around.groupBy("bucket").applyInArrow(resolve, ANSWER)
     shape = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if keep_text else "")
-    return by_chunk.cogroup(hits.union(earlier).groupBy("chunk")).applyInArrow(cut, shape)
+    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(cut, shape)
 
 
 KINDS = {

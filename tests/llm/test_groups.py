@@ -120,6 +120,30 @@ def test_repeats_equal_brute_force(spark, odd_docs, no_docs, window):
     assert remove_repeats(no_docs, window).count() == 0
 
 
+def test_shared_blocks_are_matched_once(spark):
+    df = spark.createDataFrame(near_copies(), "doc_id long, text string")
+    plan = remove_repeats(df)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 2 and plan.count("FlatMapCoGroupsInArrow") == 2
+
+
+def test_a_window_is_sent_once_for_its_smallest_document():
+    own = np.array([9, 9, 4, 4, 4, 4, 7])
+    start = np.array([0, 1, 20, 21, 25, 28, 40])
+    value = np.array([5, 6, 5, 8, 5, 5, 8], np.uint64)
+    earlier, sent, again, leader = substrings._senders(own, start, value)
+    assert earlier.tolist() == [True, False, False, False, False, False, True]
+    assert start[sent].tolist() == [1, 20, 21] and again.tolist() == [25, 28] and leader.tolist() == [20, 20]
+
+
+def test_repeats_within_a_document_go_with_an_earlier_copy(spark):
+    part = prose(31, 20)
+    rows = [(5, f"{part} x {part} y {part}"), (9, f"z {part}"), (3, f"w {part} v"), (7, part)]
+    for parts in (1, 4):  # in one chunk and in four
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = sorted(map(tuple, remove_repeats(df).collect()))
+        assert found == brute_repeats(rows, 13) and [r[2] for r in found] == [0, 60, 20, 20]
+
+
 def test_colliding_codes_keep_all_flags():
     code, aligned = np.array([7, 3, 7, 7, 9], np.uint32), np.array([False, True, True, False, False])
     several = np.array([False, False, False, True, False])
