@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import stored
+from riskloom.session import stored, stored_alone
 from riskloom.sources.tables import read_table
 
 BATCH_ROWS = 1024
 BATCH_BYTES = 2 << 20
 
-__all__ = ["fold", "give_back", "read_table", "release_heap", "slices", "small_batches", "stored", "text_rows", "tidy"]
+__all__ = [
+    "fold", "give_back", "read_table", "release_heap", "slices", "small_batches", "stored", "stored_alone", "text_rows", "tidy",
+]
 
 
 def small_batches(spark: SparkSession) -> None:

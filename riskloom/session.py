@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ def local_session(app: str = "riskloom", cores: str = "8") -> SparkSession:
 
 _local_folders: dict[str, str] = {}  # by application, where no folder is set
 _in_use: set[str] = set()
+_scope = threading.local()  # its ``folders``: those made within the innermost ``stored_alone``
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,17 +53,51 @@ def stored(df: DataFrame) -> DataFrame:
     evaluated once, lineage ends there, a lost executor costs nothing, and columns and rows
     that a later step does not need are not read. The folder goes when the process ends."""
     path = new_folder(df.sparkSession)
-    df.write.parquet(path)
+    with _shuffle_files_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """``stored(make())``; what this thread stored on the way is deleted then, so ``make`` hands
+    out nothing else that reads it."""
+    outer, inner = getattr(_scope, "folders", None), []
+    _scope.folders = inner
+    try:
+        df = make()
+    finally:
+        _scope.folders = outer
+    result = stored(df)
+    for folder in inner:
+        remove_stored(spark, folder)
+    return result
+
+
+@contextlib.contextmanager
+def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run within delete their shuffle files at their end, not when the driver
+    happens to collect its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def new_folder(spark: SparkSession) -> str:
     """A name for a new folder in the shared one, deleted with all it holds when the process ends."""
     folder = f"{shared_folder(spark).rstrip('/')}/riskloom-{spark.sparkContext.applicationId}"
     if folder not in _in_use:
         _in_use.add(folder)
         atexit.register(remove_stored, spark, folder)
-    return f"{folder}/{uuid.uuid4().hex}"
+    path = f"{folder}/{uuid.uuid4().hex}"
+    if (inner := getattr(_scope, "folders", None)) is not None:
+        inner.append(path)
+    return path
 
 
 def remove_stored(spark: SparkSession, folder: str) -> None:

@@ -1,9 +1,12 @@
+import pathlib
+
 import duckdb
 
 import corpus_pipeline
 from riskloom.llm import jaccard
 from riskloom.llm.lines import cleaned_sql
 from riskloom.llm.queries import llm_oracles, llm_queries
+from riskloom.session import shared_folder
 from tests.llm.conftest import prose
 
 
@@ -94,3 +97,26 @@ def test_lines_go_by_dataframe_functions_only(spark, odd_docs, monkeypatch):
     docs = docs.selectExpr("*", "cast(char_length(text) as long) AS n_chars")
     cleaned = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, "").collect()
     assert {r["doc_id"]: r["text"] for r in cleaned} == {k: prose(1000 + k % 4, 30) for k in range(8)}
+
+
+def _held(spark):
+    """Bytes of the frames stored now."""
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file://")) / f"riskloom-{spark.sparkContext.applicationId}"
+    return sum(p.stat().st_size for p in folder.rglob("*.parquet")) if folder.exists() else 0
+
+
+def test_stages_leave_only_ids_and_lines_on_disk(spark, tables, tmp_path):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = _held(spark)
+        path = str(tmp_path / name)
+        stage(spark, docs, tables).write.parquet(path)
+        assert _held(spark) - before < 20_000, name  # the texts packed alone take more
+        docs = spark.read.parquet(path)
+    expected = {tuple(r) for r in corpus_pipeline.STAGES[-1][1](spark, docs, tables).collect()}
+
+    before = _held(spark)
+    out = corpus_pipeline.run(spark, tables)
+    size = sum(p.stat().st_size for p in (tmp_path / "decontamination").rglob("*.parquet"))
+    assert _held(spark) - before < 1.2 * size + 20_000  # what the last stage reads
+    assert {tuple(r) for r in out.collect()} == expected
